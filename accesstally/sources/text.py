@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -36,18 +37,23 @@ def file_batches(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame,
     Batches count from 1 in the order of ``paths``; a directory is one batch.
     """
     rows = [
-        (name, position)
+        (_as_metadata(name), position)
         for position, path in enumerate(dict.fromkeys(paths), start=1)
         for name in spark.read.text(path).inputFiles()
     ]
     return spark.createDataFrame(rows, "file_path string, batch_id int"), len(rows)
 
 
+def _as_metadata(uri: str) -> str:
+    """A listed file as ``_metadata.file_path`` spells it: no empty authority."""
+    return re.sub(r"^(\w+):///", r"\1:/", uri)
+
+
 def with_batch_id(lines: DataFrame, paths: Sequence[str]) -> DataFrame:
     lookup, size = file_batches(lines.sparkSession, paths)
     if size <= BROADCAST_FILES:
         lookup = F.broadcast(lookup)
-    return lines.join(lookup, "file_path")
+    return lines.join(lookup, "file_path", "left")
 
 
 def union_batches(*batches: DataFrame) -> DataFrame:

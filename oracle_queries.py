@@ -37,10 +37,9 @@ lines AS (
 
 _CLF = r"""^(\S+)\s+-\s+-\s+\[([^\]]+)\]\s+"([^"]*)"\s+(\d{3}|-)\s+(\S+)"""
 _REQUEST = r"""^([A-Z]+)\s+(\S+)(?:\s+(HTTP/\S+))?$"""
-_LOOSE = (
-    r"""^(\S+) \S+ \S+ \[(\d{2})/(\w{3})/(\d{4}):(\d{2}):\d{2}:\d{2} [^\]]+\] """
-    r""""([A-Z]+)? ?([^\s"]+)? ?(HTTP[^\s"]*)?" (\d{3}) (\S+)"""
-)
+_LOOSE_TAIL = r''' "([A-Z]+)? ?([^\s"]+)? ?(HTTP[^\s"]*)?" (\d{3}) (\S+)'''
+_LOOSE = r"^(\S+) \S+ \S+ \[(\d{2})/(\w{3})/(\d{4}):(\d{2}):\d{2}:\d{2} [^\]]+\]" + _LOOSE_TAIL.replace("(", "(?:")
+_REST = r"^\S+ \S+ \S+ \[\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [^\]]+\]" + _LOOSE_TAIL
 
 _SPLIT = f"""
   CASE WHEN regexp_matches(trim(request_text), '{_REQUEST}')
@@ -89,11 +88,11 @@ pieces AS (
     regexp_extract(line, '{_LOOSE}', 3) AS m,
     regexp_extract(line, '{_LOOSE}', 4) AS y,
     regexp_extract(line, '{_LOOSE}', 5) AS h,
-    coalesce(nullif(regexp_extract(line, '{_LOOSE}', 6), ''), 'UNKNOWN') AS http_method,
-    nullif(regexp_extract(line, '{_LOOSE}', 7), '') AS resource_path,
-    coalesce(nullif(regexp_extract(line, '{_LOOSE}', 8), ''), 'UNKNOWN') AS protocol_version,
-    CAST(regexp_extract(line, '{_LOOSE}', 9) AS INTEGER) AS status_code,
-    coalesce(TRY_CAST(regexp_extract(line, '{_LOOSE}', 10) AS BIGINT), 0) AS bytes_transferred,
+    coalesce(nullif(regexp_extract(line, '{_REST}', 1), ''), 'UNKNOWN') AS http_method,
+    nullif(regexp_extract(line, '{_REST}', 2), '') AS resource_path,
+    coalesce(nullif(regexp_extract(line, '{_REST}', 3), ''), 'UNKNOWN') AS protocol_version,
+    CAST(regexp_extract(line, '{_REST}', 4) AS INTEGER) AS status_code,
+    coalesce(TRY_CAST(regexp_extract(line, '{_REST}', 5) AS BIGINT), 0) AS bytes_transferred,
     regexp_extract(line, '\\[([^\\]]+)', 1) AS stamp
   FROM lines WHERE regexp_matches(line, '{_LOOSE}')
 ),
