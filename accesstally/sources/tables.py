@@ -35,9 +35,17 @@ def write_tsv(rows: DataFrame, path: str) -> None:
 
 
 def read_tsv(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
-    """Typed rows back from a TSV sink: short or unreadable rows are skipped, rates rounded."""
-    rows = _delimited(spark.read.schema(columns)).option("mode", "DROPMALFORMED").csv(path)
-    return _rounded(rows)
+    """Typed rows back from a TSV sink: short or unreadable rows are skipped, rates rounded.
+
+    Fields are read as text and converted here. The reader would convert only
+    those a query asks for, and the rows it skips would depend on the query.
+    """
+    as_text = T.StructType([T.StructField(name, T.StringType()) for name in columns.names])
+    reader = _delimited(spark.read.schema(as_text)).option("mode", "DROPMALFORMED")
+    rows = reader.option("columnPruning", False).csv(path)
+    typed = rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in columns.fields])
+    converted = [f.name for f in columns.fields if f.dataType != T.StringType()]
+    return _rounded(typed.dropna(subset=converted))
 
 
 def write_json(results: dict[str, DataFrame], path: str) -> None:
