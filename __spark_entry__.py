@@ -16,7 +16,8 @@ from accesstally.sources.scratch import scratch_path
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return text.spread(events.select("event_id", "ts", "user_id", "event_type", "value"))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,8 +97,8 @@ def batch_size_summary(spark, sf_dir):
 
 
 def chunk_stats(spark, sf_dir):
-    numbered = chunks.number_rows(_lines(spark, sf_dir), "batch_id", "event_id")
-    return chunks.chunk_stats(parse_lines(numbered), 1000, file="batch_id")
+    parsed = _parsed(spark, sf_dir).select("batch_id", "event_id", "malformed_reason")
+    return chunks.chunk_stats(chunks.number_rows(parsed, "batch_id", "event_id"), 1000, file="batch_id")
 
 
 def _written_batches(spark, sf_dir):

@@ -70,6 +70,22 @@ _PIECES = [
 ]
 
 
+# Columns added by the parser, in order.
+_PARSED = [
+    "host",
+    "timestamp",
+    "event_time",
+    "log_date",
+    "log_hour",
+    "http_method",
+    "resource_path",
+    "protocol_version",
+    "status_code",
+    "bytes_transferred",
+    "malformed_reason",
+]
+
+
 def _standard_pattern(space: str) -> str:
     """host - - [timestamp] "request" status bytes, anything after it ignored.
 
@@ -125,13 +141,19 @@ def _pieces(line: Column, pattern_for) -> Column:
     return F.split(text, "\n", len(_PIECES))
 
 
-def _offset_text(zone: Column) -> Column:
-    """Offset as ``+hh:mm``; seconds, where the log has them, as written."""
-    digits = F.replace(zone, F.lit(":"), F.lit(""))
-    seconds = F.when(F.length(digits) > 5, F.concat(F.lit(":"), F.substring(digits, 6, 9))).otherwise("")
-    return F.when(zone.isin("Z", "-0000", "-00:00"), "+00:00").otherwise(
-        F.concat(F.substring(digits, 1, 3), F.lit(":"), F.substring(digits, 4, 2), seconds)
-    )
+def _iso_text(day: str, clock: str, zone: str) -> str:
+    """Local time with its offset as SQL: ``yyyy-MM-ddTHH:mm:ss+hh:mm``.
+
+    One-digit clock fields are rare; only they pay for the padding. Seconds of
+    an offset, where the log has them, stay as written.
+    """
+    full_clock = rf"if(length({clock}) = 8, {clock}, regexp_replace({clock}, r'\b(\d)\b', '0$1'))"
+    digits = f"replace({zone}, ':', '')"
+    offset = f"""
+        CASE WHEN {zone} IN ('Z', '-0000', '-00:00') THEN '+00:00'
+             ELSE concat(substring({digits}, 1, 3), ':', substring({digits}, 4, 2),
+                         if(length({digits}) > 5, concat(':', substring({digits}, 6)), '')) END"""
+    return f"concat({day}, 'T', {full_clock}, {offset})"
 
 
 def request_parts(request: Column) -> tuple[Column, Column, Column]:
@@ -161,79 +183,52 @@ def parse_lines(lines: DataFrame, dialect: str = "clf", value: str = "value") ->
     if dialect not in DIALECTS:
         raise ValueError(f"unknown dialect {dialect!r}, expected one of {DIALECTS}")
     loose = dialect == "loose"
-    pattern_for = _loose_pattern if loose else _standard_pattern
+    passed = [F.col(f"`{name}`") for name in lines.columns]
+    text = _pieces(F.col(value), _loose_pattern if loose else _standard_pattern)
+    split_lines = lines.select(*passed, text.alias("_split"))
 
-    months = MONTHS if loose else {name.lower(): number for name, number in MONTHS.items()}
+    def at(name: str) -> str:
+        return f"_split[{_PIECES.index(name)}]"
 
-    def month_number(name: Column) -> Column:
-        table = F.create_map(*[F.lit(x) for pair in months.items() for x in pair])
-        return F.try_element_at(table, name if loose else F.lower(name))
-
-    def at(name: str) -> Column:
-        return F.col("_split")[_PIECES.index(name)]
-
-    passed = [F.col(name) for name in lines.columns]
-    day_text = F.concat(
-        at("year"), F.lit("-"), month_number(at("month")), F.lit("-"), F.lpad(at("day"), 2, "0")
-    )
+    names = ", ".join(f"'{m if loose else m.lower()}', '{number}'" for m, number in MONTHS.items())
+    month = f"try_element_at(map({names}), {at('month') if loose else 'lower(' + at('month') + ')'})"
+    day_text = f"concat({at('year')}, '-', {month}, '-', lpad({at('day')}, 2, '0'))"
+    in_range = f"{at('year')} != '0000' AND try_cast({at('hour')} AS int) < 24"
     held = (
-        lines.select(*passed, _pieces(F.col(value), pattern_for).alias("_split"))
-        .select(*passed, "_split", day_text.alias("_day_text"))
-        .select(
-            *passed,
-            "_split",
-            "_day_text",
-            F.when(
-                (at("year") != "0000") & (at("hour").try_cast("int") < 24), F.col("_day_text").try_cast("date")
-            ).alias("_date"),
-        )
-        .select(*passed, F.explode(F.array(F.struct("_split", "_day_text", "_date"))).alias("_line"))
+        split_lines.select(*passed, "_split", F.expr(day_text).alias("_day"))
+        .select(*passed, "_split", "_day", F.expr(f"if({in_range}, try_cast(_day AS date), NULL)").alias("_date"))
+        .select(*passed, F.expr("explode(array(struct(_split, _day, _date)))").alias("_line"))
     )
-    piece = {name: F.col("_line._split")[i] for i, name in enumerate(_PIECES)}
-    log_date = F.col("_line._date")
 
-    # One-digit clock fields are rare; only they pay for the padding.
-    clock, zone = piece["clock"], piece["zone"]
-    full_clock = F.when(F.length(clock) == 8, clock).otherwise(
-        F.regexp_replace(clock, r"\b(\d)\b", "0$1")
-    )
-    iso_text = F.when(
-        log_date.isNotNull() & (zone != ""),
-        F.concat(F.col("_line._day_text"), F.lit("T"), full_clock, _offset_text(zone)),
-    )
-
-    if loose:
-        path = F.nullif(piece["path"], F.lit(""))
-    elif dialect == "prefix":
-        path = F.nullif(F.regexp_extract(piece["request"], r"^[A-Z]+\s+(\S+)", 1), F.lit(""))
-    else:
-        path = (
-            F.when(piece["path"] != "", piece["path"])
-            .when(piece["request"] != "", piece["request"])
-            .otherwise("/")
-        )
-
-    matched = F.coalesce(piece["host"], F.lit("")) != ""
-
-    return held.select(
-        *passed,
-        F.when(matched, piece["host"]).alias("host"),
-        iso_text.alias("timestamp"),
-        iso_text.try_cast("timestamp").alias("event_time"),
-        log_date.alias("log_date"),
-        piece["hour"].try_cast("int").alias("log_hour"),
-        F.when(matched, F.when(piece["method"] != "", piece["method"]).otherwise(UNKNOWN)).alias("http_method"),
-        F.when(matched, path).alias("resource_path"),
-        F.when(matched, F.when(piece["protocol"] != "", piece["protocol"]).otherwise(UNKNOWN)).alias(
-            "protocol_version"
-        ),
-        piece["status"].try_cast("int").alias("status_code"),
-        F.when(matched, F.coalesce(piece["bytes"].try_cast("bigint"), F.lit(0))).alias("bytes_transferred"),
-        F.when(~matched, NO_MATCH)
-        .when(piece["status"] == "-", NO_STATUS)
-        .when(log_date.isNull(), BAD_TIMESTAMP)
-        .alias("malformed_reason"),
-    )
+    piece = {name: f"_line._split[{i}]" for i, name in enumerate(_PIECES)}
+    matched = f"coalesce({piece['host']}, '') != ''"
+    dated = "_line._date IS NOT NULL"
+    stamp = f"if({dated} AND {piece['zone']} != '', {_iso_text('_line._day', piece['clock'], piece['zone'])}, NULL)"
+    paths = {
+        "clf": f"""CASE WHEN {piece['path']} != '' THEN {piece['path']}
+                        WHEN {piece['request']} != '' THEN {piece['request']} ELSE '/' END""",
+        "prefix": rf"nullif(regexp_extract({piece['request']}, r'^[A-Z]+\s+(\S+)', 1), '')",
+        "loose": f"nullif({piece['path']}, '')",
+    }
+    fields = {
+        "host": piece["host"],
+        "http_method": f"if({piece['method']} != '', {piece['method']}, '{UNKNOWN}')",
+        "resource_path": paths[dialect],
+        "protocol_version": f"if({piece['protocol']} != '', {piece['protocol']}, '{UNKNOWN}')",
+        "bytes_transferred": f"coalesce(try_cast({piece['bytes']} AS bigint), 0)",
+    }
+    fields = {name: f"if({matched}, {text}, NULL)" for name, text in fields.items()}
+    fields |= {
+        "timestamp": stamp,
+        "event_time": f"try_cast({stamp} AS timestamp)",
+        "log_date": "_line._date",
+        "log_hour": f"try_cast({piece['hour']} AS int)",
+        "status_code": f"try_cast({piece['status']} AS int)",
+        "malformed_reason": f"""CASE WHEN NOT ({matched}) THEN '{NO_MATCH}'
+                                     WHEN {piece['status']} = '-' THEN '{NO_STATUS}'
+                                     WHEN NOT ({dated}) THEN '{BAD_TIMESTAMP}' END""",
+    }
+    return held.select(*passed, *[F.expr(fields[name]).alias(name) for name in _PARSED])
 
 
 def valid_records(parsed: DataFrame) -> DataFrame:

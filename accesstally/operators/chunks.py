@@ -49,19 +49,28 @@ def chunk_stats(
     before = Window.partitionBy(file).orderBy(split).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         blocks.groupBy(file, split)
-        .agg(F.sum("lines").alias("split_lines"), F.min("first_seq").alias("split_seq"))
+        .agg(
+            F.sum("lines").alias("split_lines"),
+            F.min("first_seq").alias("split_seq"),
+            F.sum(F.size("bad_seqs")).alias("split_bad"),
+        )
         .select(
             file,
             split,
+            "split_bad",
             (F.coalesce(F.sum("split_lines").over(before), F.lit(0)) - F.col("split_seq")).alias("shift"),
         )
     )
+    # Both sides of the join need every column of a block, so they share one
+    # shuffle of blocks and the lines are read once.
     start = F.col("first_seq") + F.col("shift")
     placed = blocks.join(offsets, [file, split]).select(
         file,
         start.alias("start"),
         (start + F.col("lines")).alias("stop"),
-        F.transform("bad_seqs", lambda s: s + F.col("shift")).alias("bad_lines"),
+        F.when(F.col("split_bad") > 0, F.transform("bad_seqs", lambda s: s + F.col("shift")))
+        .otherwise(F.col("bad_seqs"))
+        .alias("bad_lines"),
     )
     return _cut(placed, file, chunk_size)
 

@@ -61,10 +61,8 @@ def top_resources(records: DataFrame, n: int = TOP_N, hosts_after_top: bool = Fa
 
     top = known.groupBy("resource_path").agg(*measures).orderBy(*order).limit(n)
     # The broadcast side has n rows whatever the log's size.
-    paths = F.broadcast(top.select("resource_path"))
-    per_path = known.join(paths, "resource_path", "left_semi").groupBy("resource_path").agg(hosts)
-    columns = ["resource_path", "request_count", "total_bytes", "distinct_host_count"]
-    return ranked(top.join(per_path, "resource_path").select(*columns))
+    listed = known.select("resource_path", "host").join(F.broadcast(top), "resource_path")
+    return ranked(listed.groupBy("resource_path", "request_count", "total_bytes").agg(hosts))
 
 
 def hourly_errors(records: DataFrame, low: int = ERROR_MIN, high: int = ERROR_MAX) -> DataFrame:

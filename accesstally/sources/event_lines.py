@@ -7,61 +7,46 @@ every row of ``orders`` becomes one entry of a run log.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
+_REQUEST = """
+    CASE WHEN event_id % 109 = 0 THEN ''
+         WHEN event_id % 113 = 0 THEN 'GET /a b HTTP/1.0'
+         WHEN event_id % 139 = 0 THEN concat('GET /', event_type)
+         ELSE concat('GET /', event_type, '/', event_id % 37, ' HTTP/1.0') END"""
 
+_STAMP = """
+    CASE WHEN event_id % 127 = 0 THEN replace(stamp, 'Jan', 'Foo')
+         WHEN event_id % 131 = 0 THEN concat('31/Feb/', substring(stamp, 8))
+         ELSE stamp END"""
 
-def _request() -> Column:
-    page = F.concat(F.lit("GET /"), F.col("event_type"))
-    return (
-        F.when(_every(109), "")
-        .when(_every(113), "GET /a b HTTP/1.0")
-        .when(_every(139), page)
-        .otherwise(F.concat(page, F.lit("/"), (F.col("event_id") % 37).cast("string"), F.lit(" HTTP/1.0")))
-    )
+_STATUS = """
+    CASE WHEN event_id % 103 = 0 THEN '-'
+         WHEN event_type = 'error' THEN if(event_id % 3 = 0, '500', '404')
+         WHEN event_type = 'click' THEN '304'
+         WHEN event_type = 'signup' THEN '302'
+         ELSE '200' END"""
+
+_SIZE = """
+    CASE WHEN event_id % 107 = 0 THEN 'abc'
+         WHEN event_type = 'click' THEN '-'
+         ELSE cast(floor(value) AS string) END"""
 
 
 def event_requests(events: DataFrame) -> DataFrame:
-    return events.select("event_id", _request().alias("request"))
+    return events.selectExpr("event_id", f"{_REQUEST} AS request")
 
 
 def event_lines(events: DataFrame) -> DataFrame:
     """One line per event: ``event_id``, ``batch_id`` (half of the month) and ``value``."""
-    stamp = F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")
-    stamp = (
-        F.when(_every(127), F.replace(stamp, F.lit("Jan"), F.lit("Foo")))
-        .when(_every(131), F.concat(F.lit("31/Feb/"), F.substring(stamp, 8, 20)))
-        .otherwise(stamp)
-    )
-    kind = F.col("event_type")
-    status = (
-        F.when(_every(103), "-")
-        .when((kind == "error") & _every(3), "500")
-        .when(kind == "error", "404")
-        .when(kind == "click", "304")
-        .when(kind == "signup", "302")
-        .otherwise("200")
-    )
-    size = F.when(_every(107), "abc").when(kind == "click", "-").otherwise(F.floor("value").cast("string"))
-    line = F.concat(
-        F.lit("h"),
-        F.col("user_id").cast("string"),
-        F.lit(".example.com - - ["),
-        stamp,
-        F.lit(' -0400] "'),
-        _request(),
-        F.lit('" '),
-        status,
-        F.lit(" "),
-        size,
-    )
-    return events.select(
+    stamped = events.selectExpr("*", "date_format(ts, 'dd/MMM/yyyy:HH:mm:ss') AS stamp")
+    line = f"""concat('h', user_id, '.example.com - - [', {_STAMP}, ' -0400] "', {_REQUEST}, '" ',
+                      {_STATUS}, ' ', {_SIZE})"""
+    return stamped.selectExpr(
         "event_id",
-        F.when(F.dayofmonth("ts") <= 15, 1).otherwise(2).alias("batch_id"),
-        F.when(_every(101), "alyssa.p").otherwise(line).alias("value"),
+        "if(dayofmonth(ts) <= 15, 1, 2) AS batch_id",
+        f"if(event_id % 101 = 0, 'alyssa.p', {line}) AS value",
     )
 
 

@@ -11,10 +11,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BROADCAST_FILES = 50_000
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than there are cores, dealt out over all of them.
+
+    Compressed logs and files of a single row group cannot be split; without this
+    one task would parse the whole file. A scan with enough splits is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All lines of all paths: ``value`` and ``file_path``. A repeated path is read once."""
-    return spark.read.text(list(dict.fromkeys(paths))).select(
-        "value", F.col("_metadata.file_path").alias("file_path")
+    return spread(
+        spark.read.text(list(dict.fromkeys(paths))).select(
+            "value", F.col("_metadata.file_path").alias("file_path")
+        )
     )
 
 
@@ -23,11 +35,13 @@ def read_numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     The sequence number is taken on the scan itself, before any filter.
     """
-    return spark.read.text(list(dict.fromkeys(paths))).select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("line_seq"),
+    return spread(
+        spark.read.text(list(dict.fromkeys(paths))).select(
+            "value",
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("split_start"),
+            F.monotonically_increasing_id().alias("line_seq"),
+        )
     )
 
 
