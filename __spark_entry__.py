@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 import oracle_queries
 from accesstally import schema
 from accesstally.functions.clf import malformed_lines, parse_lines, request_parts, valid_records

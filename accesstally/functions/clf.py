@@ -215,7 +215,8 @@ def parse_lines(lines: DataFrame, dialect: str = "clf", value: str = "value") ->
         "http_method": f"if({piece['method']} != '', {piece['method']}, '{UNKNOWN}')",
         "resource_path": paths[dialect],
         "protocol_version": f"if({piece['protocol']} != '', {piece['protocol']}, '{UNKNOWN}')",
-        "bytes_transferred": f"coalesce(try_cast({piece['bytes']} AS bigint), 0)",
+        # A failed cast costs far more than a comparison, and a dash is common.
+        "bytes_transferred": f"if({piece['bytes']} = '-', 0L, coalesce(try_cast({piece['bytes']} AS bigint), 0L))",
     }
     fields = {name: f"if({matched}, {text}, NULL)" for name, text in fields.items()}
     fields |= {

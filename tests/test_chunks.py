@@ -1,5 +1,6 @@
 """Chunk statistics against line-by-line counting."""
 
+import gzip
 import random
 from collections import defaultdict
 
@@ -67,11 +68,25 @@ def test_ordered_rows(spark, size):
     assert dict(got) == want
 
 
-def test_lines_are_not_shuffled(spark, tmp_path):
+def test_compressed_file_is_spread_and_keeps_its_order(spark, tmp_path):
+    flags = [i % 7 != 0 and i > 50 for i in range(500)]
+    with gzip.open(tmp_path / "a.gz", "wt") as out:
+        out.writelines((GOOD if good else "x") + "\n" for good in flags)
+    lines = read_numbered_lines(spark, [str(tmp_path / "a.gz")])
+    assert lines.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    got = {
+        r.chunk_id: (r.good_records, r.malformed_records)
+        for r in chunks.chunk_stats(parse_lines(lines), 60).collect()
+    }
+    assert got == brute(flags, 60)
+
+
+def test_log_is_read_once(spark, tmp_path):
     (tmp_path / "a").write_text((GOOD + "\n") * 10)
     frame = chunks.chunk_stats(parse_lines(read_numbered_lines(spark, [str(tmp_path / "a")])), 4)
     frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan().toString()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan text") == 1 and "ReusedExchange" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
