@@ -300,7 +300,7 @@ def run_query_result(spark, sf_dir):
     stored, run_id = _etl_run(spark, sf_dir, "query3")
     answered = stored.read("query_results", run_id).select("query_id", "query_name", "result_json")
     rows = stored.read("hourly_error_analysis", run_id).agg(F.count("*").alias("stored_rows"))
-    return answered.withColumn("stored_rows", F.lit(rows.first()["stored_rows"]))
+    return answered.withColumn("stored_rows", F.lit(rows.first()["stored_rows"]).cast("bigint"))
 
 
 def latest_run(spark, sf_dir):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from accesstally.functions.clf import parse_lines
 from accesstally.operators.counts import batch_counts, batch_size_summary
-from accesstally.operators.reports import QUERY_IDS, selected_reports
+from accesstally.operators.reports import QUERY_IDS, loose_resource_lines, selected_reports, top_resources
 from accesstally.schema import TABLES
 from accesstally.sources.tables import RunTables, read_store, stored_records, with_run, write_store
 from accesstally.sources.text import read_lines, with_batch_id
@@ -46,6 +46,7 @@ def run(
     batch_size: int = 5000,
     dialect: str = "clf",
     extra: dict | None = None,
+    balance: bool = False,
 ) -> str:
     """Process the files and return the run id.
 
@@ -60,13 +61,16 @@ def run(
     paths = list(dict.fromkeys(paths))
 
     lines = with_batch_id(read_lines(spark, paths), paths)
-    write_store(parse_lines(lines, dialect), store)
+    write_store(parse_lines(lines, dialect), store, balance)
 
     batches = batch_counts(read_store(spark, store))
     tables.append("batch_metadata", batch_rows(batches, run_id, pipeline_name, started))
     logged = tables.read("batch_metadata", run_id)
 
-    for name, rows in selected_reports(stored_records(spark, store), query, hosts_after_top=True).items():
+    reports = selected_reports(stored_records(spark, store), query, hosts_after_top=True)
+    if dialect == "loose" and "query2" in reports:
+        reports["query2"] = top_resources(loose_resource_lines(read_store(spark, store)), hosts_after_top=True)
+    for name, rows in reports.items():
         tables.append_results(_RESULT_TABLES[name], rows, run_id, pipeline_name)
 
     answer = [(run_id, pipeline_name, QUERY_IDS[query], query, started, json.dumps(extra or {}))]

@@ -144,6 +144,20 @@ def test_every_line_is_valid_or_malformed(spark):
     assert malformed_lines(frame).count() == len(MALFORMED)
 
 
+def test_very_long_lines(spark):
+    path = "/" + "a" * 2_000_000
+    texts = [
+        line(request=f"GET {path} HTTP/1.0"),
+        line(request="GET " + "b " * 500_000),
+        "x " * 1_000_000,
+        "A" * 1_000_000 + " - - [" + "1" * 1_000_000,
+    ]
+    rows = parse(spark, texts)
+    assert rows[0].resource_path == path and rows[0].bytes_transferred == 10
+    assert len(rows[1].resource_path) == 1_000_004 and rows[1].http_method == "UNKNOWN"
+    assert [r.malformed_reason for r in rows[2:]] == ["no_match", "no_match"]
+
+
 def test_timestamps_agree_with_strptime(spark):
     days = ["1", " 1", "01", "31", "32", "00", "9", "30"]
     months = ["Jan", "feb", "APR", "Jux", "Dec"]

@@ -170,6 +170,17 @@ def test_whole_run(spark, logs, tmp_path):
         etl.run(spark, logs, store, root, "query9")
 
 
+def test_whole_run_in_the_loose_dialect(spark, tmp_path):
+    lines = [log_line(), log_line().replace("Jul", "Foo"), log_line().replace("- -", "bob -"), "broken"]
+    (tmp_path / "a.log").write_text("\n".join(lines))
+    root = str(tmp_path / "tables")
+    run_id = etl.run(spark, [str(tmp_path / "a.log")], str(tmp_path / "store"), root, dialect="loose", balance=True)
+    report = history.run_report(tables.RunTables(spark, root), run_id)
+    assert [(r.resource_path, r.request_count) for r in report["query2"].collect()] == [("/a", 3)]
+    assert [r.request_count for r in report["query1"].collect()] == [2]
+    assert report["metadata"].first().malformed_records == 2
+
+
 def test_history_with_many_answers_per_run(spark):
     """A run that owns most answers, runs without any, and ties in time."""
     runs = [(f"r{i:02d}", "p", 1, 0, 10, 1.0, datetime(2024, 1, 1 + i // 4)) for i in range(40)]
