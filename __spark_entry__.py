@@ -205,10 +205,9 @@ def _json_result(name, columns):
 
 
 def _combined(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    return combined.combined_json(
-        reports.selected_reports(valid_records(parsed)), counts.record_counts(parsed), 2
-    )
+    path = _store(spark, sf_dir)
+    chosen = reports.selected_reports(tables.stored_records(spark, path), hosts_after_top=True)
+    return combined.combined_json(chosen, counts.record_counts(tables.read_store(spark, path)), 2)
 
 
 def _combined_part(tag):

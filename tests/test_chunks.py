@@ -33,7 +33,7 @@ def small_splits(spark):
 
 @pytest.mark.parametrize("block", [7, 32768])
 @pytest.mark.parametrize("size", [1, 10, 64, 1000])
-def test_text_files(spark, tmp_path, small_splits, monkeypatch, size, block):
+def test_text_files(spark, tmp_path, small_splits, exchange_reuse, monkeypatch, size, block):
     monkeypatch.setattr(chunks, "BLOCK_LINES", block)
     rng = random.Random(size)
     want = {}
@@ -53,8 +53,16 @@ def test_text_files(spark, tmp_path, small_splits, monkeypatch, size, block):
     assert dict(got) == want
 
 
+@pytest.fixture(params=["true", "false"])
+def exchange_reuse(spark, request):
+    """Numbers must agree even where Spark does not share the shuffle of blocks."""
+    spark.conf.set("spark.sql.exchange.reuse", request.param)
+    yield
+    spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
 @pytest.mark.parametrize("size", [3, 100])
-def test_ordered_rows(spark, size):
+def test_ordered_rows(spark, exchange_reuse, size):
     rng = random.Random(size)
     rows = [("hot" if i % 3 else f"f{i % 5}", i, rng.random() > 0.2) for i in range(2000)]
     want = {f: brute([g for name, _, g in rows if name == f], size) for f in {r[0] for r in rows}}
