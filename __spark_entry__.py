@@ -18,6 +18,14 @@ from accesstally.plans import combined, etl, sql_reports
 from accesstally.sources import event_lines as derived, tables, text
 from accesstally.sources.scratch import scratch_path
 
+try:
+    import corpus_pipeline
+    from accesstally.llm import queries as corpus
+except ImportError as missing:  # these parts of the library are optional
+    if not (missing.name or "").startswith(("corpus_pipeline", "accesstally.llm")):
+        raise
+    corpus = None
+
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -102,7 +110,8 @@ def batch_size_summary(spark, sf_dir):
 
 def chunk_stats(spark, sf_dir):
     parsed = _parsed(spark, sf_dir).select("batch_id", "event_id", "malformed_reason")
-    return chunks.chunk_stats(chunks.number_rows(parsed, "batch_id", "event_id"), 1000, file="batch_id")
+    numbered = chunks.number_rows(parsed, scratch_path(spark, "numbered"), "batch_id", "event_id")
+    return chunks.chunk_stats(numbered, 1000, file="batch_id")
 
 
 def _written_batches(spark, sf_dir):
@@ -322,7 +331,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q2_stored = schema.T.StructType([f for f in schema.Q2_RESULT.fields if f.name != "rank"])
-    return {
+    found = {
         "parse_clf": parse_clf,
         "parse_clf_loose": parse_clf_loose,
         "parse_path_prefix": parse_path_prefix,
@@ -377,7 +386,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_history": run_history,
         "run_comparison": run_comparison,
     }
+    if corpus:
+        found |= {**corpus.queries(), "pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    found = oracle_queries.oracle_sql()
+    if corpus:
+        found |= corpus.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -11,27 +11,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from accesstally.sources.scratch import scratch_path
+from accesstally.sources.scratch import written
 
 # Lines folded into one block; also bounds the list of malformed line numbers.
 BLOCK_LINES = 32768
 
 
-def number_rows(rows: DataFrame, file: str, *order: str) -> DataFrame:
+def number_rows(rows: DataFrame, path: str, file: str, *order: str) -> DataFrame:
     """Sequence columns for rows that are no text file but have an order of their own.
 
     A range sort plays the part of the file: its partitions are the splits. Where
     it cuts may change from one execution to the next, so the numbered rows are
-    written to the shared folder once and everyone reads the same numbers.
+    written to ``path`` once and everyone reads the same numbers.
     """
     numbered = (
         rows.orderBy(file, *order)
         .withColumn("line_seq", F.monotonically_increasing_id())
         .withColumn("split_start", F.shiftright("line_seq", 33))
     )
-    path = scratch_path(rows.sparkSession, "numbered")
-    numbered.write.parquet(path)
-    return rows.sparkSession.read.schema(numbered.schema).parquet(path)
+    return written(numbered, path)
 
 
 def chunk_stats(

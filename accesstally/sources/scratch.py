@@ -1,23 +1,40 @@
-"""A folder for written intermediate tables."""
+"""Written intermediate tables, in a folder that driver and executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder of ``spark.checkpoint.dir``.
+def scratch_path(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh path that is removed when the session's JVM ends.
 
-    Without that setting a temporary folder serves in local mode; on a cluster
-    it would not be shared, so the setting is required there.
+    It lies in a folder of this application under ``root``, which defaults to the session's
+    ``spark.checkpoint.dir``, and without that setting to a folder in the session's warehouse,
+    shared wherever tables are.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="accesstally-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    folder = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+    path, system = _file_system(spark, folder)
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, path: str) -> DataFrame:
+    """``frame`` written to ``path`` as Parquet and read again: computed once, without lineage."""
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more."""
+    jvm_path, system = _file_system(spark, path)
+    system.delete(jvm_path, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())

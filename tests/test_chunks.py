@@ -62,12 +62,12 @@ def exchange_reuse(spark, request):
 
 
 @pytest.mark.parametrize("size", [3, 100])
-def test_ordered_rows(spark, exchange_reuse, size):
+def test_ordered_rows(spark, tmp_path, exchange_reuse, size):
     rng = random.Random(size)
     rows = [("hot" if i % 3 else f"f{i % 5}", i, rng.random() > 0.2) for i in range(2000)]
     want = {f: brute([g for name, _, g in rows if name == f], size) for f in {r[0] for r in rows}}
     frame = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "f string, i long, good boolean")
-    numbered = chunks.number_rows(frame.repartition(9), "f", "i").withColumn(
+    numbered = chunks.number_rows(frame.repartition(9), str(tmp_path / "numbered"), "f", "i").withColumn(
         "malformed_reason", F.when(~F.col("good"), "no_match")
     )
     got = defaultdict(dict)
