@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from accesstally.llm import bpe, decontaminate, language
+from accesstally.llm import bpe, decontaminate, language, license, secrets
 
 
 def queries():
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
         "op3_bpe": bpe.op3_bpe,
+        "op7_secrets": secrets.op7_secrets,
+        "op8_license": license.op8_license,
         "op10_language": language.op10_language,
     }
 
 
 def oracle_sql():
-    return {"op1_decontaminate": decontaminate.OP1_SQL}
+    return {"op1_decontaminate": decontaminate.OP1_SQL, "op8_license": license.OP8_SQL}
