@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from accesstally.llm.workers import importable
+
 #: Mean length of a chunk is 2**CUT_BITS bytes; the hash looks at the last REACH bytes.
 CUT_BITS, REACH = 9, 16
 #: What a task remembers at most: bytes of chunks with their codes, and words (twice that, with the older half).
@@ -198,7 +200,7 @@ def encode(documents: DataFrame, path: str, text: str = "text", doc_id: str = "d
     ``path`` is a tokenizers file that the driver can read; its content goes to the tasks.
     """
     with open(path, encoding="utf-8") as file:
-        definition = documents.sparkSession.sparkContext.broadcast(file.read())
+        definition = importable(documents.sparkSession).sparkContext.broadcast(file.read())
     out = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     def coded(batches):
