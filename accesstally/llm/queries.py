@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from accesstally.llm import bpe, decontaminate, language, license, secrets
+from accesstally.llm import bpe, decontaminate, language, license, near_duplicates, passages, secrets, toxicity
 
 
 def queries():
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
+        "op2_toxicity": toxicity.op2_toxicity,
         "op3_bpe": bpe.op3_bpe,
+        "op6_repeats": passages.op6_repeats,
         "op7_secrets": secrets.op7_secrets,
         "op8_license": license.op8_license,
+        "op9_near_duplicates": near_duplicates.op9_near_duplicates,
         "op10_language": language.op10_language,
     }
 
 
 def oracle_sql():
-    return {"op1_decontaminate": decontaminate.OP1_SQL, "op8_license": license.OP8_SQL}
+    return {
+        "op1_decontaminate": decontaminate.OP1_SQL,
+        "op6_repeats": passages.OP6_SQL,
+        "op8_license": license.OP8_SQL,
+        "op9_near_duplicates": near_duplicates.OP9_SQL,
+    }
