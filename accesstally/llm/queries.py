@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from accesstally.llm import bpe, decontaminate, language, license, near_duplicates, neighbours, passages, secrets, toxicity
+from accesstally.llm import bpe, decontaminate, language, license, near_duplicates, neighbours, pages, passages, secrets, toxicity
 
 
 def queries():
@@ -11,6 +11,7 @@ def queries():
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_bpe": bpe.op3_bpe,
         "op4_neighbours": neighbours.op4_neighbours,
+        "op5_pages": pages.op5_pages,
         "op6_repeats": passages.op6_repeats,
         "op7_secrets": secrets.op7_secrets,
         "op8_license": license.op8_license,
