@@ -23,13 +23,11 @@ ignored.
 
 from __future__ import annotations
 
-import zlib
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from accesstally.llm.bitmap import of_several
 from accesstally.llm.hashing import gram_hashes
 from accesstally.llm.workers import importable
 from accesstally.sources.scratch import discard, scratch_path, written
@@ -38,8 +36,8 @@ LENGTH = 50
 GRAM = 20
 #: Strings that can share an anchor where it stands.
 SPAN = LENGTH - GRAM + 1
-#: Bytes of text for each part of the anchors, and of the bitmap at most and for each part.
-PART_BYTES, BITMAP_BYTES, SLICE_BYTES = 16_000_000, 64_000_000, 1 << 19
+#: Bytes of text for an anchor, about.
+ANCHOR_EVERY = 16
 #: Bytes of segments that are sorted together, and different segments of an anchor that go to one task.
 BLOCK, MOST = 200_000, 5_000
 #: Longer texts are anchored in pieces, which overlap by a string less one byte.
@@ -71,49 +69,6 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-class Bitmap:
-    """Which anchors may be shared: two bits for each, in the slice of the anchor's part."""
-
-    def __init__(self, total_bytes: int):
-        self.part_bits = max(1, int(np.ceil(np.log2(max(2, total_bytes / PART_BYTES)))))
-        bits = 8 * SLICE_BYTES
-        while bits > 8 and (bits >> 3) << self.part_bits > BITMAP_BYTES:
-            bits >>= 1
-        self.slice_bits = int(np.log2(bits))
-        self.data: np.ndarray | None = None
-
-    def part(self, anchor: np.ndarray) -> np.ndarray:
-        return (anchor >> np.uint64(64 - self.part_bits)).astype(np.int64)
-
-    def rest(self, anchor: np.ndarray) -> np.ndarray:
-        """48 bits behind the part."""
-        return (anchor << np.uint64(self.part_bits)) >> np.uint64(16)
-
-    def places(self, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        one = (rest >> np.uint64(48 - self.slice_bits)).astype(np.int64)
-        return one, (rest & np.uint64((1 << self.slice_bits) - 1)).astype(np.int64)
-
-    def slice_of(self, shared: np.ndarray) -> bytes:
-        own = np.zeros((1 << self.slice_bits) // 8 or 1, np.uint8)
-        for place in self.places(shared):
-            np.bitwise_or.at(own, place >> 3, (1 << (place & 7)).astype(np.uint8))
-        return zlib.compress(own.tobytes(), 1)
-
-    def fill(self, slices: dict[int, bytes]) -> None:
-        size = (1 << self.slice_bits) // 8 or 1
-        self.data = np.zeros(size << self.part_bits, np.uint8)
-        for part, own in slices.items():
-            self.data[part * size : (part + 1) * size] = np.frombuffer(zlib.decompress(own), np.uint8)
-
-    def has(self, anchor: np.ndarray) -> np.ndarray:
-        base = self.part(anchor) << self.slice_bits
-        hit = np.ones(len(anchor), bool)
-        for place in self.places(self.rest(anchor)):
-            at = base + place
-            hit &= (self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        return hit
-
-
 def _rows(documents: DataFrame, text: str, doc_id: str) -> DataFrame:
     """doc_id, data, and hash and size that name the class."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -125,41 +80,8 @@ def _rows(documents: DataFrame, text: str, doc_id: str) -> DataFrame:
     )
 
 
-def _shared_anchors(classes: DataFrame, bitmap: Bitmap) -> dict[int, bytes]:
-    """The bitmap's slices, from the anchors of all classes."""
-    bits, parts = bitmap.part_bits, 1 << bitmap.part_bits
-    kept_bits = ~np.uint64((1 << max(0, 16 - bits)) - 1)  # of part and rest
-    packed = pa.schema([("part", pa.int32()), ("anchors", pa.binary())])
-
-    def anchored(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                own = [np.unique(anchors(np.frombuffer(d.as_buffer(), np.uint8))[0] & kept_bits) for d in batch.slice(at, 4000).column("data")]
-                values = np.sort(np.concatenate([np.empty(0, np.uint64), *own]))
-                # two of each say as much as more
-                keep = np.ones(len(values), bool)
-                keep[2:] = values[2:] != values[:-2]
-                values = values[keep]
-                cuts = [*np.searchsorted(values, np.arange(parts, dtype=np.uint64) << np.uint64(64 - bits)).tolist(), len(values)]
-                rest = np.ascontiguousarray(bitmap.rest(values).view(np.uint8).reshape(-1, 8)[:, :6])
-                blobs = [rest[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                full = [i for i, b in enumerate(blobs) if b]
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([blobs[i] for i in full], pa.binary())], schema=packed)
-
-    def counted(batches):
-        parts_of = defaultdict(list)
-        for batch in batches:
-            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts_of[part].append(blob)
-        for part, blobs in parts_of.items():
-            values = np.zeros((sum(map(len, blobs)) // 6, 8), np.uint8)
-            values[:, :6] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 6)
-            values = np.sort(values.view(np.uint64).ravel())
-            own = bitmap.slice_of(np.unique(values[1:][values[1:] == values[:-1]]))
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([own], pa.binary())], schema=packed)
-
-    blobs = classes.mapInArrow(anchored, "part int, anchors binary").repartition(parts, "part")
-    return {r["part"]: bytes(r["anchors"]) for r in blobs.mapInArrow(counted, "part int, anchors binary").collect()}
+def _anchors_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.unique(anchors(np.frombuffer(d.as_buffer(), np.uint8))[0]) for d in batch.column("data")]
 
 
 def repeated(texts: list[bytes], numbers: list[int]) -> list[int]:
@@ -263,14 +185,12 @@ def find_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
     rows = _rows(documents, text, doc_id).filter(F.col("doc_id").isNotNull() & (F.col("size") >= LENGTH))
     keys = rows.groupBy("class", "size").agg(F.min("doc_id").alias("number"), F.count("*").alias("n"))
     keys = written(keys, scratch_path(spark, "classes"))
-    totals = keys.agg(F.sum(F.col("size").cast("double")).alias("bytes")).first()
+    totals = keys.agg(F.sum(F.col("size").cast("double")).alias("bytes"), F.sum("n").alias("rows")).first()
     several = keys.filter("n > 1").select("class", "size", "number")
 
-    # classes of several rows, marked by bits like anchors; their texts alone are gathered
-    marks = Bitmap(int((several.count() + 1) * 300))
-    hashes = several.select(F.col("class").alias("hash"))
-    marks.fill(_slices(hashes, marks))
-    marked = spark.sparkContext.broadcast(marks)
+    # classes of several rows, marked in a bitmap like anchors; their texts alone are gathered
+    hashes = lambda batch: [np.asarray(x.values).view(np.uint64) for x in batch.column(0)]
+    marked = spark.sparkContext.broadcast(of_several(rows.select(F.array("class")), hashes, float(totals["rows"] or 0)))
     shape = pa.schema([("number", pa.int64()), ("data", pa.binary()), ("class", pa.int64()), ("size", pa.int32())])
 
     def chosen(yes):
@@ -288,8 +208,7 @@ def find_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
     gathered = written(gathered.select("number", "data", "class", "size"), gathered_path)
     classes = chosen(False).unionByName(gathered)
 
-    bitmap = Bitmap(int(totals["bytes"] or 0))
-    bitmap.fill(_shared_anchors(classes, bitmap))
+    bitmap = of_several(classes, _anchors_of, (totals["bytes"] or 0) / ANCHOR_EVERY)
     shared = spark.sparkContext.broadcast(bitmap)
 
     def segments_of(whole):
@@ -335,23 +254,6 @@ def find_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
     return several, hits
 
 
-def _slices(hashes: DataFrame, bitmap: Bitmap) -> dict[int, bytes]:
-    """The slices of a bitmap of given hashes."""
-    out = pa.schema([("part", pa.int32()), ("own", pa.binary())])
-
-    def made(batches):
-        found = [np.asarray(b.column(0)).view(np.uint64) for b in batches]
-        values = np.concatenate([np.empty(0, np.uint64), *found])
-        parts = bitmap.part(values)
-        for part in np.unique(parts).tolist():
-            own = bitmap.slice_of(bitmap.rest(values[parts == part]))
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([own], pa.binary())], schema=out)
-
-    part = F.shiftrightunsigned("hash", 64 - bitmap.part_bits)
-    dealt = hashes.withColumn("part", part).repartition(1 << bitmap.part_bits, "part").select("hash")
-    return {r["part"]: bytes(r["own"]) for r in dealt.mapInArrow(made, "part int, own binary").collect()}
-
-
 def spans(size: int, hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The maximal runs of bytes that the marked strings cover."""
     change = np.zeros(size + LENGTH + 1, np.int64)
