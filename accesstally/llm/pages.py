@@ -4,7 +4,7 @@ A page becomes lines, one for each block of text, that know whether they lie in
 whether in a part that is never article (menus, headers, footers, sidebars, notices, adverts, forms,
 reader comments, by element or by the words of class, id and role). Pages are sorted by host and path
 over all tasks, and each is compared with the neighbour in that order that shares the longer beginning of
-its path: lines are aligned by a longest common subsequence, and shared lines are the site's and go.
+its path, or with both where they share as much: lines are aligned by a longest common subsequence, and shared lines are the site's and go.
 
 A page that marks its article (``article``, else ``main`` or its role) says itself what is the site's:
 there, shared lines go from everywhere but the article, as a paragraph that two articles quote belongs to
@@ -193,12 +193,15 @@ def _between(x: list[str], y: list[str]) -> set[int]:
     return found
 
 
-def main_text(own: list[Line], other: list[Line] | None) -> str:
-    """The lines that are left of a page beside its neighbour's."""
+def main_text(own: list[Line], others: list[list[Line]]) -> str:
+    """The lines that are left of a page beside its neighbours'."""
     marked = any(article and not site for _, article, site in own)
     texts = [line[0] for line in own]
-    theirs = [line[0] for line in other] if other else []
-    shared = common(texts, theirs) if theirs and theirs != texts else set()
+    shared: set[int] = set()
+    for other in others:
+        theirs = [line[0] for line in other]
+        if theirs != texts:
+            shared |= common(texts, theirs)
     kept = []
     for i, (text, article, site) in enumerate(own):
         if site or marked and not article or not marked and i in shared:
@@ -247,8 +250,9 @@ def extract(pages: DataFrame, page: str = "html", url: str = "url", page_id: str
 
         def judged(after):
             left, right = near(here, before), near(here, after)
-            other = (before if left >= right else after)[4] if max(left, right) >= 0 else None
-            return here[0], here[1], main_text(here[4], other)
+            nearest = max(left, right, 0)
+            others = [page[4] for page, shared in ((before, left), (after, right)) if shared == nearest]
+            return here[0], here[1], main_text(here[4], others)
 
         def batch_of():
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*texts, strict=True), out, strict=True)], schema=out)
