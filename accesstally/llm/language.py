@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from accesstally.llm.text import fold, held_out
+from accesstally.llm.workers import importable
 
 #: Characters of labelled text learned for a language, and for all languages together.
 SAMPLE_CHARS, TOTAL_CHARS = 40_000, 400_000
@@ -36,21 +37,25 @@ def learn(documents: DataFrame, text: str = "text", lang: str = "lang", doc_id:
     """Sample text of each language, from labelled rows outside the held-out fold.
 
     The rows with the smallest hashes are taken, whole and up to ``LONGEST`` characters each, so the
-    sample does not depend on how the table is stored.
+    sample does not depend on how the table is stored. A count by language first says which hashes are small.
     """
-    rows = documents.select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("at"), fold(F.col(doc_id)).alias("fold")
-    )
-    rows = rows.filter("fold != 1 AND lang IS NOT NULL AND char_length(text) BETWEEN 1 AND " + str(LONGEST))
-    first = Window.partitionBy("lang").orderBy("at", "text")
-    rows = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_ROWS)
-    found = rows.select("lang", "text", "n").collect()
+    rows = documents.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
+    rows = rows.filter((fold(F.col("doc_id")) != 1) & F.col("lang").isNotNull())
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    # the hashes below a bound that leaves about four times as many rows as are taken
+    at = F.xxhash64("doc_id")
+    below = F.lit(False)
+    for name, n in counts.items():
+        bound = -(2**63) + int(2**64 * min(1.0, 4 * SAMPLE_ROWS / n)) - 1
+        below |= (F.col("lang") == name) & (at <= bound)
+    few = rows.filter(below & F.char_length("text").between(1, LONGEST)).select("lang", "text", at.alias("at")).distinct()
+    found = sorted(few.collect(), key=lambda r: (r["at"], r["text"]))
     langs = sorted({r.lang for r in found})
     most = min(SAMPLE_CHARS, TOTAL_CHARS // max(1, len(langs)))
     sample = {}
     for name in langs:
         taken, size = [], 0
-        for row in sorted((r for r in found if r.lang == name), key=lambda r: r.n):
+        for row in [r for r in found if r.lang == name][:SAMPLE_ROWS]:
             if size + len(row.text) < most:
                 taken.append(row.text)
                 size += len(row.text)
@@ -163,7 +168,7 @@ class Model:
             c = row[:n]
             to = self.moves.take(state[:, :n] + c)
             missed = to < 0
-            count[:, :n] += missed
+            count[:, :n] += missed & (state[:, :n] != roots)  # at the root no phrase has begun
             state[:, :n] = np.where(missed, first.take(c, axis=1), to)
         for j in range(len(self.langs)):
             if unseen[j].any():
@@ -171,7 +176,7 @@ class Model:
                 per = unseen[j].take(steps).sum(axis=0) - (len(steps) - sizes) * unseen[j][0]
                 count[j] += per
         result = np.empty_like(count)
-        result[:, order] = count + 1
+        result[:, order] = count + (state != roots)
         return result
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -208,7 +213,7 @@ class Model:
 
 def identify(documents: DataFrame, sample: dict[str, str], text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, lang_pred and score of every row, from its text alone."""
-    spark = documents.sparkSession
+    spark = importable(documents.sparkSession)
     model = spark.sparkContext.broadcast(Model(sample))
     out = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
@@ -225,7 +230,7 @@ def identify(documents: DataFrame, sample: dict[str, str], text: str = "text", d
 
 def keep_known(documents: DataFrame, sample: dict[str, str], text: str = "text") -> DataFrame:
     """The rows whose text is in a learned language (not ``und``), with all their columns."""
-    model = documents.sparkSession.sparkContext.broadcast(Model(sample))
+    model = importable(documents.sparkSession).sparkContext.broadcast(Model(sample))
     at = documents.columns.index(text)
 
     def kept(batches):
