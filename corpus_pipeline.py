@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from accesstally.llm import bpe, decontaminate, language
+from accesstally.llm import bpe, decontaminate, language, near_duplicates, secrets
 from accesstally.sources.scratch import scratch_path, written
 
 
@@ -13,11 +14,23 @@ def known_language(spark, docs, sf_dir):
     return language.keep_known(docs, language.learn(docs))
 
 
+def one_of_each_group(spark, docs, sf_dir):
+    """Of near duplicates the one with the smallest number stays."""
+    return near_duplicates.keep_one(docs)
+
+
 def without_benchmark(spark, docs, sf_dir):
     """Documents with a passage of the benchmark go."""
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def without_secrets(spark, docs, sf_dir):
+    """All documents stay; secrets in them are masked."""
+    masked = secrets.redact(docs, secrets.by_document(secrets.scored(docs)))
+    length = F.when(F.size("_found.secrets") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return masked.withColumn("n_chars", length).select(docs.columns)
+
+
 def encoded(spark, docs, sf_dir):
     """Token ids of what is left."""
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -25,11 +38,13 @@ def encoded(spark, docs, sf_dir):
 
 STAGES = [
     ("language", known_language),
+    ("near_duplicates", one_of_each_group),
     ("decontamination", without_benchmark),
+    ("secrets", without_secrets),
     ("bpe", encoded),
 ]
 
-#: The language is learned and the tokenizer's merges are no SQL: tests hold the stages against plain versions.
+#: The learned stages and the tokenizer's merges are no SQL: tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 

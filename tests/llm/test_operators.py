@@ -303,3 +303,35 @@ def test_empty_tables(spark, tmp_path):
     for name, query in queries.queries().items():
         assert query(spark, str(tmp_path)).count() == 0, name
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_stages(spark):
+    """Every stage against a plain version of what it decides, on the output of the one before."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for name, stage in corpus_pipeline.STAGES:
+        before = [(r.doc_id, r.text) for r in docs.collect()]
+        after = stage(spark, docs, SMALL)
+        rows = after.collect()
+        if name == "bpe":
+            ids = {i: np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for i, t in before}
+            assert {r.doc_id: r.ids_sha256 for r in rows} == {i: brute.sha(x) for i, x in ids.items()}
+            continue
+        assert after.columns == docs.columns
+        got = {r.doc_id: r.text for r in rows}
+        if name == "language":
+            want = {i: t for i, t in before if any(c.isalpha() for c in t or "")}
+        elif name == "near_duplicates":
+            kept = {i for i, _, _, k in brute.near_duplicates(before) if k}
+            want = {i: t for i, t in before if i in kept}
+        elif name == "decontamination":
+            want = {i: t for (i, t), r in zip(before, brute.decontaminate([t for _, t in before], items), strict=True) if not r[-1]}
+        else:
+            hidden = {i: got[i].split(secrets.MASK) for i in got}
+            assert all("".join(p) == t if len(p) == 1 else all(x in t for x in p) for i, t in before for p in [hidden[i]])
+            want = {i: got[i] for i, _ in before}
+            assert all(r.n_chars == len(r.text) for r in rows if secrets.MASK in r.text)
+        assert got == want, name
+        docs = after.cache()
+        docs.count()
