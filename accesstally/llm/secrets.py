@@ -124,13 +124,18 @@ def candidates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id",
 def _pieces(value: Column) -> Column:
     """The runs of letters in a value, in lower case and parted where upper case begins."""
     parted = F.regexp_replace(value, "(?<=[a-z])(?=[A-Z])", " ")
-    return F.regexp_extract_all(F.lower(parted), F.lit(r"\p{L}{3,}"), F.lit(0))
+    return _letters(parted)
+
+
+def _letters(text: Column) -> Column:
+    """The runs of three letters and more, in lower case."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: F.length(x) >= 3)
 
 
 def dictionary(documents: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
     """Those pieces of candidates that are words of several documents, counted over all of them."""
     wanted = found.select(F.explode(_pieces(F.col("value"))).alias("word")).distinct()
-    own = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"\p{L}{3,}"), F.lit(0)))
+    own = F.array_distinct(_letters(F.col(text)))
     counted = documents.select(F.explode(own).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return counted.filter(F.col("n") >= DICTIONARY_DOCUMENTS).join(wanted, "word", "left_semi").select("word")
 
