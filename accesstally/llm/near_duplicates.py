@@ -9,11 +9,13 @@ sketches of classes are cut into bands, and two classes that agree on a band are
 With 40 bands of 6 coordinates a pair at the threshold of 0.85 is missed with probability (1 - 0.85**6)**40,
 about 6e-9. Links are confirmed on the full sets.
 
-A band shared by many classes is never expanded into pairs while it holds near copies: in each round
-one of its classes, the pivot, is compared with the others, links found join classes into components, and
-only classes in another component than the pivot remain. When few comparisons are left for all bands
-together, or after ``ROUNDS`` pivots, exactly the pairs of different components are compared. No link between
-components is lost; links inside a component cannot change it.
+A band shared by many classes is never expanded into pairs while it holds near copies. First, a shingle that
+no other candidate has cannot be shared, which bounds the similarity of a class with any other; classes
+bounded below the threshold are out, and pairs are tested against their bounds before they are formed.
+Then each band's pivot, the class with the fewest shingles of its own, is compared with the others, and links
+found join classes into components; this goes on with other pivots while it finds links. Last, exactly
+the pairs of different components that agree on a band are compared, each in the first such band. No link
+between components is lost; links inside a component cannot change it.
 
 Cases: null and empty text has an empty set and is linked with nothing; it is a component of its own, as
 is a document without a number. Rows with one number are one document where their texts agree, and are
@@ -26,7 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from accesstally.llm.bitmap import of_several
 from accesstally.llm.components import components
+from accesstally.llm.hashing import mixed, span_hashes
 from accesstally.llm.workers import importable
 from accesstally.sources.scratch import discard, scratch_path, written
 
@@ -35,61 +39,26 @@ SHINGLE = 5
 PERCENT = 85
 BANDS, ROWS = 40, 6
 COORDINATES = BANDS * ROWS
-#: Pivots a band gets before pairs are formed, and pairs a class that are formed at once.
-ROUNDS, PAIRS_EACH = 6, 8
+#: Pivots a band gets at most before pairs are formed, and pairs a class that are formed at once.
+ROUNDS, PAIRS_EACH = 4, 8
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_rng = np.random.default_rng(58)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
+_rng = np.random.default_rng(59)
 _SEEDS = _rng.integers(1, 2**63, 2 * COORDINATES, dtype=np.uint64)
 _BAND_ODD = _rng.integers(1, 2**62, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective mix of 64 bits."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class _Powers:
-    """Powers of an odd number and of its inverse, as far as texts were long."""
-
-    def __init__(self):
-        self.grow(1 << 16)
-
-    def grow(self, n: int) -> None:
-        inverse = pow(int(_ODD), -1, 2**64)
-        with np.errstate(over="ignore"):
-            self.up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _ODD)]))
-            self.down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(inverse))]))
-
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n >= len(self.up):
-            self.grow(2 * n)
-        return self.up, self.down
-
-
-_powers: list[_Powers] = []
-
-
 def shingles(text: str | None) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles of a whole text."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
     data = np.frombuffer(b" ".join(words), np.uint8)
-    if not _powers:
-        _powers.append(_Powers())
-    up, down = _powers[0].of(len(data))
     blanks = np.flatnonzero(data == 32)
     starts = np.concatenate([[0], blanks + 1])
     ends = np.concatenate([blanks, [len(data)]])
     n = min(SHINGLE, len(words))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[: len(data)])])
     last = len(words) - n + 1
-    spans = (sums[ends[n - 1 :]] - sums[starts[:last]]) * down[starts[:last]]
-    return np.unique(_mixed(spans))
+    return np.unique(span_hashes(data, starts[:last], ends[n - 1 :]))
 
 
 def sketch(values: np.ndarray) -> np.ndarray:
@@ -99,21 +68,21 @@ def sketch(values: np.ndarray) -> np.ndarray:
     low, at, step = np.uint64(2**52 - 1), 0, 1 + 1200 // len(values)
     while at < COORDINATES and best.max() == empty:
         rounds = np.arange(at, min(at + step, COORDINATES))
-        h = _mixed(values[None, :] ^ _SEEDS[rounds, None])
+        h = mixed(values[None, :] ^ _SEEDS[rounds, None])
         place = ((h >> np.uint64(52)) * np.uint64(COORDINATES)) >> np.uint64(12)
         value = (h & low) | (rounds.astype(np.uint64) << np.uint64(52))[:, None]
         np.minimum.at(best, place.ravel().astype(np.int64), value.ravel())
         at += step
     rest = np.flatnonzero(best == empty)
     if len(rest):
-        h = _mixed(values[None, :] ^ _SEEDS[COORDINATES + rest, None]).min(axis=1)
+        h = mixed(values[None, :] ^ _SEEDS[COORDINATES + rest, None]).min(axis=1)
         best[rest] = (h & low) | ((COORDINATES + rest).astype(np.uint64) << np.uint64(52))
     return best
 
 
 def bands(values: np.ndarray) -> np.ndarray:
     """One hash for each band."""
-    return _mixed((sketch(values).reshape(BANDS, ROWS) * _BAND_ODD).sum(axis=1, dtype=np.uint64))
+    return mixed((sketch(values).reshape(BANDS, ROWS) * _BAND_ODD).sum(axis=1, dtype=np.uint64))
 
 
 def _sketched(documents: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -174,6 +143,46 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(confirmed, "a long, b long")
 
 
+def _linkable(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, size and how many shingles other candidates have as well, where those are enough for a link."""
+    spark = nodes.sparkSession
+    arrays = lambda batch: [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
+    total = nodes.agg(F.sum(F.col("size").cast("double"))).first()[0] or 0
+    shared = spark.sparkContext.broadcast(of_several(sets.select("shingles"), arrays, total))
+    out = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("common", pa.int64())])
+
+    def counted(batches):
+        for batch in batches:
+            own = arrays(batch)
+            columns = [batch.column(0), pa.array([len(x) for x in own], pa.int64()), pa.array([int(shared.value.has(x).sum()) for x in own], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, schema=out)
+
+    found = sets.select("node", "shingles").mapInArrow(counted, "node long, size long, common long")
+    return written(found.filter(100 * F.col("common") >= PERCENT * F.col("size")), scratch_path(spark, "linkable"))
+
+
+def _may_link():
+    """Whether a class and ``other`` lie in different components and their sizes and bounds allow a link."""
+    total = F.col("size") + F.col("other.size")
+    least = F.least("size", "other.size")
+    common = F.least("common", "other.common")
+    # the intersection is at most common, and a link needs PERCENT / (100 + PERCENT) of the sizes
+    return (
+        (F.col("component") != F.col("other.component"))
+        & ((100 + PERCENT) * least >= PERCENT * total)
+        & ((100 + PERCENT) * common >= PERCENT * total)
+    )
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, paths: list[str], spark) -> bool:
+    """Write the links among pairs (node, other) and add their path; whether there are any."""
+    pairs = pairs.select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
+    path = scratch_path(spark, "confirmed")
+    found = written(_linked(pairs, sets), path)
+    paths.append(path)
+    return bool(found.take(1))
+
+
 def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest number linked) and kept of every row."""
     spark = importable(documents.sparkSession)
@@ -185,51 +194,48 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     shared = entries.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").select("band", "value")
     members_path = scratch_path(spark, "members")
     members = written(entries.join(shared, ["band", "value"]), members_path)
-    nodes_path, sets_path = scratch_path(spark, "nodes"), scratch_path(spark, "sets")
-    nodes = written(members.select("node").distinct(), nodes_path)
-    sets = written(_sets(documents, text, doc_id, nodes), sets_path)
+    nodes = written(members.select("node", "size").distinct(), scratch_path(spark, "nodes"))
+    sets_path = scratch_path(spark, "sets")
+    sets = written(_sets(documents, text, doc_id, nodes.select("node")), sets_path)
+    nodes = _linkable(nodes, sets)
+    members = members.join(nodes.select("node", "common"), "node")
+    members = written(members, scratch_path(spark, "members"))
+    discard(spark, members_path)
     n_nodes = nodes.count()
 
-    links_paths: list[str] = []
+    confirmed: list[str] = []
     labels = nodes.select("node", F.col("node").alias("component"))
-    open_members = members
-    similar_size = 100 * F.least("size", "other_size") >= PERCENT * F.greatest("size", "other_size")
     for turn in range(ROUNDS + 1):
         # what is left to compare: members of bands that hold several components
-        known = open_members.join(labels, "node")
-        band = known.groupBy("band", "value")
+        known = members.join(labels, "node")
         parts = known.groupBy("band", "value", "component").agg(F.count("*").alias("n"))
-        left = parts.groupBy("band", "value").agg(F.count("*").alias("parts"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
-        left = left.filter("parts > 1")
-        total = left.agg(F.sum("pairs")).first()[0] or 0
+        several = parts.groupBy("band", "value").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"), F.count("*").alias("parts"))
+        open_path = scratch_path(spark, "open")
+        several = written(several.filter("parts > 1").select("band", "value", ((F.col("n") * F.col("n") - F.col("inside")) / 2).alias("pairs")), open_path)
+        total = several.agg(F.sum("pairs")).first()[0] or 0
         if not total:
             break
-        known = known.join(left.select("band", "value"), ["band", "value"])
+        known = known.join(several.select("band", "value"), ["band", "value"])
         last = turn == ROUNDS or total <= PAIRS_EACH * n_nodes
+        if not last:
+            order = F.struct((-F.col("common") / F.col("size")).alias("own"), "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)).alias("own"), "node")
+            pivots = known.groupBy("band", "value").agg(F.min_by(F.struct("node", "size", "common", "component"), order).alias("other"))
+            pairs = known.join(pivots, ["band", "value"]).filter(_may_link())
+            found = _confirmed(pairs, sets, confirmed, spark)
+            last = not found  # another pivot will not find more than this one did
         if last:
-            other = known.select("band", "value", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("other_component"))
-            pairs = known.join(other, ["band", "value"]).filter((F.col("node") < F.col("other")) & (F.col("component") != F.col("other_component")) & similar_size)
-            pairs = pairs.select(F.col("node").alias("a"), F.col("other").alias("b"))
-        else:
-            first = F.min_by(F.struct("node", "size", "component"), F.xxhash64("node", F.lit(turn)))
-            pivots = known.groupBy("band", "value").agg(first.alias("pivot"))
-            pivots = pivots.select("band", "value", F.col("pivot.node").alias("other"), F.col("pivot.size").alias("other_size"), F.col("pivot.component").alias("other_component"))
-            with_pivot = known.join(pivots, ["band", "value"])
-            pairs = with_pivot.filter((F.col("component") != F.col("other_component")) & similar_size)
-            pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-            # the pivot is done with its band
-            open_path = scratch_path(spark, "open")
-            open_members = written(with_pivot.filter("node != other").select(*members.columns), open_path)
-        path = scratch_path(spark, "confirmed")
-        written(_linked(pairs.distinct(), sets), path)
-        links_paths.append(path)
-        labels = components(spark.read.parquet(*links_paths))
-        labels = nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+            same = F.exists(F.sequence(F.lit(0), F.col("band") - 1), lambda i: F.get("bands", i) == F.get("other.bands", i))
+            with_bands = known.join(classes.select("node", "bands"), "node")
+            other = with_bands.select("band", "value", F.struct("node", "size", "common", "component", "bands").alias("other"))
+            once = (F.col("band") == 0) | ~same
+            pairs = with_bands.join(other, ["band", "value"]).filter((F.col("node") < F.col("other.node")) & _may_link() & once)
+            _confirmed(pairs, sets, confirmed, spark)
+        labels = components(spark.read.parquet(*confirmed))
+        labels = nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
         labels = written(labels, scratch_path(spark, "labels"))
         if last:
             break
-    for path in (members_path, sets_path):
-        discard(spark, path)
+    discard(spark, sets_path)
     named = classes.select("set_key", "node").join(labels, "node", "left").select(
         F.col("set_key").alias("key"), F.coalesce("component", "node").alias("component")
     )
