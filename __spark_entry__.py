@@ -28,8 +28,7 @@ except ImportError as missing:  # these parts of the library are optional
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return text.spread(events.select("event_id", "ts", "user_id", "event_type", "value"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +110,23 @@ def batch_size_summary(spark, sf_dir):
 def chunk_stats(spark, sf_dir):
     parsed = _parsed(spark, sf_dir).select("batch_id", "event_id", "malformed_reason")
     numbered = chunks.number_rows(parsed, scratch_path(spark, "numbered"), "batch_id", "event_id")
-    return chunks.chunk_stats(numbered, 1000, file="batch_id")
+    return chunks.chunk_stats(numbered, 1000, scratch_path(spark, "blocks"), file="batch_id")
+
+
+def _file_chunks(size):
+    """Chunks of text files: 2000 consecutive events of a batch are a file, in order."""
+
+    def query(spark, sf_dir):
+        key = ["batch_id", "part"]
+        lines = _lines(spark, sf_dir).withColumn("part", F.expr("event_id DIV 2000"))
+        root = scratch_path(spark, "chunk-logs")
+        lines.repartition(*key).sortWithinPartitions(*key, "event_id").select(*key, "value").write.partitionBy(*key).text(root)
+        parsed = parse_lines(text.read_numbered_lines(spark, [root]))
+        found = chunks.chunk_stats(parsed, size, scratch_path(spark, "blocks"))
+        named = [F.regexp_extract("file_path", f"/{k}=([0-9]+)/", 1).cast(t).alias(k) for k, t in (("batch_id", "int"), ("part", "bigint"))]
+        return found.select(*named, "chunk_id", "good_records", "malformed_records")
+
+    return query
 
 
 def _written_batches(spark, sf_dir):
@@ -126,9 +141,26 @@ def _written_batches(spark, sf_dir):
 
 
 def file_batch_stats(spark, sf_dir):
-    paths = _written_batches(spark, sf_dir)
-    lines = text.with_batch_id(text.read_lines(spark, paths), paths)
-    return counts.batch_counts(parse_lines(lines))
+    """The second path is given twice, in two spellings."""
+    first, second = _written_batches(spark, sf_dir)
+    other = second.removeprefix("file://") if second.startswith("file:///") else second + "/"
+    return counts.batch_counts(parse_lines(text.read_lines(spark, [first, second, other])))
+
+
+def empty_file_batches(spark, sf_dir):
+    """A third path holds a file without lines."""
+    empty = scratch_path(spark, "empty-log")
+    spark.createDataFrame([], "value string").coalesce(1).write.text(empty)
+    paths = [*_written_batches(spark, sf_dir), empty]
+    return counts.batch_counts(parse_lines(text.read_lines(spark, paths)), len(paths))
+
+
+def q2_latin1(spark, sf_dir):
+    """The top list over files in ISO-8859-1; characters it lacks are written as question marks."""
+    root = scratch_path(spark, "latin1")
+    lines = _lines(spark, sf_dir).select("value")
+    lines.write.option("encoding", "ISO-8859-1").text(root)
+    return reports.top_resources(valid_records(parse_lines(text.read_lines(spark, [root], "ISO-8859-1"))))
 
 
 # Reports
@@ -143,7 +175,8 @@ def q2_top_resources(spark, sf_dir):
 
 
 def q2_top_resources_two_pass(spark, sf_dir):
-    return reports.top_resources(_records(spark, sf_dir), hosts_after_top=True)
+    records = tables.stored_records(spark, _store(spark, sf_dir))
+    return reports.top_resources(records, hosts_after_top=True)
 
 
 def q3_hourly_errors(spark, sf_dir):
@@ -216,7 +249,13 @@ def _json_result(name, columns):
 def _combined(spark, sf_dir):
     path = _store(spark, sf_dir)
     chosen = reports.selected_reports(tables.stored_records(spark, path), hosts_after_top=True)
-    return combined.combined_json(chosen, counts.record_counts(tables.read_store(spark, path)), 2)
+    total = counts.batch_size_summary(counts.batch_counts(tables.read_store(spark, path)))
+    total = total.select("total_records", "malformed_records", F.col("total_batches").alias("batch_count"))
+    return combined.combined_json(chosen, total)
+
+
+def combined_json_totals(spark, sf_dir):
+    return combined.read_totals(_combined(spark, sf_dir))
 
 
 def _combined_part(tag):
@@ -265,6 +304,16 @@ def stored_q1_rollup(spark, sf_dir):
     return history.stored_traffic(stored, "run-2")
 
 
+def stored_top_resources(spark, sf_dir):
+    stored = _two_runs(spark, sf_dir, "top_resources", reports.top_resources)
+    return history.stored_top_resources(stored, "run-2")
+
+
+def stored_hourly_errors(spark, sf_dir):
+    stored = _two_runs(spark, sf_dir, "hourly_error_analysis", reports.hourly_errors)
+    return history.stored_hourly_errors(stored, "run-2")
+
+
 def report_traffic(spark, sf_dir):
     stored = _two_runs(spark, sf_dir, "daily_traffic_summary", reports.daily_traffic)
     return history.report_traffic(stored, "run-2")
@@ -306,9 +355,9 @@ def run_malformed_summary(spark, sf_dir):
 
 def run_query_result(spark, sf_dir):
     stored, run_id = _etl_run(spark, sf_dir, "query3")
-    answered = stored.read("query_results", run_id).select("query_id", "query_name", "result_json")
-    rows = stored.read("hourly_error_analysis", run_id).agg(F.count("*").alias("stored_rows"))
-    return answered.withColumn("stored_rows", F.lit(rows.first()["stored_rows"]).cast("bigint"))
+    answered = stored.read("query_results", run_id).select("run_id", "query_id", "query_name", "result_json")
+    rows = stored.read("hourly_error_analysis", run_id).groupBy("run_id").agg(F.count("*").alias("stored_rows"))
+    return answered.join(rows, "run_id").drop("run_id")
 
 
 def latest_run(spark, sf_dir):
@@ -345,6 +394,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_size_summary": batch_size_summary,
         "chunk_stats": chunk_stats,
         "file_batch_stats": file_batch_stats,
+        "empty_file_batches": empty_file_batches,
+        "file_chunk_stats": _file_chunks(300),
+        "file_chunk_stats_single": _file_chunks(1),
         "q1_daily_traffic": q1_daily_traffic,
         "q2_top_resources": q2_top_resources,
         "q2_top_resources_two_pass": q2_top_resources_two_pass,
@@ -355,6 +407,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q1_prefix": q1_prefix,
         "q2_prefix": q2_prefix,
         "q3_prefix": q3_prefix,
+        "q2_latin1": q2_latin1,
         "q1_loose": q1_loose,
         "q2_loose": q2_loose,
         "q3_loose": q3_loose,
@@ -367,6 +420,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_roundtrip_q2": _json_result("query2", schema.Q2_RESULT),
         "json_roundtrip_q3": _json_result("query3", schema.Q3_RESULT),
         "combined_json": _combined,
+        "combined_json_totals": combined_json_totals,
         "combined_json_q1": _combined_part("q1"),
         "combined_json_q2": _combined_part("q2"),
         "combined_json_q3": _combined_part("q3"),
@@ -375,6 +429,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parsed_store_q3": parsed_store_q3,
         "parsed_store_batches": parsed_store_batches,
         "stored_q1_rollup": stored_q1_rollup,
+        "stored_top_resources": stored_top_resources,
+        "stored_hourly_errors": stored_hourly_errors,
         "report_traffic": report_traffic,
         "report_top_resources": report_top_resources,
         "report_hourly_errors": report_hourly_errors,

@@ -84,6 +84,15 @@ _PARSED = [
 ]
 
 
+def _request_pattern(space: str, part: str) -> str:
+    """Method, path and perhaps protocol; ``part`` is a character of the latter two."""
+    s = f"[{space}]"
+    return (
+        rf"{s}*+(?<method>[A-Z]++){s}++(?<path>{part}++)"
+        rf"(?:{s}++(?<protocol>HTTP/{part}++))?{s}*+"
+    )
+
+
 def _standard_pattern(space: str) -> str:
     """host - - [timestamp] "request" status bytes, anything after it ignored.
 
@@ -98,10 +107,7 @@ def _standard_pattern(space: str) -> str:
         r":(?<clock>(?<hour>2[0-3]|[01]?\d):[0-5]?\d:[0-5]?\d)"
         rf"{s}++(?<zone>{_ZONE})"
     )
-    request = (
-        rf"{s}*+(?<method>[A-Z]++){s}++(?<path>{in_quotes}++)"
-        rf"(?:{s}++(?<protocol>HTTP/{in_quotes}++))?{s}*+"
-    )
+    request = _request_pattern(space, in_quotes)
     return (
         rf"{s}*+(?<host>{n}++){s}++-{s}++-{s}++"
         rf"\[(?:{stamp}(?=\])|[^\]]++)\]{s}++"
@@ -155,16 +161,17 @@ def _iso_text(day: str, clock: str, zone: str) -> str:
 
 
 def request_parts(request: Column) -> tuple[Column, Column, Column]:
-    """Method, path and protocol of a bare request text."""
-    grammar = r"^([A-Z]+)\s+(\S+)(?:\s+(HTTP/\S+))?$"
-    trimmed = F.regexp_replace(request, rf"^[{UNICODE_SPACE}]+|[{UNICODE_SPACE}]+$", "")
-    known = trimmed.rlike(grammar)
-    method = F.when(known, F.regexp_extract(trimmed, grammar, 1)).otherwise(UNKNOWN)
-    path = F.when(known, F.regexp_extract(trimmed, grammar, 2)).otherwise(
-        F.coalesce(F.nullif(request, F.lit("")), F.lit("/"))
-    )
-    protocol = F.regexp_extract(trimmed, grammar, 3)
-    return method, path, F.when(known & (protocol != ""), protocol).otherwise(UNKNOWN)
+    """Method, path and protocol of a bare request text, by the line's own grammar and in one match."""
+
+    def replaced(space: str) -> Column:
+        numbered = re.sub(r"\?<[a-z]+>", "", _request_pattern(space, f"[^{space}]"))
+        return F.regexp_replace(request, rf"(?s)^(?:{numbered}|.*)$", "$1\n$2\n$3")
+
+    wide = (F.octet_length(request) != F.length(request)) & request.rlike(f"[{WIDE_SPACE}]")
+    parts = F.split(F.when(wide, replaced(UNICODE_SPACE)).otherwise(replaced(ASCII_SPACE)), "\n")
+    method, path, protocol = (F.nullif(parts[i], F.lit("")) for i in range(3))
+    whole = F.coalesce(path, F.nullif(request, F.lit("")), F.lit("/"))
+    return F.coalesce(method, F.lit(UNKNOWN)), whole, F.coalesce(protocol, F.lit(UNKNOWN))
 
 
 def parse_lines(lines: DataFrame, dialect: str = "clf", value: str = "value") -> DataFrame:

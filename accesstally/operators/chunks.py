@@ -9,7 +9,7 @@ them in their file, and a block is then cut at the chunk borders it crosses.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from accesstally.sources.scratch import written
 
@@ -35,11 +35,15 @@ def number_rows(rows: DataFrame, path: str, file: str, *order: str) -> DataFrame
 def chunk_stats(
     parsed: DataFrame,
     chunk_size: int,
+    path: str,
     file: str = "file_path",
     split: str = "split_start",
     seq: str = "line_seq",
 ) -> DataFrame:
-    """Good and malformed lines per (file, chunk); chunks count from 1, the last may be short."""
+    """Good and malformed lines per (file, chunk); chunks count from 1, the last may be short.
+
+    Blocks are written to ``path``: they are needed twice, and so the log is read once.
+    """
     if chunk_size < 1:
         raise ValueError("chunk_size must be at least 1")
     bad = F.col("malformed_reason").isNotNull()
@@ -51,45 +55,41 @@ def chunk_stats(
             F.collect_list(F.when(bad, F.col(seq))).alias("bad_seqs"),
         )
     )
+    blocks = written(blocks, path)
     before = Window.partitionBy(file).orderBy(split).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         blocks.groupBy(file, split)
-        .agg(
-            F.sum("lines").alias("split_lines"),
-            F.min("first_seq").alias("split_seq"),
-            F.sum(F.size("bad_seqs")).alias("split_bad"),
-        )
+        .agg(F.sum("lines").alias("split_lines"), F.min("first_seq").alias("split_seq"))
         .select(
             file,
             split,
-            "split_bad",
             (F.coalesce(F.sum("split_lines").over(before), F.lit(0)) - F.col("split_seq")).alias("shift"),
         )
     )
-    # Both sides of the join need every column of a block, so they share one
-    # shuffle of blocks and the lines are read once.
     start = F.col("first_seq") + F.col("shift")
     placed = blocks.join(offsets, [file, split]).select(
         file,
         start.alias("start"),
         (start + F.col("lines")).alias("stop"),
-        F.when(F.col("split_bad") > 0, F.transform("bad_seqs", lambda s: s + F.col("shift")))
-        .otherwise(F.col("bad_seqs"))
-        .alias("bad_lines"),
+        F.transform("bad_seqs", lambda s: s + F.col("shift")).alias("bad_lines"),
     )
     return _cut(placed, file, chunk_size)
 
 
 def _cut(placed: DataFrame, file: str, size: int) -> DataFrame:
-    def chunk_of(line: str) -> Column:
-        return F.expr(f"({line}) DIV {size}")
+    """Lines of a block by chunk from its borders, malformed ones each by its own number."""
 
-    low = F.greatest(F.col("start"), F.col("chunk") * size)
-    high = F.least(F.col("stop"), (F.col("chunk") + 1) * size)
-    bad_here = F.size(F.filter("bad_lines", lambda n: (n >= low) & (n < high)))
+    spans = F.transform(
+        F.expr(f"sequence(start DIV {size}, (stop - 1) DIV {size})"),
+        lambda c: F.struct(
+            c.alias("chunk"),
+            (F.least("stop", (c + 1) * size) - F.greatest("start", c * size)).alias("lines"),
+            F.lit(0).cast("bigint").alias("bad"),
+        ),
+    )
+    bad = F.expr(f"transform(bad_lines, n -> named_struct('chunk', n DIV {size}, 'lines', 0L, 'bad', 1L))")
     return (
-        placed.select("*", F.explode(F.sequence(chunk_of("start"), chunk_of("stop - 1"))).alias("chunk"))
-        .select(file, "chunk", (high - low).alias("lines"), bad_here.cast("bigint").alias("bad"))
+        placed.select(file, F.inline(F.concat(spans, bad)))
         .groupBy(file, (F.col("chunk") + 1).alias("chunk_id"))
         .agg(
             (F.sum("lines") - F.sum("bad")).alias("good_records"),

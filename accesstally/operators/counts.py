@@ -22,12 +22,20 @@ def row_count(table) -> DataFrame:
     return table.agg(F.count("*").alias("row_count"))
 
 
-def batch_counts(parsed: DataFrame) -> DataFrame:
-    """Exact valid and malformed lines per batch."""
-    return parsed.groupBy("batch_id").agg(
+def batch_counts(parsed: DataFrame, batches: int | None = None) -> DataFrame:
+    """Exact valid and malformed lines per batch; of batches 1 to ``batches`` also those without lines."""
+    counted = parsed.groupBy("batch_id").agg(
         F.count_if(_valid()).alias("records_processed"),
         F.count_if(~_valid()).alias("malformed_records"),
     )
+    if batches is None:
+        return counted
+    number = F.col("id").cast("int").alias("batch_id")
+    none = parsed.sparkSession.range(1, batches + 1).select(
+        number, F.lit(0).cast("bigint").alias("records_processed"), F.lit(0).cast("bigint").alias("malformed_records")
+    )
+    sums = [F.sum(c).alias(c) for c in ("records_processed", "malformed_records")]
+    return counted.unionByName(none).groupBy("batch_id").agg(*sums)
 
 
 def batch_size_summary(batches: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from accesstally.operators.reports import MAX_SHOWN
+
 # Rows shown per report, length of a path in a report.
 SHOWN_ROWS = 20
 SHOWN_PATH = 50
@@ -71,6 +73,16 @@ def latest_run(runs: DataFrame) -> DataFrame:
     return runs.orderBy(F.desc("created_at"), "run_id").select("run_id").limit(1)
 
 
+def stored_top_resources(top: DataFrame, run_id: str) -> DataFrame:
+    """The stored top list of one run, whole and in order."""
+    return top.filter(F.col("run_id") == run_id).drop("run_id").orderBy("rank")
+
+
+def stored_hourly_errors(hourly: DataFrame, run_id: str) -> DataFrame:
+    """The stored hourly errors of one run, whole and in order."""
+    return hourly.filter(F.col("run_id") == run_id).drop("run_id").orderBy("log_date", "log_hour")
+
+
 def run_history(runs: DataFrame, results: DataFrame, rows: int = SHOWN_ROWS) -> DataFrame:
     """The newest runs with the query each one answered, ``all`` where none is recorded.
 
@@ -79,6 +91,8 @@ def run_history(runs: DataFrame, results: DataFrame, rows: int = SHOWN_ROWS) ->
     map-side join whose build side has ``rows`` rows, and are cut down as well.
     Neither table is shuffled.
     """
+    if not 0 < rows <= MAX_SHOWN:
+        raise ValueError(f"a history has 1 to {MAX_SHOWN} rows")
     columns = [
         "run_id",
         "pipeline_name",

@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 ERROR_MIN, ERROR_MAX = 400, 599
 TOP_N = 20
 
+# Rows of a list at most; such lists are broadcast.
+MAX_SHOWN = 10_000
+
 QUERY_IDS = {"all": 0, "query1": 1, "query2": 2, "query3": 3}
 
 
@@ -24,13 +27,18 @@ def with_error_tag(records: DataFrame, low: int = ERROR_MIN, high: int = ERROR_M
     return records.withColumn("is_error", is_error(F.col("status_code"), low, high).cast("int"))
 
 
+def total_bytes() -> Column:
+    """Bytes summed in decimals, as one line can carry the largest integer."""
+    return F.sum(F.col("bytes_transferred").cast("decimal(20,0)")).alias("total_bytes")
+
+
 def daily_traffic(records: DataFrame) -> DataFrame:
     """Requests and bytes per date and status."""
     return (
         records.groupBy("log_date", "status_code")
         .agg(
             F.count("*").alias("request_count"),
-            F.sum("bytes_transferred").alias("total_bytes"),
+            total_bytes(),
         )
         .orderBy("log_date", "status_code")
     )
@@ -50,8 +58,10 @@ def top_resources(records: DataFrame, n: int = TOP_N, hosts_after_top: bool = Fa
     and (path, host) pairs of all other paths are never shuffled. That pays on a
     columnar store of parsed records; from raw text the single pass does.
     """
+    if not 0 < n <= MAX_SHOWN:
+        raise ValueError(f"a top list has 1 to {MAX_SHOWN} rows")
     known = records.filter(F.col("resource_path").isNotNull())
-    measures = [F.count("*").alias("request_count"), F.sum("bytes_transferred").alias("total_bytes")]
+    measures = [F.count("*").alias("request_count"), total_bytes()]
     hosts = F.countDistinct("host").alias("distinct_host_count")
     order = (F.desc("request_count"), F.col("resource_path"))
 

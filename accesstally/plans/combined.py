@@ -15,11 +15,19 @@ _PARTS = {
 }
 
 
-def combined_json(reports: dict[str, DataFrame], counts: DataFrame, batch_count: int) -> DataFrame:
+# Report rows a document holds at most: a century of hours, or of days with nine statuses.
+MAX_ROWS = 1_000_000
+
+
+_TOTALS = ["total_records", "malformed_records", "batch_count"]
+
+
+def combined_json(reports: dict[str, DataFrame], counts: DataFrame) -> DataFrame:
     """One row, one column ``result_json``: the report rows in order, and the totals.
 
-    Report rows grow with the days and hours a log covers, not with its lines;
-    they are what is gathered here. A report that was not selected is empty.
+    ``counts`` holds total_records, malformed_records and batch_count. Report rows grow with the days and
+    hours a log covers, not with its lines; they are what is gathered here, and a document of more than
+    ``MAX_ROWS`` raises an error. A report that was not selected is empty.
     """
     tagged = [counts.withColumn("part", F.lit("counts"))]
     shown = {tag: part for tag, part in _PARTS.items() if part[0] in reports}
@@ -38,10 +46,19 @@ def combined_json(reports: dict[str, DataFrame], counts: DataFrame, batch_count:
         *[listed(tag, fields, keys) for tag, (_, fields, keys) in shown.items()],
         F.max("total_records").alias("total_records"),
         F.max("malformed_records").alias("malformed_records"),
+        F.max("batch_count").alias("batch_count"),
+        F.count("*").alias("rows"),
     )
+    too_many = F.raise_error(F.lit(f"a combined document holds at most {MAX_ROWS} rows"))
+    gathered = gathered.filter(F.when(F.col("rows") > MAX_ROWS, too_many.cast("boolean")).otherwise(True))
     lists = [F.col(tag) if tag in shown else F.array().alias(tag) for tag in _PARTS]
-    totals = ["total_records", "malformed_records", F.lit(batch_count).alias("batch_count")]
-    return gathered.select(F.to_json(F.struct(*lists, *totals)).alias("result_json"))
+    return gathered.select(F.to_json(F.struct(*lists, *_TOTALS)).alias("result_json"))
+
+
+def read_totals(documents: DataFrame) -> DataFrame:
+    """The totals back out of a combined document."""
+    columns = ", ".join(f"{name} bigint" for name in _TOTALS)
+    return documents.select(F.from_json("result_json", columns).alias("found")).select("found.*")
 
 
 def read_combined(documents: DataFrame, tag: str) -> DataFrame:

@@ -15,7 +15,7 @@ from accesstally.operators.counts import batch_counts, batch_size_summary
 from accesstally.operators.reports import QUERY_IDS, loose_resource_lines, selected_reports, top_resources
 from accesstally.schema import TABLES
 from accesstally.sources.tables import RunTables, read_store, stored_records, with_run, write_store
-from accesstally.sources.text import read_lines, with_batch_id
+from accesstally.sources.text import batch_paths, read_lines
 
 _RESULT_TABLES = {
     "query1": "daily_traffic_summary",
@@ -25,7 +25,7 @@ _RESULT_TABLES = {
 
 
 def new_run_id() -> str:
-    return str(uuid.uuid4())[:12]
+    return str(uuid.uuid4())
 
 
 def batch_rows(batches: DataFrame, run_id: str, pipeline_name: str, at: datetime) -> DataFrame:
@@ -46,24 +46,25 @@ def run(
     batch_size: int = 5000,
     dialect: str = "clf",
     extra: dict | None = None,
-    balance: bool = False,
+    balance: bool = True,
+    encoding: str = "UTF-8",
 ) -> str:
     """Process the files and return the run id.
 
     Lines are parsed once, into the store. The reports read two to four columns
     of it each, and only the selected ones run. The run record is the last thing
     written, so a run that fails half way never shows up in the history.
+    ``batch_size`` is a label in the run record: each path is one batch.
     """
     if query not in QUERY_IDS:
         raise ValueError(f"invalid query name {query!r}, expected one of {sorted(QUERY_IDS)}")
     started, clock = datetime.now(timezone.utc), time.monotonic()
     run_id, tables = new_run_id(), RunTables(spark, tables_root)
-    paths = list(dict.fromkeys(paths))
+    paths = batch_paths(spark, paths)
 
-    lines = with_batch_id(read_lines(spark, paths), paths)
-    write_store(parse_lines(lines, dialect), store, balance)
+    write_store(parse_lines(read_lines(spark, paths, encoding), dialect), store, balance)
 
-    batches = batch_counts(read_store(spark, store))
+    batches = batch_counts(read_store(spark, store), len(paths))
     tables.append("batch_metadata", batch_rows(batches, run_id, pipeline_name, started))
     logged = tables.read("batch_metadata", run_id)
 

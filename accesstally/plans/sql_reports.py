@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from accesstally.operators.reports import ERROR_MAX, ERROR_MIN, TOP_N
 
 Q1 = """
-SELECT log_date, status_code, count(*) AS request_count, sum(bytes_transferred) AS total_bytes
+SELECT log_date, status_code, count(*) AS request_count, sum(CAST(bytes_transferred AS decimal(20,0))) AS total_bytes
 FROM {records}
 GROUP BY log_date, status_code
 ORDER BY log_date, status_code
 """
 
 Q2 = f"""
-SELECT resource_path, count(*) AS request_count, sum(bytes_transferred) AS total_bytes,
+SELECT resource_path, count(*) AS request_count, sum(CAST(bytes_transferred AS decimal(20,0))) AS total_bytes,
        count(DISTINCT host) AS distinct_host_count
 FROM {{records}}
 WHERE resource_path IS NOT NULL
@@ -23,13 +23,14 @@ ORDER BY request_count DESC, resource_path
 LIMIT {TOP_N}
 """
 
-# The rate stays unrounded here.
+# The rate stays unrounded here. A distinct count over a condition, not a filter
+# clause: that one doubles every row before it is aggregated.
 Q3 = f"""
 SELECT log_date, log_hour,
        count_if(status_code BETWEEN {ERROR_MIN} AND {ERROR_MAX}) AS error_request_count,
        count(*) AS total_request_count,
        count_if(status_code BETWEEN {ERROR_MIN} AND {ERROR_MAX}) / count(*) AS error_rate,
-       count(DISTINCT host) FILTER (WHERE status_code BETWEEN {ERROR_MIN} AND {ERROR_MAX})
+       count(DISTINCT CASE WHEN status_code BETWEEN {ERROR_MIN} AND {ERROR_MAX} THEN host END)
            AS distinct_error_hosts
 FROM {{records}}
 WHERE log_date IS NOT NULL AND log_hour IS NOT NULL

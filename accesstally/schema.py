@@ -31,12 +31,16 @@ RECORD = T.StructType(
     ]
 )
 
+# Sums of 64-bit integers need more digits than one of them.
+BYTES_SUM = T.DecimalType(30, 0)
+
+# Columns of the three reports.
 Q1_RESULT = T.StructType(
     [
         T.StructField("log_date", T.DateType()),
         T.StructField("status_code", T.IntegerType()),
         T.StructField("request_count", T.LongType()),
-        T.StructField("total_bytes", T.LongType()),
+        T.StructField("total_bytes", BYTES_SUM),
     ]
 )
 
@@ -44,7 +48,7 @@ Q2_RESULT = T.StructType(
     [
         T.StructField("resource_path", T.StringType()),
         T.StructField("request_count", T.LongType()),
-        T.StructField("total_bytes", T.LongType()),
+        T.StructField("total_bytes", BYTES_SUM),
         T.StructField("distinct_host_count", T.LongType()),
         T.StructField("rank", T.IntegerType()),
     ]
@@ -73,7 +77,7 @@ _RUN_KEY = [
     T.StructField("pipeline_name", T.StringType()),
 ]
 
-# Stored tables by name. Result tables carry the run key in front of the rows.
+# Stored tables by name. Result tables carry the run key in front of the rows.
 TABLES = {
     "execution_metadata": T.StructType(
         _RUN_KEY

@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame, functions as F
 
 _REQUEST = """
     CASE WHEN event_id % 109 = 0 THEN ''
+         WHEN event_id % 149 = 0 THEN 'GET /big HTTP/1.0'
+         WHEN event_id % 193 = 0 THEN 'GET /é/日 HTTP/1.0'
+         WHEN event_id % 197 = 0 THEN concat('GET', char(160), '/nb HTTP/1.0')
+         WHEN event_id % 199 = 0 THEN concat('GET', char(28), '/fs HTTP/1.0')
+         WHEN event_id % 211 = 0 THEN concat('GET', char(9), '/tab  HTTP/1.0 ')
          WHEN event_id % 113 = 0 THEN 'GET /a b HTTP/1.0'
          WHEN event_id % 139 = 0 THEN concat('GET /', event_type)
          ELSE concat('GET /', event_type, '/', event_id % 37, ' HTTP/1.0') END"""
@@ -19,8 +24,16 @@ _REQUEST = """
 _STAMP = """
     CASE WHEN event_id % 127 = 0 THEN replace(stamp, 'Jan', 'Foo')
          WHEN event_id % 131 = 0 THEN concat('31/Feb/', substring(stamp, 8))
+         WHEN event_id % 173 = 0 THEN date_format(ts, 'd/MMM/yyyy:H:m:s')
+         WHEN event_id % 179 = 0 THEN lower(stamp)
          ELSE stamp END"""
 
+_ZONE = """
+    CASE WHEN event_id % 157 = 0 THEN 'Z'
+         WHEN event_id % 163 = 0 THEN '+05:30'
+         WHEN event_id % 167 = 0 THEN '-0000'
+         ELSE '-0400' END"""
+
 _STATUS = """
     CASE WHEN event_id % 103 = 0 THEN '-'
          WHEN event_type = 'error' THEN if(event_id % 3 = 0, '500', '404')
@@ -30,6 +43,8 @@ _STATUS = """
 
 _SIZE = """
     CASE WHEN event_id % 107 = 0 THEN 'abc'
+         WHEN event_id % 149 = 0 THEN '9223372036854775807'
+         WHEN event_id % 151 = 0 THEN '-7'
          WHEN event_type = 'click' THEN '-'
          ELSE cast(floor(value) AS string) END"""
 
@@ -41,7 +56,9 @@ def event_requests(events: DataFrame) -> DataFrame:
 def event_lines(events: DataFrame) -> DataFrame:
     """One line per event: ``event_id``, ``batch_id`` (half of the month) and ``value``."""
     stamped = events.selectExpr("*", "date_format(ts, 'dd/MMM/yyyy:HH:mm:ss') AS stamp")
-    line = f"""concat('h', user_id, '.example.com - - [', {_STAMP}, ' -0400] "', {_REQUEST}, '" ',
+    host = "concat(if(event_id % 191 = 0, 'hü', 'h'), user_id, '.example.com')"
+    names = "if(event_id % 181 = 0, ' bob alice [', ' - - [')"
+    line = f"""concat({host}, {names}, {_STAMP}, ' ', {_ZONE}, '] "', {_REQUEST}, '" ',
                       {_STATUS}, ' ', {_SIZE})"""
     return stamped.selectExpr(
         "event_id",

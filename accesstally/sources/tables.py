@@ -65,13 +65,15 @@ def _rounded(rows: DataFrame) -> DataFrame:
     return rows.withColumn("error_rate", F.round("error_rate", 4))
 
 
-def write_store(parsed: DataFrame, path: str, balance: bool = False) -> None:
+def write_store(parsed: DataFrame, path: str, balance: bool = True) -> None:
     """Replace the parsed store: Parquet by date, all lines, valid or not.
 
     Malformed lines keep their text and reason and have no date, so they form a
-    partition of their own; one parse feeds every later read. Logs arrive in
-    time order, so tasks write few dates each. ``balance`` adds a rebalancing
-    shuffle for inputs that do not; it splits dates that are too large.
+    partition of their own; one parse feeds every later read. ``balance`` adds a
+    rebalancing shuffle, so a date has as many files as its size needs; without
+    it every task writes a file for each date it holds, which suits logs in time
+    order that no reader has dealt out. The whole store is replaced, whatever the
+    session's mode of overwriting partitions.
     """
     stored = parsed.withColumns(
         {
@@ -81,7 +83,8 @@ def write_store(parsed: DataFrame, path: str, balance: bool = False) -> None:
     )
     if balance:
         stored = stored.hint("rebalance", "log_date")
-    stored.write.mode("overwrite").partitionBy("log_date").parquet(path)
+    replaced = stored.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    replaced.partitionBy("log_date").parquet(path)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:

@@ -2,72 +2,80 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Beyond this many files the lookup is left to the planner instead of being broadcast.
-BROADCAST_FILES = 50_000
+#: Fixed value: endings of files that cannot be split.
+UNSPLITTABLE = r"(?i)\.(gz|deflate|zst|snappy|lz4)$"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with fewer splits than there are cores, dealt out over all of them.
+def batch_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The given paths in full, each once, in order; the n-th is batch n.
 
-    Compressed logs and files of a single row group cannot be split; without this
-    one task would parse the whole file. A scan with enough splits is left alone.
+    Raises where one path lies in another, as its lines would belong to two batches. A pattern is compared
+    by the paths it matches now.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
-def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All lines of all paths: ``value`` and ``file_path``. A repeated path is read once."""
-    return spread(
-        spark.read.text(list(dict.fromkeys(paths))).select(
-            "value", F.col("_metadata.file_path").alias("file_path")
-        )
-    )
+    conf = spark._jsc.hadoopConfiguration()
+    full: dict[str, list[str]] = {}
+    for path in paths:
+        given = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = given.getFileSystem(conf)
+        name = system.makeQualified(given).toString()
+        pattern = any(c in path for c in "*?[{")
+        found = system.globStatus(given) if pattern else None
+        full[name] = [s.getPath().toString() for s in found] if found else [name]
+    places = sorted({(place.rstrip("/") + "/", name) for name, matched in full.items() for place in matched})
+    held: list[tuple[str, str]] = []
+    for place, name in places:
+        while held and not place.startswith(held[-1][0]):
+            held.pop()
+        if held and held[-1][1] != name:
+            raise ValueError(f"{name!r} and {held[-1][1]!r} share files")
+        held.append((place, name))
+    return list(full)
+
+
+def read_lines(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """All lines of all paths: ``value``, ``file_path`` and ``batch_id`` (from 1, by path).
+
+    Other encodings than UTF-8 must keep ASCII line ends, as ISO-8859-1 does.
+    """
+    return _read(spark, paths, encoding)
 
 
-def read_numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_numbered_lines(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
     """Lines with the position columns that chunk statistics need.
 
     The sequence number is taken on the scan itself, before any filter.
     """
-    return spread(
-        spark.read.text(list(dict.fromkeys(paths))).select(
-            "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.monotonically_increasing_id().alias("line_seq"),
-        )
-    )
+    position = {
+        "split_start": F.col("_metadata.file_block_start"),
+        "line_seq": F.monotonically_increasing_id(),
+    }
+    return _read(spark, paths, encoding, position)
 
 
-def file_batches(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, int]:
-    """Lookup from file to batch number and its size.
+def _read(spark: SparkSession, paths: Sequence[str], encoding: str, more: dict[str, Column] | None = None) -> DataFrame:
+    """One scan for each path; the batch number is a constant of the scan.
 
-    Batches count from 1 in the order of ``paths``; a directory is one batch.
+    A compressed file is one split, so its lines are dealt out after the scan; the others' splits are not
+    shuffled. Both scans pick their files by name when they list them.
     """
-    rows = [
-        (_as_metadata(name), position)
-        for position, path in enumerate(dict.fromkeys(paths), start=1)
-        for name in spark.read.text(path).inputFiles()
-    ]
-    return spark.createDataFrame(rows, "file_path string, batch_id int"), len(rows)
-
-
-def _as_metadata(uri: str) -> str:
-    """A listed file as ``_metadata.file_path`` spells it: no empty authority."""
-    return re.sub(r"^(\w+):///", r"\1:/", uri)
-
-
-def with_batch_id(lines: DataFrame, paths: Sequence[str]) -> DataFrame:
-    lookup, size = file_batches(lines.sparkSession, paths)
-    if size <= BROADCAST_FILES:
-        lookup = F.broadcast(lookup)
-    return lines.join(lookup, "file_path", "left")
+    value = F.col("value")
+    if encoding.upper() != "UTF-8":
+        value = F.decode(value.cast("binary"), encoding)
+    packed = F.col("_metadata.file_name").rlike(UNSPLITTABLE)
+    scans = []
+    for number, path in enumerate(batch_paths(spark, paths), start=1):
+        columns = {"value": value, "file_path": F.col("_metadata.file_path"), "batch_id": F.lit(number), **(more or {})}
+        text = spark.read.text(path)
+        chosen = [text.filter(f).select(*[c.alias(n) for n, c in columns.items()]) for f in (~packed, packed)]
+        scans += [chosen[0], chosen[1].repartition(spark.sparkContext.defaultParallelism)]
+    if not scans:
+        raise ValueError("no paths given")
+    return reduce(DataFrame.unionByName, scans)
 
 
 def union_batches(*batches: DataFrame) -> DataFrame:
@@ -75,7 +83,4 @@ def union_batches(*batches: DataFrame) -> DataFrame:
     if not batches:
         raise ValueError("no batches given")
     numbered = [b.withColumn("batch_id", F.lit(i)) for i, b in enumerate(batches, start=1)]
-    result = numbered[0]
-    for batch in numbered[1:]:
-        result = result.unionByName(batch)
-    return result
+    return reduce(DataFrame.unionByName, numbered)

@@ -2,6 +2,7 @@
 
 import gzip
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -46,9 +47,8 @@ def test_text_files(spark, tmp_path, small_splits, exchange_reuse, monkeypatch,
             flags.pop()
         want[name] = brute(flags, size)
     lines = read_numbered_lines(spark, [str(tmp_path / n) for n in want])
-    assert lines.rdd.getNumPartitions() > 5
     got = defaultdict(dict)
-    for row in chunks.chunk_stats(parse_lines(lines), size).collect():
+    for row in chunks.chunk_stats(parse_lines(lines), size, str(tmp_path / "blocks")).collect():
         got[row.file_path.rsplit("/", 1)[1]][row.chunk_id] = (row.good_records, row.malformed_records)
     assert dict(got) == want
 
@@ -71,7 +71,7 @@ def test_ordered_rows(spark, tmp_path, exchange_reuse, size):
         "malformed_reason", F.when(~F.col("good"), "no_match")
     )
     got = defaultdict(dict)
-    for row in chunks.chunk_stats(numbered, size, file="f").collect():
+    for row in chunks.chunk_stats(numbered, size, str(tmp_path / "blocks"), file="f").collect():
         got[row.f][row.chunk_id] = (row.good_records, row.malformed_records)
     assert dict(got) == want
 
@@ -80,24 +80,45 @@ def test_compressed_file_is_spread_and_keeps_its_order(spark, tmp_path):
     flags = [i % 7 != 0 and i > 50 for i in range(500)]
     with gzip.open(tmp_path / "a.gz", "wt") as out:
         out.writelines((GOOD if good else "x") + "\n" for good in flags)
-    lines = read_numbered_lines(spark, [str(tmp_path / "a.gz")])
-    assert lines.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    (tmp_path / "logs").mkdir()
+    for i in range(20):
+        (tmp_path / "logs" / f"{i}.log").write_text(GOOD + "\n")
+    lines = read_numbered_lines(spark, [str(tmp_path / "logs"), str(tmp_path / "a.gz")])
+    # the compressed file is dealt out evenly however many others there are
+    tasks = lines.filter("file_path like '%gz'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == spark.sparkContext.defaultParallelism and max(r["count"] for r in tasks) < 100
+    lines = lines.filter("batch_id = 2")
     got = {
         r.chunk_id: (r.good_records, r.malformed_records)
-        for r in chunks.chunk_stats(parse_lines(lines), 60).collect()
+        for r in chunks.chunk_stats(parse_lines(lines), 60, str(tmp_path / "blocks")).collect()
     }
     assert got == brute(flags, 60)
 
 
 def test_log_is_read_once(spark, tmp_path):
     (tmp_path / "a").write_text((GOOD + "\n") * 10)
-    frame = chunks.chunk_stats(parse_lines(read_numbered_lines(spark, [str(tmp_path / "a")])), 4)
-    frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("FileScan text") == 1 and "ReusedExchange" in plan
+    lines = parse_lines(read_numbered_lines(spark, [str(tmp_path / "a")]))
+    frame = chunks.chunk_stats(lines, 4, str(tmp_path / "blocks"))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "blocks" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert frame.agg(F.sum("good_records")).first()[0] == 10
+
+
+def test_many_malformed_lines_in_small_chunks(spark, tmp_path):
+    flags = [i % 2 == 0 for i in range(40_000)]
+    (tmp_path / "a").write_text("".join((GOOD if good else "x") + "\n" for good in flags))
+    lines = parse_lines(read_numbered_lines(spark, [str(tmp_path / "a")]))
+    took = {}
+    for size in (1000, 1):
+        began = time.monotonic()
+        found = chunks.chunk_stats(lines, size, str(tmp_path / f"blocks{size}"))
+        totals = found.agg(F.sum("good_records"), F.sum("malformed_records"), F.count("*")).first()
+        took[size] = time.monotonic() - began
+        assert tuple(totals) == (20_000, 20_000, 40_000 // size)
+    assert took[1] < 10 * took[1000] + 5
 
 
 def test_size_must_be_positive(spark):
     with pytest.raises(ValueError):
-        chunks.chunk_stats(spark.range(1), 0)
+        chunks.chunk_stats(spark.range(1), 0, "unused")

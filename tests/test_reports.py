@@ -81,7 +81,7 @@ def test_invariants(spark):
     records = valid_records(parsed)
     total = counts.record_counts(parsed).first()
     assert total.total_records + total.malformed_records == lines.count()
-    assert (total.total_records, total.malformed_records) == (9649, 351)
+    assert (total.total_records, total.malformed_records) == (9594, 406)
     q1 = reports.daily_traffic(records).cache()
     q3 = reports.hourly_errors(records).cache()
     assert q1.agg(F.sum("request_count")).first()[0] == total.total_records
@@ -138,3 +138,20 @@ def test_plans(spark):
         plan = plan_of(build(frame))
         assert "Expand" not in plan
         assert "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
+    for text in (sql_reports.Q1, sql_reports.Q2, sql_reports.Q3):
+        plan = plan_of(sql_reports.run_sql(spark, text, frame))
+        assert "Expand" not in plan and "Cartesian" not in plan
+
+
+def test_largest_sizes_are_summed(spark):
+    rows = [("h", "/a", date(2024, 1, 1), 1, 200, 2**63 - 1)] * 3
+    frame = spark.createDataFrame(rows, FIELDS)
+    for found in (reports.daily_traffic(frame), reports.top_resources(frame), reports.top_resources(frame, hosts_after_top=True),
+                  sql_reports.run_sql(spark, sql_reports.Q1, frame), sql_reports.run_sql(spark, sql_reports.Q2, frame)):
+        assert [int(r.total_bytes) for r in found.collect()] == [3 * (2**63 - 1)]
+
+
+@pytest.mark.parametrize("n", [0, reports.MAX_SHOWN + 1])
+def test_list_lengths_are_checked(spark, n):
+    with pytest.raises(ValueError):
+        reports.top_resources(skewed(spark)[1], n)

@@ -1,9 +1,12 @@
 """Files, sinks, stores and whole runs."""
 
+import gzip
 import json
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from accesstally import schema
 from accesstally.functions.clf import parse_lines, valid_records
@@ -26,12 +29,38 @@ def logs(tmp_path):
 
 
 def test_batches_follow_the_order_of_paths(spark, logs):
-    for paths in (logs, logs[::-1], logs + logs):
-        lines = text.with_batch_id(text.read_lines(spark, paths), paths)
+    for paths in (logs, logs[::-1], logs + logs, [logs[0], "file:" + logs[1], logs[1].replace("/august", "/./august")]):
+        lines = text.read_lines(spark, paths)
         found = {r.batch_id: (r.records_processed, r.malformed_records)
                  for r in counts.batch_counts(parse_lines(lines)).collect()}
         first, second = ((3, 1), (2, 1)) if paths[0] == logs[0] else ((2, 1), (3, 1))
         assert found == {1: first, 2: second}
+        assert "Join" not in lines._jdf.queryExecution().executedPlan().toString()
+
+
+def test_paths_that_share_files_are_refused(spark, logs, tmp_path):
+    folder = str(tmp_path)
+    for paths in ([folder, logs[0]], [logs[1], "file://" + folder + "/"], [folder + "/*.log", logs[1]], [folder + "/*.log", folder]):
+        with pytest.raises(ValueError):
+            text.read_lines(spark, paths)
+    assert len(text.batch_paths(spark, [folder + "/a*.log", folder + "/j*.log"])) == 2
+
+
+def test_files_without_lines_are_batches(spark, logs, tmp_path):
+    (tmp_path / "none.log").write_text("")
+    paths = [str(tmp_path / "none.log"), *logs]
+    found = counts.batch_counts(parse_lines(text.read_lines(spark, paths)), len(paths))
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 0, 0), (2, 3, 1), (3, 2, 1)]
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    run_id = etl.run(spark, paths, str(tmp_path / "store"), str(tmp_path / "tables"), "query1")
+    meta = tables.RunTables(spark, str(tmp_path / "tables")).read("execution_metadata", run_id).first()
+    assert (meta.total_batches, meta.total_records) == (3, 5)
+
+
+def test_encoding(spark, tmp_path):
+    (tmp_path / "a").write_bytes("\n".join([log_line(path="/caf\xe9"), log_line(path="/caf\xe8")]).encode("latin1"))
+    rows = parse_lines(text.read_lines(spark, [str(tmp_path / "a")], "ISO-8859-1")).collect()
+    assert sorted(r.resource_path for r in rows) == ["/caf\xe8", "/caf\xe9"]
 
 
 def test_bad_bytes_are_replaced(spark, tmp_path):
@@ -92,8 +121,9 @@ def test_json_read_back_skips_bad_lines(spark, tmp_path):
 def test_combined_document(spark):
     lines = [log_line(2, 10, "/a", 404), log_line(2, 2, "/b"), log_line(1, 3, "/a"), "broken"]
     parsed = parse_lines(spark.createDataFrame([(v,) for v in lines], "value string"))
-    records, total = valid_records(parsed), counts.record_counts(parsed)
-    document = combined.combined_json(reports.selected_reports(records), total, 1).collect()
+    records = valid_records(parsed)
+    total = counts.record_counts(parsed).withColumn("batch_count", F.lit(1))
+    document = combined.combined_json(reports.selected_reports(records), total).collect()
     assert len(document) == 1
     found = json.loads(document[0].result_json)
     assert (found["total_records"], found["malformed_records"], found["batch_count"]) == (3, 1, 1)
@@ -101,17 +131,25 @@ def test_combined_document(spark):
     assert [r["resource_path"] for r in found["q2"]] == ["/a", "/b"]
     assert list(found["q2"][0]) == schema.Q2_RESULT.names
     assert found["q1"][0] == {"log_date": "1995-07-01", "status_code": 200, "request_count": 1, "total_bytes": 5}
-    only = combined.combined_json(reports.selected_reports(records, "query1"), total, 1)
+    only = combined.combined_json(reports.selected_reports(records, "query1"), total)
     found = json.loads(only.first().result_json)
     assert found["q2"] == found["q3"] == [] and len(found["q1"]) == 3
+    assert [tuple(r) for r in combined.read_totals(only).collect()] == [(3, 1, 1)]
+
+
+def test_combined_document_has_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(combined, "MAX_ROWS", 2)
+    parsed = parse_lines(spark.createDataFrame([(log_line(d),) for d in (1, 2, 3)], "value string"))
+    total = counts.record_counts(parsed).withColumn("batch_count", F.lit(1))
+    with pytest.raises(Exception, match="at most 2 rows"):
+        combined.combined_json(reports.selected_reports(valid_records(parsed)), total).collect()
 
 
 @pytest.mark.parametrize("balance", [False, True])
 def test_store_keeps_every_line_and_is_replaced(spark, logs, tmp_path, balance):
     store = str(tmp_path / "store")
     for paths in (logs, logs[:1]):
-        lines = text.with_batch_id(text.read_lines(spark, paths), paths)
-        tables.write_store(parse_lines(lines), store, balance)
+        tables.write_store(parse_lines(text.read_lines(spark, paths)), store, balance)
     everything = tables.read_store(spark, store)
     assert everything.count() == 4
     assert [r.value for r in everything.filter("malformed_reason is not null").collect()] == ["broken"]
@@ -121,10 +159,26 @@ def test_store_keeps_every_line_and_is_replaced(spark, logs, tmp_path, balance):
     assert "PartitionFilters: [isnotnull(log_date" in plan
 
 
+def test_store_is_replaced_in_dynamic_mode_and_has_few_files(spark, tmp_path):
+    store = str(tmp_path / "store")
+    with gzip.open(tmp_path / "a.gz", "wt") as out:
+        out.writelines(log_line(1 + i % 28) + "\n" for i in range(2000))
+    (tmp_path / "b.log").write_text(log_line(3) + "\n")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for name in ("a.gz", "b.log"):
+            tables.write_store(parse_lines(text.read_lines(spark, [str(tmp_path / name)])), store)
+            if name == "a.gz":
+                assert len(tables.read_store(spark, store).inputFiles()) == 28
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert tables.read_store(spark, store).count() == 1
+
+
 def test_run_tables(spark, tmp_path):
     stored = tables.RunTables(spark, str(tmp_path / "t"))
     assert stored.read("top_resources").count() == 0
-    rows = spark.createDataFrame([(date(1995, 7, 1), 200, 2, 10)], schema.Q1_RESULT)
+    rows = spark.createDataFrame([(date(1995, 7, 1), 200, 2, Decimal(10))], schema.Q1_RESULT)
     stored.append_results("daily_traffic_summary", rows, "7", "Spark")
     stored.append_results("daily_traffic_summary", rows, "07", "Spark")
     stored.append_results("daily_traffic_summary", rows.limit(0), "8", "Spark")
@@ -139,14 +193,14 @@ def test_whole_run(spark, logs, tmp_path):
     first = etl.run(spark, logs, store, root, batch_size=1000, extra={"mode": "test"})
     second = etl.run(spark, logs[:1], store, root, "query2", "Other")
     stored = tables.RunTables(spark, root)
-    assert len(first) == 12 and first != second
+    assert len(first) == 36 and first != second
 
     report = history.run_report(stored, first)
     assert set(report) == {"metadata", "batches", "query1", "query2", "query3"}
     meta = report["metadata"].first()
     assert (meta.total_records, meta.malformed_records, meta.total_batches) == (5, 2, 2)
     assert (meta.avg_batch_size, meta.batch_size, meta.query_name) == (2.5, 1000, "all")
-    assert meta.data_file == ", ".join(logs) and meta.execution_time_ms > 0
+    assert meta.data_file == ", ".join(text.batch_paths(spark, logs)) and meta.execution_time_ms > 0
     assert meta.execution_start <= meta.execution_end
     assert [tuple(r) for r in report["batches"].collect()] == [(1, 3, 3, 1), (2, 2, 2, 1)]
     assert [(r.rank, r.resource_path, r.request_count, r.total_bytes, r.distinct_host_count)
