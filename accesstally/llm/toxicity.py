@@ -36,7 +36,8 @@ LABELLED, TRAINED = 30_000, 30_000
 LEXICON, PATTERNS, PREFIXES = 48, 48, (3, 4, 5, 6, 7)
 #: A term votes if it is so many times likelier in toxic documents, in at least so many of them.
 LIKELIER, SUPPORT = 12.0, 6
-ROUNDS = 6
+#: Rounds of choosing voters and of expectation maximisation.
+CHOICES, ROUNDS = 6, 6
 THRESHOLD = 0.7
 
 _words = re.compile(r"[^\W\d_]+").findall
@@ -65,18 +66,22 @@ def labelled_texts(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.select(F.col("text"), F.col("_toxic").cast("int").alias("toxic"))
 
 
-def term_counts(texts: DataFrame) -> DataFrame:
-    """term, toxic documents and documents that have it; ``''`` counts the documents themselves."""
+def term_counts(texts: DataFrame, voters: tuple[str, ...] = ()) -> DataFrame:
+    """term, toxic documents and documents that have it, of those in which no voter fires; ``''`` counts them all."""
     out = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("n", pa.int64())])
 
     def counted(batches):
+        known = set(voters)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 n, bad = Counter(), Counter()
                 for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     words, starts, _ = terms(text)
-                    found = [*words, *starts, ""]
+                    found = words | starts
+                    if known and not known.isdisjoint(found):
+                        continue
+                    found.add("")
                     n.update(found)
                     if toxic:
                         bad.update(found)
@@ -87,27 +92,37 @@ def term_counts(texts: DataFrame) -> DataFrame:
 
 
 def choose_voters(texts: DataFrame) -> list[str]:
-    """Words and beginnings that stand out, each beginning only where no shorter one stands for it."""
-    counts = term_counts(texts)
+    """Words and beginnings of words that stand out, in rounds.
+
+    A round looks at the toxic documents in which no voter of an earlier one fires, so what merely comes along
+    in copies of a toxic document is not taken for a sign. It takes the terms that a third as many of them have
+    as have the commonest; a beginning only where no shorter one stands for it.
+    """
     path = scratch_path(texts.sparkSession, "terms")
-    counts = written(counts, path)
+    counts = written(term_counts(texts), path)
     total = counts.filter("term = ''").first()
     if total is None or not 0 < total["toxic"] < total["n"]:
         return []
     bad, good = total["toxic"], total["n"] - total["toxic"]
-    toxic_rate = (F.col("toxic") + 0.5) / (bad + 1)
-    clean_rate = (F.col("n") - F.col("toxic") + 0.5) / (good + 1)
-    gain = F.col("toxic") * F.log(toxic_rate / clean_rate)
-    kept = counts.filter((F.col("term") != "") & (F.col("toxic") >= SUPPORT) & (toxic_rate >= LIKELIER * clean_rate)).withColumn("gain", gain)
-    lexicon = kept.filter("term NOT LIKE '%*'").orderBy(F.desc("gain"), "term").limit(LEXICON).collect()
-    starts = kept.filter("term LIKE '%*'").orderBy(F.desc("gain"), "term").limit(20 * PATTERNS).collect()
-    discard(texts.sparkSession, path)
+    ratio = ((F.col("toxic") + 0.5) / (bad + 1)) / ((F.col("n") - F.col("toxic") + 0.5) / (good + 1))
+    signs = counts.withColumn("ratio", ratio).filter((F.col("term") != "") & (F.col("ratio") >= LIKELIER) & (F.col("toxic") >= SUPPORT))
+    words: list[str] = []
     patterns: list[str] = []
-    for row in starts:
-        stem = row["term"][:-1]
-        if len(patterns) < PATTERNS and not any(stem.startswith(p[:-1]) or p[:-1].startswith(stem) for p in patterns):
-            patterns.append(row["term"])
-    return [r["term"] for r in lexicon] + patterns
+    for _ in range(CHOICES):
+        left = term_counts(texts.filter("toxic = 1"), (*words, *patterns)).select("term", F.col("n").alias("left"))
+        found = signs.join(left.filter(F.col("left") >= SUPPORT), "term").withColumn("gain", F.col("left") * F.log("ratio"))
+        best = found.orderBy(F.desc("gain"), "term").limit(20 * (LEXICON + PATTERNS)).collect()
+        most = max((r["left"] for r in best), default=0)
+        new = [r["term"] for r in best if 3 * r["left"] >= most]
+        if not new:
+            break
+        words += [t for t in new if not t.endswith("*")][: LEXICON - len(words)]
+        for term in (t for t in new if t.endswith("*")):
+            stem = term[:-1]
+            if len(patterns) < PATTERNS and not any(stem.startswith(p[:-1]) or p[:-1].startswith(stem) for p in patterns):
+                patterns.append(term)
+    discard(texts.sparkSession, path)
+    return words + patterns
 
 
 #: Voters that look at the number of hits: two terms, four hits, one word in a hundred, none at all.
