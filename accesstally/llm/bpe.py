@@ -23,16 +23,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from accesstally.llm.workers import importable
+from accesstally.llm.workers import importable, released
 
 #: Mean length of a chunk is 2**CUT_BITS bytes; the hash looks at the last REACH bytes.
 CUT_BITS, REACH = 9, 16
 #: What a task remembers at most: bytes of chunks with their codes, and words (twice that, with the older half).
-CHUNK_BYTES, WORDS = 48_000_000, 250_000
+CHUNK_BYTES, WORDS = 12_000_000, 100_000
 #: New words that are encoded at one go.
 TOGETHER = 500
 #: Rows in a batch that is handed back.
-ROWS = 500
+ROWS = 250
 
 #: Stands between words that are encoded together; words that hold it are encoded by themselves.
 MARK = "\x01"
@@ -217,7 +217,7 @@ def encode(documents: DataFrame, path: str, text: str = "text", doc_id: str = "d
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(coded, "doc_id long, ids binary, decoded string")
+    return rows.mapInArrow(released(coded), "doc_id long, ids binary, decoded string")
 
 
 def digests(coded: DataFrame) -> DataFrame:

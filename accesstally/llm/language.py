@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from accesstally.llm.text import fold, held_out
-from accesstally.llm.workers import importable
+from accesstally.llm.workers import importable, released
 
 #: Characters of labelled text learned for a language, and for all languages together.
-SAMPLE_CHARS, TOTAL_CHARS = 40_000, 400_000
+SAMPLE_CHARS, TOTAL_CHARS = 24_000, 400_000
 #: Labelled rows considered for a language, and the longest text that is taken.
 SAMPLE_ROWS, LONGEST = 400, 2_000
 #: Characters of a block, and texts that are parsed together.
-BLOCK, BATCH = 1024, 2000
+BLOCK, BATCH = 1024, 1000
 
 SPACE = 1  # class of everything but letters; 0 is a letter no sample has
 
@@ -225,7 +225,7 @@ def identify(documents: DataFrame, sample: dict[str, str], text: str = "text", d
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], schema=out)
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(judged, "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(released(judged), "doc_id long, lang_pred string, score double")
 
 
 def keep_known(documents: DataFrame, sample: dict[str, str], text: str = "text") -> DataFrame:
@@ -240,7 +240,7 @@ def keep_known(documents: DataFrame, sample: dict[str, str], text: str = "text")
                 names, _ = model.value.judge(part.column(at).to_pylist())
                 yield part.filter(pa.array([n != "und" for n in names], pa.bool_()))
 
-    return documents.mapInArrow(kept, documents.schema)
+    return documents.mapInArrow(released(kept), documents.schema)
 
 
 def op10_language(spark, sf_dir):

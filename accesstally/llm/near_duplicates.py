@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from accesstally.llm.bitmap import of_several
 from accesstally.llm.components import components
 from accesstally.llm.hashing import mixed, span_hashes
-from accesstally.llm.workers import importable
+from accesstally.llm.workers import importable, released
 from accesstally.sources.scratch import discard, scratch_path, written
 
 SHINGLE = 5
@@ -105,7 +105,7 @@ def _sketched(documents: DataFrame, text: str, doc_id: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(made, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    return rows.mapInArrow(released(made), "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
 
 def _sets(documents: DataFrame, text: str, doc_id: str, wanted: DataFrame) -> DataFrame:
@@ -121,7 +121,7 @@ def _sets(documents: DataFrame, text: str, doc_id: str, wanted: DataFrame) -> Da
 
     rows = documents.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
     rows = rows.filter("node IS NOT NULL").join(wanted, "node", "left_semi")
-    return rows.mapInArrow(made, "node long, shingles binary").dropDuplicates(["node"])
+    return rows.mapInArrow(released(made), "node long, shingles binary").dropDuplicates(["node"])
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=out).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(two, "b").join(one, "a").select("a", "b", "set_a", "set_b")
-    return joined.mapInArrow(confirmed, "a long, b long")
+    return joined.mapInArrow(released(confirmed), "a long, b long")
 
 
 def _linkable(nodes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def _linkable(nodes: DataFrame, sets: DataFrame) -> DataFrame:
             columns = [batch.column(0), pa.array([len(x) for x in own], pa.int64()), pa.array([int(shared.value.has(x).sum()) for x in own], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
 
-    found = sets.select("node", "shingles").mapInArrow(counted, "node long, size long, common long")
+    found = sets.select("node", "shingles").mapInArrow(released(counted), "node long, size long, common long")
     return written(found.filter(100 * F.col("common") >= PERCENT * F.col("size")), scratch_path(spark, "linkable"))
 
 

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from accesstally.llm.workers import importable
+from accesstally.llm.workers import importable, released
 
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
@@ -269,10 +269,10 @@ def extract(pages: DataFrame, page: str = "html", url: str = "url", page_id: str
             yield batch_of()
 
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(page).cast("string").alias("html"))
-    found = rows.mapInArrow(parse, "page_id long, url string, host string, path string, lines array<string>, flags binary")
+    found = rows.mapInArrow(released(parse), "page_id long, url string, host string, path string, lines array<string>, flags binary")
     order = ["host", "path", "page_id"]
     found = found.repartitionByRange(*order).sortWithinPartitions(*order, "url", "flags", "lines")
-    return found.mapInArrow(compare, "page_id long, url string, text string")
+    return found.mapInArrow(released(compare), "page_id long, url string, text string")
 
 
 def op5_pages(spark, sf_dir):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from accesstally.llm.text import fold, held_out
-from accesstally.llm.workers import importable
+from accesstally.llm.workers import importable, released
 from accesstally.sources.scratch import discard, scratch_path, written
 
 #: Labelled rows that voters are chosen on, and documents the classifier is trained on, at most.
@@ -88,7 +88,7 @@ def term_counts(texts: DataFrame, voters: tuple[str, ...] = ()) -> DataFrame:
                 names = list(n)
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([bad[t] for t in names], pa.int64()), pa.array([n[t] for t in names], pa.int64())], schema=out)
 
-    return texts.mapInArrow(counted, "term string, toxic long, n long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    return texts.mapInArrow(released(counted), "term string, toxic long, n long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
 
 
 def choose_voters(texts: DataFrame) -> list[str]:
@@ -162,7 +162,7 @@ def cast_votes(documents: DataFrame, voters: list[str], text: str = "text", doc_
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(cast, "doc_id long, fired array<int>, hits double, share double")
+    return rows.mapInArrow(released(cast), "doc_id long, fired array<int>, hits double, share double")
 
 
 class LabelModel:
@@ -221,7 +221,7 @@ def _sums(patterns: DataFrame, model: LabelModel, n: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.float64())], schema=out)
 
     found = np.zeros(2 * n + 2 + n * n)
-    for row in patterns.mapInArrow(summed, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
+    for row in patterns.mapInArrow(released(summed), "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
         found[row["at"]] = row["value"]
     return found
 
