@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by a robust-pruned directed graph in each shard.
 
 Equal vectors are one node, which keeps its smallest numbers. Nodes are dealt over shards by hash. In a
-shard nodes enter a graph in batches: a greedy beam search from the entry over what is there proposes
+shard nodes enter a graph in batches: a greedy beam search from the entries over what is there proposes
 neighbours, and pruning keeps a proposal only if no kept one is closer to it by the factor ``ALPHA``, so
 edges point in different directions. Edges are added both ways and pruned again where a node has too many.
 
@@ -28,6 +28,8 @@ from accesstally.sources.scratch import scratch_path, written
 SHARD_NODES, BLOCK_QUERIES = 6000, 4000
 #: Edges of a node, width of the beam while building and searching, nodes expanded in a step, pruning factor.
 DEGREE, BUILD_BEAM, SEARCH_BEAM, EXPANDED, ALPHA = 24, 64, 128, 4, 1.2
+#: Nodes a search starts from.
+ENTRIES = 32
 #: Nodes that enter together.
 BATCH = 128
 NEAREST = 20
@@ -54,14 +56,15 @@ def lifted(vectors: np.ndarray, largest: float) -> np.ndarray:
     return np.column_stack([vectors, rest]).astype(np.float32)
 
 
-def beam(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def beam(points: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The nearest nodes each query's greedy search meets, nearest first: numbers (-1 for none) and distances."""
-    n = len(queries)
+    n, m = len(queries), len(entries)
     found = np.full((n, width), -1, np.int64)
     far = np.full((n, width), np.inf, np.float32)
     done = np.ones((n, width), bool)
-    found[:, 0], done[:, 0] = entry, False
-    far[:, 0] = ((queries - points[entry]) ** 2).sum(axis=1)
+    start = ((queries[:, None, :] - points[entries][None, :, :]) ** 2).sum(axis=2)
+    order = np.argsort(start, axis=1, kind="stable")
+    found[:, :m], far[:, :m], done[:, :m] = entries[order], np.take_along_axis(start, order, 1), False
     active = np.arange(n)
     while len(active):
         own, open_ = found[active], ~done[active]
@@ -117,18 +120,19 @@ def pruned(points: np.ndarray, at: np.ndarray, proposed: np.ndarray) -> np.ndarr
     return kept
 
 
-def graph(points: np.ndarray, seed: int = 1) -> tuple[np.ndarray, int]:
-    """Edges [node, DEGREE] (-1 for none) and the entry, the point nearest the middle."""
+def graph(points: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Edges [node, DEGREE] (-1 for none) and the entries, the first nodes of the random order.
+
+    With one entry a search that starts in a crowd of near copies would not leave it.
+    """
     n = len(points)
     edges = np.full((n, DEGREE), -1, np.int64)
-    entry = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
     order = np.random.default_rng(seed).permutation(n)
-    order = order[order != entry]
-    at, size = 0, 1
+    at, size = min(1, n), 1
     while at < len(order):
         batch = order[at : at + size]
+        proposed, _ = beam(points, edges, order[: min(at, ENTRIES)], points[batch], BUILD_BEAM)
         at, size = at + size, min(2 * size, BATCH)
-        proposed, _ = beam(points, edges, entry, points[batch], BUILD_BEAM)
         if len(batch) > 1:  # those that enter together know of each other as well
             mates = np.stack([np.roll(batch, i + 1) for i in range(min(8, len(batch) - 1))], axis=1)
             proposed = np.concatenate([proposed, mates], axis=1)
@@ -158,11 +162,11 @@ def graph(points: np.ndarray, seed: int = 1) -> tuple[np.ndarray, int]:
             some = over[start : start + BATCH]
             packed = -np.sort(-union[some], axis=1)[:, : known[some].max()]
             edges[nodes[some]] = pruned(points, nodes[some], packed)
-    return edges, entry
+    return edges, order[:ENTRIES]
 
 
 def build_index(nodes: DataFrame) -> DataFrame:
-    """The index table: node, dim, shard, vector, ids, place in its shard, neighbours' places and the entry."""
+    """The index table: node, dim, shard, vector, ids, place in its shard, neighbours' places and rank as an entry."""
     spark = importable(nodes.sparkSession)
     nodes = written(nodes, scratch_path(spark, "nodes"))
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
@@ -173,8 +177,10 @@ def build_index(nodes: DataFrame) -> DataFrame:
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node").reset_index(drop=True)
         points = lifted(np.stack(rows["vector"].to_numpy()), largest)
-        edges, entry = graph(points)
-        return rows.assign(place=np.arange(len(rows)), neighbours=[e[e >= 0].tolist() for e in edges], entry=entry, shards=shards)
+        edges, entries = graph(points)
+        rank = np.full(len(rows), -1, np.int64)
+        rank[entries] = np.arange(len(entries))
+        return rows.assign(place=np.arange(len(rows)), neighbours=[e[e >= 0].tolist() for e in edges], entry=rank, shards=shards)
 
     schema = "node long, dim int, vector array<double>, ids array<long>, shard long, place long, neighbours array<long>, entry long, shards long"
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)))
@@ -197,11 +203,14 @@ def search(index: DataFrame, queries: DataFrame, nearest: int = NEAREST) -> Data
             edges = np.full((len(rows), DEGREE), -1, np.int64)
             for i, own in enumerate(rows["neighbours"]):
                 edges[i, : len(own)] = own
+            rank = rows["entry"].to_numpy()
+            entries = np.flatnonzero(rank >= 0)
+            entries = entries[np.argsort(rank[entries])]
             wanted = np.stack(asked["asked_vector"].to_numpy())
             zero = np.zeros((len(wanted), 1))
             for at in range(0, len(asked), 256):
                 part = wanted[at : at + 256]
-                found, _ = beam(points, edges, int(rows["entry"][0]), np.hstack([part, zero[at : at + 256]]).astype(np.float32), SEARCH_BEAM)
+                found, _ = beam(points, edges, entries, np.hstack([part, zero[at : at + 256]]).astype(np.float32), SEARCH_BEAM)
                 found = found[:, : 2 * nearest + 8]
                 for i, own in enumerate(found):
                     own = own[own >= 0]
