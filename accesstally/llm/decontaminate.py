@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from accesstally.llm.text import joined_digest, words
+from accesstally.llm.text import BETWEEN_ANY, WORD_ANY, joined_digest, words
 
 WINDOW = 10
 #: Windows of the benchmark that are broadcast at most; each takes about 200 bytes.
@@ -25,15 +25,11 @@ MAX_BROADCAST = 1_000_000
 
 
 def _windows(tokens: Column, size: Column, length: int) -> Column:
-    """An array of (at, n, key) of all windows of so many words."""
+    """The words of a window, and the hashes of all windows of so many."""
     starts = F.sequence(F.lit(0), size - length)
-    formed = F.transform(
-        starts,
-        lambda i: F.struct(
-            i.alias("at"), F.lit(length).alias("n"), F.xxhash64(F.slice(tokens, i + 1, F.lit(length))).alias("key")
-        ),
-    )
-    return F.when(size >= length, formed).otherwise(F.array().cast("array<struct<at:int,n:int,key:bigint>>"))
+    formed = F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i + 1, F.lit(length))))
+    hashes = F.when(size >= length, formed).otherwise(F.array().cast("array<bigint>"))
+    return F.struct(F.lit(length).alias("n"), hashes.alias("keys"))
 
 
 def benchmark_windows(items: DataFrame, text: str = "text", item_id: str = "item_id", window: int = WINDOW) -> DataFrame:
@@ -63,20 +59,21 @@ def find(
         F.xxhash64(text).alias("text_key"),
         words(F.col(text)).alias("w"),
     ).withColumn("n_words", F.size("w"))
-    # One row of its own for each document, so that those without hits stay; its key spreads them.
-    own = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("n"), F.col("row").alias("key")))
-    formed = F.concat(own, *[_windows(F.col("w"), F.col("n_words"), r["n"]) for r in sizes])
+    # One row of its own (n = 0) for each document, so that those without hits stay; its key spreads them.
+    own = F.struct(F.lit(0).alias("n"), F.array("row").alias("keys"))
+    formed = F.array(own, *[_windows(F.col("w"), F.col("n_words"), r["n"]) for r in sizes])
     ids = ["row", "doc_id", "text_key", "n_words"]
-    each = rows.withColumn("formed", formed).select(*ids, "w", F.inline("formed"))
-    gram = F.slice("w", F.greatest("at", F.lit(0)) + 1, F.col("n"))
+    each = rows.select(*ids, "w", F.inline(formed)).select(*ids, "w", "n", F.posexplode("keys").alias("at", "key"))
+    gram = F.slice("w", F.col("at") + 1, F.col("n"))
     if bounded:
         known = F.broadcast(known)
     else:
         each, gram = each.withColumn("own_gram", gram).drop("w"), F.col("own_gram")
     known = known.withColumnRenamed("key", "known_key")
-    same = (F.col("key") == F.col("known_key")) & (gram == F.col("gram"))
-    hits = each.join(known, same, "left").filter("at < 0 OR items IS NOT NULL")
-    span = F.when(F.col("at") >= 0, F.struct("at", "n"))
+    # a bare equality would become a key of the join and be formed for every window, not for hits alone
+    same = (F.col("key") == F.col("known_key")) & F.coalesce(gram == F.col("gram"), F.lit(False))
+    hits = each.join(known, same, "left").filter("n = 0 OR items IS NOT NULL")
+    span = F.when(F.col("n") > 0, F.struct("at", "n"))
     found = hits.groupBy(*ids).agg(F.collect_set(span).alias("spans"), F.collect_set("items").alias("items"))
     return found.select(
         "doc_id",
@@ -104,12 +101,31 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
-def clean(documents: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents in which no window of an item occurs, with all their columns."""
+def _hit(documents: DataFrame, items: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, Column]:
+    """The number, key and spans of documents with hits, each once, and the condition that joins them."""
     found = find(documents, items, text, doc_id).filter(F.size("spans") > 0)
-    found = found.select(F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key")).distinct()
+    found = found.select(F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key"), "spans")
+    found = found.groupBy("_found_id", "_found_key").agg(F.first("spans").alias("_spans"))
     same = documents[doc_id].eqNullSafe(F.col("_found_id")) & (F.xxhash64(documents[text]) == F.col("_found_key"))
-    return documents.join(found, same, "left_anti")
+    return found, same
+
+
+def without_spans(documents: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """All documents, without the words in any hit span and what stands before each of them."""
+    found, same = _hit(documents, items, text, doc_id)
+    parts = F.array_remove(F.split(F.col(text), BETWEEN_ANY), "")
+    gaps = F.split(F.col(text), WORD_ANY)
+    inside = lambda i: F.exists("_spans", lambda s: (i >= s["at"]) & (i < s["at"] + s["n"]))
+    left = F.transform(parts, lambda x, i: F.when(inside(i), "").otherwise(F.concat(F.get(gaps, i), x)))
+    rest = F.concat(F.array_join(left, ""), F.element_at(gaps, -1))
+    joined = documents.join(found, same, "left")
+    return joined.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(rest)).select(documents.columns)
+
+
+def clean(documents: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The documents in which no window of an item occurs, with all their columns."""
+    found, same = _hit(documents, items, text, doc_id)
+    return documents.join(found.select("_found_id", "_found_key"), same, "left_anti")
 
 
 def op1_decontaminate(spark, sf_dir):

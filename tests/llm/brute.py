@@ -35,6 +35,28 @@ def decontaminate(texts, items, window=10):
     return out
 
 
+def without_spans(text, items, window=10):
+    """The text without the words of hit windows and what stands before them."""
+    grams = set()
+    for item, t in items:
+        w = words(t)
+        if w and item is not None:
+            grams |= {tuple(w[i : i + min(window, len(w))]) for i in range(len(w) - min(window, len(w)) + 1)}
+    w, gone = words(text), set()
+    for n in {len(g) for g in grams}:
+        for i in range(len(w) - n + 1):
+            if tuple(w[i : i + n]) in grams:
+                gone.update(range(i, i + n))
+    if not gone:
+        return text
+    out, end = [], 0
+    for i, m in enumerate(re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)):
+        if i not in gone:
+            out.append(text[end : m.end()])
+        end = m.end()
+    return "".join(out) + text[end:]
+
+
 def shingles(text):
     w = (text or "").encode().lower().split()
     n = min(5, len(w))

@@ -72,6 +72,9 @@ def test_decontamination(spark, most):
     found = decontaminate.report(decontaminate.find(frame, benchmark, max_broadcast=most))
     want = [(i, *r) for (i, _), r in zip(rows, brute.decontaminate([t for _, t in rows], items), strict=True)]
     assert plain(found, *found.columns) == sorted(want, key=repr)
+    left = decontaminate.without_spans(frame, benchmark)
+    assert left.columns == frame.columns
+    assert plain(left, "doc_id", "text") == sorted(((i, brute.without_spans(t, items)) for i, t in rows), key=repr)
     kept = decontaminate.clean(frame, benchmark)
     assert kept.columns == frame.columns
     assert plain(kept, "doc_id", "text") == sorted([r for r, w in zip(rows, want, strict=True) if not w[-1]], key=repr)
@@ -115,9 +118,9 @@ def test_components_of_long_chains(spark):
     assert plain(found, "node", "component") == sorted([(i, 0) for i in range(71)] + [(100, 100), (200, 100), (300, 100)], key=repr)
 
 
-@pytest.mark.parametrize("most", [passages.MOST, 0])
-def test_repeats(spark, monkeypatch, most):
-    monkeypatch.setattr(passages, "MOST", most)
+@pytest.mark.parametrize("least", [passages.CROWDED, 2, 4])
+def test_repeats(spark, monkeypatch, least):
+    monkeypatch.setattr(passages, "CROWDED", least)
     rows, _, frame = awkward(spark)
     found = passages.report(passages.remove(frame))
     assert plain(found, *found.columns) == sorted(brute.repeats(rows), key=repr)
