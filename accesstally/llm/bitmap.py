@@ -10,10 +10,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from accesstally.llm.workers import released
+
 #: Hashes of a part, about, and bytes of all parts and of one at most.
 PART_HASHES, BITMAP_BYTES, SLICE_BYTES = 1_000_000, 64_000_000, 1 << 19
 #: Rows whose hashes are packed together.
-ROWS = 4000
+ROWS = 2000
 
 
 class Bitmap:
@@ -61,13 +63,26 @@ class Bitmap:
 
 
 def of_several(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], list[np.ndarray]], expected: float) -> Bitmap:
-    """The hashes that two rows or more have; ``hashes_of`` gives each row's 64-bit hashes, every one once.
+    """The hashes that two rows or more have."""
+    return counted(rows.mapInArrow, hashes_of, expected, (2,))[0]
+
+
+def counted(
+    over: Callable[..., DataFrame], hashes_of: Callable[[pa.RecordBatch], list[np.ndarray]], expected: float, least: tuple[int, ...]
+) -> list[Bitmap]:
+    """The hashes that several rows have; ``hashes_of`` gives each row's 64-bit hashes, every one once.
+
+    ``over`` applies a function of Arrow batches to the rows, as a table's ``mapInArrow`` does.
+
+    A bitmap is made for each number in ``least``, of hashes counted so often, where every ``ROWS`` rows of a
+    task count as two at most.
 
     Rows send six bytes for a hash, packed by part; each part is sorted in one task and sends back its
     slice, so the driver gets ``BITMAP_BYTES`` at most. With more hashes than that tells apart, the
     bitmap holds more of those it should not.
     """
     bitmap = Bitmap(expected)
+    bitmaps = [bitmap, *(Bitmap(expected) for _ in least[1:])]
     bits, parts = bitmap.part_bits, 1 << bitmap.part_bits
     kept_bits = ~np.uint64((1 << max(0, 16 - bits)) - 1)  # of part and rest
     schema = pa.schema([("part", pa.int32()), ("packed", pa.binary())])
@@ -94,9 +109,12 @@ def of_several(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], list[np.nd
             values = np.zeros((sum(map(len, packed)) // 6, 8), np.uint8)
             values[:, :6] = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 6)
             values = np.sort(values.view(np.uint64).ravel())
-            own = bitmap.slice_of(values[1:][values[1:] == values[:-1]])
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([own], pa.binary())], schema=schema)
-
-    packed = rows.mapInArrow(pack, "part int, packed binary").repartition(parts, "part")
-    bitmap.fill({r["part"]: bytes(r["packed"]) for r in packed.mapInArrow(count, "part int, packed binary").collect()})
-    return bitmap
+            own = [bitmap.slice_of(values[n - 1 :][values[n - 1 :] == values[: max(0, len(values) - n + 1)]]) for n in least]
+            numbers = [part * len(least) + i for i in range(len(least))]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(own, pa.binary())], schema=schema)
+
+    packed = over(released(pack), "part int, packed binary").repartition(parts, "part")
+    found = packed.mapInArrow(released(count), "part int, packed binary").collect()
+    for i, one in enumerate(bitmaps):
+        one.fill({r["part"] // len(least): bytes(r["packed"]) for r in found if r["part"] % len(least) == i})
+    return bitmaps

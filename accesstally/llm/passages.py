@@ -7,15 +7,16 @@ smallest hash, so equal strings have equal anchors. Neighbouring strings with on
    rows are found by hash; only their texts are gathered, and pre-aggregated before that.
 2. Anchors of all classes are counted. Those of two classes or more are set in a bitmap with a bounded
    size, which may let others pass as well but misses none.
-3. Segments with a set anchor are gathered by anchor, equal ones pre-aggregated to the smallest number.
-   Tasks join segments of some anchors into one string, sort its suffixes and extend the Burrows-Wheeler
+3. Segments with a set anchor are gathered by anchor; of equal ones the smallest number counts. Tasks join
+   the different segments of some anchors into one string, sort its suffixes and extend the Burrows-Wheeler
    transform breadth-first: level by level the rows whose common prefix with the row before is 0, 1, 2 ...
    bytes are found from those one byte shorter, and at 50 the rest stands for repeated strings. An anchor
-   with more than ``MOST`` different segments is not given to one task; its strings are aggregated one by one.
+   that very many rows have is not given to one task: its segments are pre-aggregated, and their strings
+   aggregated one by one.
 4. Strings that start under a smaller number come back to their class, and to its rows, and the bytes
    they cover are removed.
 
-Nothing is collected but the bitmap. Cases: null and empty texts and texts under 50 bytes lose nothing.
+Nothing is collected but bitmaps. Cases: null and empty texts and texts under 50 bytes lose nothing.
 A row without a number is no document with a smaller number and loses nothing. Rows that share a number
 do not repeat each other; rows with equal text under a larger number lose all of it. Extra columns are
 ignored.
@@ -23,14 +24,16 @@ ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from accesstally.llm.bitmap import of_several
+from accesstally.llm.bitmap import counted, of_several
 from accesstally.llm.hashing import gram_hashes
-from accesstally.llm.workers import importable
-from accesstally.sources.scratch import discard, scratch_path, written
+from accesstally.llm.workers import importable, released
+from accesstally.sources.scratch import scratch_path, written
 
 LENGTH = 50
 GRAM = 20
@@ -38,8 +41,10 @@ GRAM = 20
 SPAN = LENGTH - GRAM + 1
 #: Bytes of text for an anchor, about.
 ANCHOR_EVERY = 16
-#: Bytes of segments that are sorted together, and different segments of an anchor that go to one task.
-BLOCK, MOST = 200_000, 5_000
+#: Bytes of segments that are judged together.
+BLOCK = 1_000_000
+#: An anchor counted so often is crowded. Every 2000 rows count as two at most, so the others are in a bounded number of documents, 512,000 at worst, and are judged in one task each.
+CROWDED = 513
 #: Longer texts are anchored in pieces, which overlap by a string less one byte.
 PIECE = 1 << 23
 
@@ -138,45 +143,72 @@ def repeated(texts: list[bytes], numbers: list[int]) -> list[int]:
     return bits.tolist()
 
 
-def _judged(segments: DataFrame, parts: int) -> DataFrame:
-    """segment, size, anchor, number and the bits of strings known under a smaller number."""
-    out = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("number", pa.int64()), ("bits", pa.int64())])
+_OCCURRENCE = "anchor long, class long, size int, number long, at int, segment binary"
+
+
+def _judge(held: list[tuple]) -> list[tuple[int, int, int, int]]:
+    """(class, size, at, bits) of those occurrences, sorted by anchor, that hold strings known under a smaller number."""
+    least: dict[tuple[int, bytes], int] = {}
+    for anchor, _, _, number, _, segment in held:
+        key = (anchor, segment)
+        if number < least.get(key, number + 1):
+            least[key] = number
+    several = Counter(anchor for anchor, _ in least)
+    # equal segments need no comparison, nor does an anchor with one segment
+    mixed = [key for key in least if several[key[0]] > 1]
+    bits = dict(zip(mixed, repeated([k[1] for k in mixed], [least[k] for k in mixed]), strict=True)) if mixed else {}
+    found = []
+    for anchor, name, size, number, at, segment in held:
+        key = (anchor, segment)
+        own = (1 << (len(segment) - LENGTH + 1)) - 1 if number > least[key] else bits.get(key, 0)
+        if own:
+            found.append((name, size, at, own))
+    return found
+
+
+def _hits(occurrences: DataFrame, parts: int) -> DataFrame:
+    """Class, size, at and bits of strings to remove, for anchors that few rows have."""
+    out = pa.schema([("class", pa.int64()), ("size", pa.int32()), ("at", pa.int32()), ("bits", pa.int32())])
 
     def judged(batches):
         held, size, last = [], 0, None
 
         def done():
-            # an anchor with one segment has nothing to compare
-            shared = [i for i, h in enumerate(held) if (i and held[i - 1][0] == h[0]) or (i + 1 < len(held) and held[i + 1][0] == h[0])]
-            bits = dict(zip(shared, repeated([held[i][2] for i in shared], [held[i][3] for i in shared]), strict=True)) if shared else {}
-            columns = [[h[0] for h in held], [h[1] for h in held], [h[3] for h in held], [bits.get(i, 0) for i in range(len(held))]]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=out)
+            found = _judge(held)
+            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate(out.types)], schema=out)
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if size > BLOCK and row[0] != last:
-                    yield done()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[2])
-                last = row[0]
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                for row in zip(*(part.column(i).to_pylist() for i in range(6)), strict=True):
+                    if size > BLOCK and row[0] != last:
+                        yield done()
+                        held, size = [], 0
+                    held.append(row)
+                    size += len(row[5])
+                    last = row[0]
         if held:
             yield done()
 
-    rows = segments.select("anchor", F.xxhash64("segment").alias("key"), "segment", "number")
-    return rows.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(judged, "anchor long, key long, number long, bits long")
+    dealt = occurrences.repartition(parts, "anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(released(judged), "class long, size int, at int, bits int")
 
 
-def _judged_strings(segments: DataFrame) -> DataFrame:
-    """The same by aggregating every string of its own, for anchors with very many segments."""
-    strings = segments.select(
-        "anchor", F.xxhash64("segment").alias("key"), "number",
-        F.posexplode(F.transform(F.sequence(F.lit(1), F.octet_length("segment") - LENGTH + 1), lambda i: F.substring("segment", i, F.lit(LENGTH)))).alias("at", "string"),
-    )
-    least = strings.groupBy("string").agg(F.min("number").alias("least"))
-    hit = strings.join(least, "string")
-    bit = F.expr("IF(least < number, shiftleft(1L, at), 0L)")
-    return hit.groupBy("anchor", "key").agg(F.min("number").alias("number"), F.bit_or(bit).alias("bits"))
+def _crowded_hits(occurrences: DataFrame) -> DataFrame:
+    """The same for anchors that many rows have: equal segments first, then the strings of different ones."""
+    spark = occurrences.sparkSession
+    keyed = occurrences.withColumn("key", F.xxhash64("segment"))
+    segments = written(keyed.groupBy("anchor", "key", "segment").agg(F.min("number").alias("least")), scratch_path(spark, "segments"))
+    mixed = segments.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    starts = F.sequence(F.lit(1), F.octet_length("segment") - LENGTH + 1)
+    each = F.transform(starts, lambda i: F.substring("segment", i, F.lit(LENGTH)))
+    strings = segments.join(mixed, "anchor").select("anchor", "key", "least", F.posexplode(each).alias("place", "string"))
+    first = strings.groupBy("string").agg(F.min("least").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    known = strings.join(first, "string").filter("first < least").groupBy("anchor", "key").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("known"))
+    judged = segments.select("anchor", "key", "least").join(known, ["anchor", "key"], "left")
+    every = F.expr(f"cast(shiftleft(1L, octet_length(segment) - {LENGTH - 1}) - 1 AS int)")
+    bits = F.when(F.col("number") > F.col("least"), every).otherwise(F.coalesce("known", F.lit(0)))
+    return keyed.join(judged, ["anchor", "key"]).select("class", "size", "at", bits.alias("bits")).filter("bits != 0")
 
 
 def find_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -191,66 +223,57 @@ def find_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
     # classes of several rows, marked in a bitmap like anchors; their texts alone are gathered
     hashes = lambda batch: [np.asarray(x.values).view(np.uint64) for x in batch.column(0)]
     marked = spark.sparkContext.broadcast(of_several(rows.select(F.array("class")), hashes, float(totals["rows"] or 0)))
-    shape = pa.schema([("number", pa.int64()), ("data", pa.binary()), ("class", pa.int64()), ("size", pa.int32())])
 
-    def chosen(yes):
-        def choose(batches):
-            for batch in batches:
-                hit = marked.value.has(np.asarray(batch.column(2)).view(np.uint64)) == yes
-                part = batch.filter(pa.array(hit, pa.bool_()))
+    def chosen(batches, yes):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                hit = marked.value.has(np.asarray(part.column("class")).view(np.uint64)) == yes
+                part = part.filter(pa.array(hit, pa.bool_()))
                 if part.num_rows:
-                    yield pa.RecordBatch.from_arrays(part.columns, schema=shape)
+                    yield part
 
-        return rows.mapInArrow(choose, "number long, data binary, class long, size int")
+    schema = "doc_id long, data binary, class long, size int"
+    copies = rows.mapInArrow(lambda batches: chosen(batches, True), schema).groupBy("class", "size")
+    copies = copies.agg(F.min("doc_id").alias("doc_id"), F.first("data").alias("data")).select("doc_id", "data", "class", "size")
+    copies = written(copies, scratch_path(spark, "copies"))
 
-    gathered_path = scratch_path(spark, "copies")
-    gathered = chosen(True).groupBy("class", "size").agg(F.min("number").alias("number"), F.first("data").alias("data"))
-    gathered = written(gathered.select("number", "data", "class", "size"), gathered_path)
-    classes = chosen(False).unionByName(gathered)
+    def over_classes(function, out):
+        """A function of batches over one row of each class, in one Python worker for each task."""
+        return rows.mapInArrow(released(lambda batches: function(chosen(batches, False))), out).unionByName(copies.mapInArrow(released(function), out))
 
-    bitmap = of_several(classes, _anchors_of, (totals["bytes"] or 0) / ANCHOR_EVERY)
-    shared = spark.sparkContext.broadcast(bitmap)
+    shared, crowded = counted(over_classes, _anchors_of, (totals["bytes"] or 0) / ANCHOR_EVERY, (2, CROWDED))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << shared.part_bits)
+    any_crowded = bool(crowded.data.any())
+    shared, crowded = spark.sparkContext.broadcast(shared), spark.sparkContext.broadcast(crowded)
 
-    def segments_of(whole):
-        """Segments with a set anchor: their bytes, or their places."""
-        names = ["anchor", "number"] + (["segment"] if whole else ["key_class", "size", "at", "strings", "segment"])
+    def occurrences(many):
+        """Segments with a shared anchor, those that many rows have or the others."""
+        schema = pa.schema([("anchor", pa.int64()), ("class", pa.int64()), ("size", pa.int32()), ("number", pa.int64()), ("at", pa.int32()), ("segment", pa.binary())])
 
         def cut(batches):
             for batch in batches:
                 for start in range(0, batch.num_rows, 500):
                     part = batch.slice(start, 500)
-                    found = [[] for _ in names]
-                    for number, body, key, size in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    found = [[] for _ in schema]
+                    for number, body, name, size in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                         anchor, first, end = anchors(np.frombuffer(body, np.uint8))
                         keep = shared.value.has(anchor)
+                        if any_crowded:
+                            keep &= crowded.value.has(anchor) == many
                         anchor, first, end = anchor[keep].view(np.int64).tolist(), first[keep].tolist(), end[keep].tolist()
-                        pieces = [body[a : b + LENGTH - 1] for a, b in zip(first, end, strict=True)]
-                        n = len(anchor)
-                        columns = [anchor, [number] * n] + ([pieces] if whole else [[key] * n, [size] * n, first, [b - a for a, b in zip(first, end, strict=True)], pieces])
-                        for column, more in zip(found, columns, strict=True):
+                        own = (anchor, [name] * len(anchor), [size] * len(anchor), [number] * len(anchor), first)
+                        for column, more in zip(found, (*own, [body[a : b + LENGTH - 1] for a, b in zip(first, end, strict=True)]), strict=True):
                             column.extend(more)
-                    kinds = [pa.int64(), pa.int64()] + ([pa.binary()] if whole else [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()])
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(found, kinds, strict=True)], names=names)
-
-        schema = "anchor long, number long, segment binary" if whole else "anchor long, number long, key_class long, size int, at int, strings int, segment binary"
-        return classes.mapInArrow(cut, schema)
-
-    distinct = segments_of(True).groupBy("anchor", "segment").agg(F.min("number").alias("number"))
-    distinct_path = scratch_path(spark, "segments")
-    distinct = written(distinct, distinct_path)
-    crowded = distinct.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MOST).select("anchor")
-    crowded = written(crowded, scratch_path(spark, "crowded"))
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << bitmap.part_bits)
-    judged = _judged(distinct.join(crowded, "anchor", "left_anti"), n_parts)
-    if crowded.take(1):
-        judged = judged.unionByName(_judged_strings(distinct.join(crowded, "anchor")))
-    judged = judged.withColumnRenamed("number", "least")
-    places = segments_of(False).withColumn("key", F.xxhash64("segment")).drop("segment")
-    joined = places.join(judged, ["anchor", "key"])
-    every = F.expr("shiftleft(1L, strings) - 1")
-    bits = F.when(F.col("number") > F.col("least"), every).otherwise(F.col("bits"))
-    hits = joined.select(F.col("key_class").alias("class"), "size", "at", bits.alias("bits")).filter("bits != 0")
-    hits = hits.groupBy("class", "size").agg(F.collect_list(F.struct("at", "bits")).alias("hits"))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, schema, strict=True)], schema=schema)
+
+        return over_classes(cut, _OCCURRENCE)
+
+    hits = _hits(occurrences(False), parts)
+    if any_crowded:
+        hits = hits.unionByName(_crowded_hits(written(occurrences(True), scratch_path(spark, "crowded"))))
+    # plain rows are shuffled, a third of what partly collected lists take
+    hits = hits.repartition("class", "size").groupBy("class", "size").agg(F.collect_list(F.struct("at", "bits")).alias("hits"))
     return several, hits
 
 
@@ -309,9 +332,9 @@ def remove(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
                     found.append((number, size, [g[0] for g in gone], [g[1] for g in gone], b"".join(kept)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), cut, strict=True)], schema=cut)
 
-    rows = _rows(documents, text, doc_id).mapInArrow(pack, schema)
+    rows = _rows(documents, text, doc_id).mapInArrow(released(pack), schema)
     joined = rows.join(known, ["class", "size"], "left").select("doc_id", "data", "size", "least", F.col("hits.at").alias("at"), F.col("hits.bits").alias("bits"))
-    return joined.mapInArrow(cut_out, "doc_id long, size int, starts array<int>, ends array<int>, kept binary")
+    return joined.mapInArrow(released(cut_out), "doc_id long, size int, starts array<int>, ends array<int>, kept binary")
 
 
 def report(removed: DataFrame) -> DataFrame:
