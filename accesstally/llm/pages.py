@@ -8,7 +8,7 @@ its path, or with both where they share as much: lines are aligned by a longest
 
 A page that marks its article (``article``, else ``main`` or its role) says itself what is the site's:
 there, shared lines go from everywhere but the article, as a paragraph that two articles quote belongs to
-both. Without such a mark shared lines go from the whole page, unless the neighbour holds the same
+both, and lines of its own outside the article stay. Without such a mark shared lines go from the whole page, unless the neighbour holds the same
 lines throughout, as then it is a copy and says nothing about the site.
 
 Sorting is by ranges over (host, path, number), so a large host is spread over tasks; a task holds two
@@ -195,7 +195,6 @@ def _between(x: list[str], y: list[str]) -> set[int]:
 
 def main_text(own: list[Line], others: list[list[Line]]) -> str:
     """The lines that are left of a page beside its neighbours'."""
-    marked = any(article and not site for _, article, site in own)
     texts = [line[0] for line in own]
     shared: set[int] = set()
     for other in others:
@@ -204,7 +203,7 @@ def main_text(own: list[Line], others: list[list[Line]]) -> str:
             shared |= common(texts, theirs)
     kept = []
     for i, (text, article, site) in enumerate(own):
-        if site or marked and not article or not marked and i in shared:
+        if site or i in shared and not article:
             continue
         kept.append(text)
     return "\n".join(kept)

@@ -252,6 +252,12 @@ def test_pages_cases(spark):
     assert found == {(1, "T & u\none two three\nfour"), (2, "own text"), (3, "other text"), (4, "alone\nend"), (5, ""), (6, ""), (None, "plain & text"), (4, "alone")}
 
 
+def test_pages_lines_outside_the_article():
+    page = "<div>Site name</div><h1>Heading {0}</h1><article><p>quoted<p>body {0}</article><div>Imprint</div>"
+    one, two = pages.lines_of(page.format(1)), pages.lines_of(page.format(2))
+    assert pages.main_text(one, [two]) == "Heading 1\nquoted\nbody 1"
+
+
 def test_longest_common_lines(monkeypatch):
     rng = random.Random(1)
     for turn in range(800):
