@@ -7,7 +7,8 @@ and the words beside it. The forest learns from labelled findings: any table of
 label will do. The given tables hold none, so ``labelled`` names the findings whose format or
 surroundings leave no doubt, and ``EXAMPLES`` adds a few of each kind for corpora without them.
 
-Training takes at most ``TRAIN_ROWS`` labelled findings; counts of words cover all documents. Texts are
+Training takes at most ``TRAIN_ROWS`` different labelled findings of each label, chosen by hash, copies as
+one with a weight, and all of ``EXAMPLES``; counts of words cover all documents. Texts are
 read by column expressions; only candidates are shuffled, and texts of documents with a secret at the
 redaction. Everything is DataFrame functions and the forest of ``pyspark.ml``.
 
@@ -19,6 +20,8 @@ and are ignored in reports.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -30,7 +33,7 @@ from accesstally.sources.scratch import scratch_path, written
 MASK = "[SECRET]"
 #: Candidates have at least so many characters, after a naming word fewer.
 MIN_LENGTH, MIN_NAMED = 16, 8
-#: Labelled findings that are learned from at most, and documents that make a word one of the dictionary.
+#: Different findings of a label that are learned from at most, and documents that make a word one of the dictionary.
 TRAIN_ROWS, DICTIONARY_DOCUMENTS = 20_000, 5
 TREES, DEPTH, SEED = 40, 6, 7
 THRESHOLD = 0.5
@@ -185,11 +188,18 @@ def labelled(featured: DataFrame) -> DataFrame:
     return featured.withColumn("label", label).filter("label IS NOT NULL")
 
 
-def train(findings: DataFrame) -> PipelineModel:
-    """A forest from labelled findings: the bounded number with the smallest hashes, in a fixed order."""
-    first = findings.withColumn("at", F.xxhash64(*FEATURES, "label")).orderBy("at", *FEATURES).limit(TRAIN_ROWS)
-    weight = F.when(F.col("label") == 1, 2.0).otherwise(1.0)
-    rows = first.select(*FEATURES, "label", weight.alias("weight")).coalesce(1)
+def train(findings: DataFrame, always: DataFrame | None = None) -> PipelineModel:
+    """A forest from labelled findings and all of ``always``, in a fixed order.
+
+    Findings with equal features and label are one row, whose weight grows with the logarithm of their
+    number; of each label the bounded number of such rows with the smallest hashes is taken.
+    """
+    columns = [*FEATURES, "label"]
+    distinct = findings.groupBy(*columns).agg(F.log2(F.count("*") + 1).alias("weight")).withColumn("at", F.xxhash64(*columns))
+    parts = [distinct.filter(F.col("label") == label).orderBy("at", *FEATURES).limit(TRAIN_ROWS).drop("at") for label in (0.0, 1.0)]
+    if always is not None:
+        parts.append(always.select(*columns, F.lit(1.0).alias("weight")).orderBy(*columns))
+    rows = reduce(DataFrame.unionByName, parts).withColumn("weight", F.col("weight") * F.when(F.col("label") == 1, 2.0).otherwise(1.0)).coalesce(1)
     forest = RandomForestClassifier(featuresCol="vector", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="vector"), forest]).fit(rows)
 
@@ -207,8 +217,7 @@ def scored(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", pat
     featured = written(features(found, known), scratch_path(spark, "features"))
     made = examples(spark)
     seeds = features(made.drop("given"), spark.createDataFrame([], "word string")).join(made.select("value", "left", F.col("given").cast("double").alias("label")), ["value", "left"])
-    chosen = labelled(featured).select(*FEATURES, "label").unionByName(seeds.select(*FEATURES, "label"))
-    model = train(chosen)
+    model = train(labelled(featured), seeds)
     judged = model.transform(featured).withColumn("score", vector_to_array("probability")[1])
     return judged.select("doc_id", "text_key", "path", "left", "value", "right", "score")
 

@@ -228,6 +228,17 @@ def test_secrets(spark):
     assert len(secrets.report(judged).collect()) == len(rows)
 
 
+def test_secrets_learn_from_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "TRAIN_ROWS", 10)
+    findings = spark.range(40).select(
+        *[(F.col("id") * 0.01 + F.col("id") % 2).alias(name) for name in secrets.FEATURES],
+        (F.col("id") % 2).cast("double").alias("label"),
+    )
+    copies = findings.crossJoin(spark.range(100)).drop("id")
+    judged = secrets.train(copies).transform(findings).select("label", "prediction").collect()
+    assert all(r.label == r.prediction for r in judged)
+
+
 def test_licenses(spark):
     rows, _, frame = awkward(spark)
     found = {r.doc_id: r for r in license.report(license.scan(frame)).collect()}
