@@ -31,8 +31,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from accesstally.sources.scratch import scratch_path, written
 
 MASK = "[SECRET]"
-#: Candidates have at least so many characters, after a naming word fewer.
-MIN_LENGTH, MIN_NAMED = 16, 8
+#: Candidates have at least so many characters, after a naming word fewer, and in one field with it fewer still.
+MIN_LENGTH, MIN_NAMED, MIN_JOINED = 16, 8, 6
 #: Different findings of a label that are learned from at most, and documents that make a word one of the dictionary.
 TRAIN_ROWS, DICTIONARY_DOCUMENTS = 20_000, 5
 TREES, DEPTH, SEED = 40, 6, 7
@@ -45,10 +45,17 @@ FORMATS = (
     r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_(live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}"
     r"|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)$"
 )
-#: What looks like a secret and is none: addresses, numbers, dates, versions, placeholders, unique ids.
+#: ``user:password@host`` behind a scheme, or before a port or path; passwords that are placeholders are left out.
+CONNECTION = (
+    r"(?i)(?:[a-z][a-z0-9+.-]{0,30}://[^\s/:@]*:(?!_HOLDER_)[^\s/@]+@[^\s/@]"
+    r"|^[\"'`(<\[{=]*[^\s/:@=]+:(?!_HOLDER_)[^\s/@]+@[a-z0-9.-]+(?::[0-9]+|/))"
+).replace("_HOLDER_", r"(?:passw(?:or)?d|pass|pwd|secret|changeme|example|placeholder|your[_-][a-z_-]+|x{3,}|\*+|<[^>@]*>|\$?\{[^}@]*\})@")
+#: What looks like a secret and is none: numbers, whole e-mail addresses, links, versions, placeholders, unique ids, names under the
+#: domains for examples. Groups repeat a bounded number of times, as each repetition takes stack.
 HARMLESS = (
-    r"(?i)(^[0-9 ().,:/+-]+$|@|^https?:|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|example|changeme|x{4,}|\*{3,}"
-    r"|your[_-]|placeholder|^[0-9]+[a-z]{1,3}$)"
+    r"(?i)(^[0-9 ().,:/+-]+$|^[\p{L}0-9._%+-]+@([a-z0-9-]+\.){1,8}[a-z]{2,}$|^https?:|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    r"|^([a-z]+[_.-]){0,8}(example|changeme|placeholder|your)([_.-][a-z]+){0,8}[_.-]?[0-9]{0,4}$|^([a-z0-9-]+\.){0,8}example\.(com|org|net)([:/].*)?$"
+    r"|^([a-z0-9]+[_-]){0,8}(x{4,}+[_-]?+){1,8}+[0-9]{0,4}$|\*{3,}|^[0-9]+[a-z]{1,3}$)"
 )
 TEST_PATH = r"(?i)(test|example|sample|mock|fixture|doc)"
 
@@ -110,7 +117,8 @@ def candidates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id",
         & (x.rlike(NAMES) | before(i, 1).rlike(NAMES) | (before(i, 1).rlike("^[=:]+$") & before(i, 2).rlike(NAMES)))
     )
     numbered = F.transform("f", lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    chosen = F.filter(numbered, lambda s: (F.length(s["x"]) >= MIN_NAMED) & (shaped(s["x"]) | named(s["x"], s["i"])))
+    linked = lambda x: x.contains("@") & x.rlike(CONNECTION)
+    chosen = F.filter(numbered, lambda s: (F.length(s["x"]) >= MIN_NAMED) & (shaped(s["x"]) | linked(s["x"]) | named(s["x"], s["i"])))
     found = F.transform(
         chosen,
         lambda s: F.struct(
@@ -121,7 +129,8 @@ def candidates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id",
     )
     each = rows.select("doc_id", "text_key", "path", F.inline(found))
     each = each.withColumn("value", _value(F.col("field")))
-    return each.filter(F.length("value") >= MIN_NAMED).distinct()
+    joined = (F.length("value") >= MIN_JOINED) & F.col("value").rlike("[^A-Za-z]") & F.col("field").rlike(NAMES) & ~F.col("value").rlike(NAMES)
+    return each.filter((F.length("value") >= MIN_NAMED) | joined).distinct()
 
 
 def _pieces(value: Column) -> Column:
@@ -155,6 +164,7 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
     )
     out = found.join(covered, "value", "left")
     number = lambda c: c.cast("double")
+    linked = F.col("field").contains("@") & F.col("field").rlike(CONNECTION)
     return out.select(
         *found.columns,
         number(F.least(size, F.lit(200))).alias("length"),
@@ -170,8 +180,8 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
         number(F.col("field").rlike(NAMES)).alias("named_in_field"),
         number(left.rlike("[=:]$") | F.col("field").rlike("[=:]")).alias("assigned"),
         number(F.col("field").rlike("[\"'`]")).alias("quoted"),
-        number(value.rlike(FORMATS)).alias("format"),
-        number(value.rlike(HARMLESS)).alias("harmless"),
+        number(value.rlike(FORMATS) | linked).alias("format"),
+        number(value.rlike(HARMLESS) & ~linked).alias("harmless"),
         number(F.col("path").rlike(TEST_PATH)).alias("test_path"),
         number(F.length(F.regexp_replace("path", "[^/]", ""))).alias("depth"),
         number(F.length(left)).alias("left_length"),
@@ -184,7 +194,9 @@ def labelled(featured: DataFrame) -> DataFrame:
     f = F.col
     certain = (f("format") == 1) | ((f("named") + f("named_in_field") > 0) & (f("assigned") == 1) & (f("harmless") == 0) & (f("digits") > 0.1) & (f("covered") < 0.3))
     harmless = (f("harmless") == 1) | (f("covered") > 0.8) | ((f("named") + f("named_in_field") == 0) & (f("assigned") == 0) & (f("digits") < 0.1))
-    label = F.when(certain, 1.0).when(harmless, 0.0)
+    # what is named as a secret may look like an address and be none
+    doubtful = (f("named") + f("named_in_field") > 0) & f("value").contains("@")
+    label = F.when(certain, 1.0).when(harmless & ~doubtful, 0.0)
     return featured.withColumn("label", label).filter("label IS NOT NULL")
 
 

@@ -228,6 +228,22 @@ def test_secrets(spark):
     assert len(secrets.report(judged).collect()) == len(rows)
 
 
+def test_secrets_with_marks_of_addresses(spark):
+    rows = [
+        (1, "password = P@ssw0rd!2024x end"), (2, "connect to postgres://app:Zx81kQ9v@db/prod now"), (3, "DATABASE_URL=mysql://root:hunter@db.example.com/x"),
+        (4, "use admin:Zx81kQ9v@db.local:5432/prod here"), (5, "password=ab12x9 and more"), (6, "secret = Zx81example9Kq72b"),
+        (7, "mail first.last99@mail12.example.org or"), (8, "password = your_password_here1"), (9, "as postgres://user:password@localhost/base1 says"),
+        (10, "see https://www.w3.org/TR/2014/REC-html5-20141028 for"), (11, "token: xxxxxxxxxxxxxxxx1"), (12, "a1." * 50000 + " " + "a@" * 50000 + "1"),
+    ]
+    rows += [(100 + i, f"the file {i} was read and found") for i in range(20)]
+    frame = documents(spark, rows)
+    judged = secrets.scored(frame)
+    assert {r.doc_id for r in judged.filter(f"score >= {secrets.THRESHOLD}").collect()} == {1, 2, 3, 4, 5, 6}
+    known = spark.createDataFrame([], "word string")
+    labels = {r.doc_id: r.label for r in secrets.labelled(secrets.features(secrets.candidates(frame), known)).collect()}
+    assert all(labels.get(i, 1) == 1 for i in range(1, 7)) and {i for i, label in labels.items() if label == 0} >= {7, 8, 10, 11}
+
+
 def test_secrets_learn_from_many_copies(spark, monkeypatch):
     monkeypatch.setattr(secrets, "TRAIN_ROWS", 10)
     findings = spark.range(40).select(
