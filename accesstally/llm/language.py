@@ -25,7 +25,7 @@ from accesstally.llm.workers import importable, released
 
 #: Characters of labelled text learned for a language, and for all languages together.
 SAMPLE_CHARS, TOTAL_CHARS = 24_000, 400_000
-#: Labelled rows considered for a language, and the longest text that is taken.
+#: Labelled rows considered for a language, and the longest text or piece of one that is taken.
 SAMPLE_ROWS, LONGEST = 400, 2_000
 #: Characters of a block, and texts that are parsed together.
 BLOCK, BATCH = 1024, 1000
@@ -36,29 +36,55 @@ SPACE = 1  # class of everything but letters; 0 is a letter no sample has
 def learn(documents: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> dict[str, str]:
     """Sample text of each language, from labelled rows outside the held-out fold.
 
-    The rows with the smallest hashes are taken, whole and up to ``LONGEST`` characters each, so the
+    The rows with the smallest hashes are taken, whole where they have at most ``LONGEST`` characters, so the
     sample does not depend on how the table is stored. A count by language first says which hashes are small.
+    Where those do not fill a language's sample, pieces of the longer ones follow, each from a letter at a
+    hashed place on. A language without a letter in all these rows gives a piece of its first row with one.
     """
     rows = documents.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     rows = rows.filter((fold(F.col("doc_id")) != 1) & F.col("lang").isNotNull())
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    # the hashes below a bound that leaves about four times as many rows as are taken
-    at = F.xxhash64("doc_id")
-    below = F.lit(False)
-    for name, n in counts.items():
-        bound = -(2**63) + int(2**64 * min(1.0, 4 * SAMPLE_ROWS / n)) - 1
-        below |= (F.col("lang") == name) & (at <= bound)
-    few = rows.filter(below & F.char_length("text").between(1, LONGEST)).select("lang", "text", at.alias("at")).distinct()
-    found = sorted(few.collect(), key=lambda r: (r["at"], r["text"]))
-    langs = sorted({r.lang for r in found})
-    most = min(SAMPLE_CHARS, TOTAL_CHARS // max(1, len(langs)))
+    at, size, lettered = F.xxhash64("doc_id"), F.char_length("text"), F.col("text").rlike(r"\p{L}")
+
+    def below(names):
+        """The hashes below a bound that leaves about four times as many rows of a language as are taken."""
+        found = F.lit(False)
+        for name in names:
+            bound = -(2**63) + int(2**64 * min(1.0, 4 * SAMPLE_ROWS / counts[name])) - 1
+            found |= (F.col("lang") == name) & (at <= bound)
+        return found
+
+    rest = F.substr("text", F.lit(1) + F.pmod(F.xxhash64("doc_id", F.lit(1)), size).cast("int"))
+    rest = F.when(rest.rlike(r"\p{L}"), rest).otherwise(F.col("text"))
+    piece = F.substr(F.regexp_replace(rest, r"^\P{L}++", ""), F.lit(1), F.lit(LONGEST))
+    texts: dict[str, list[str]] = {}
+
+    def more(found):
+        by_name: dict[str, list[str]] = {}
+        for row in sorted(found, key=lambda r: (r["at"], r["text"])):
+            by_name.setdefault(row["lang"], []).append(row["text"])
+        for name, bodies in by_name.items():
+            texts.setdefault(name, []).extend(bodies[:SAMPLE_ROWS])
+
+    most = min(SAMPLE_CHARS, TOTAL_CHARS // max(1, len(counts)))
+    more(rows.filter(below(counts) & size.between(1, LONGEST) & lettered).select("lang", "text", at.alias("at")).distinct().collect())
+    lacking = sorted(name for name in counts if sum(map(len, texts.get(name, []))) < most - LONGEST)
+    if lacking:
+        more(rows.filter(below(lacking) & (size > LONGEST) & lettered).select("lang", piece.alias("text"), at.alias("at")).distinct().collect())
+    missing = sorted(set(counts) - set(texts))
+    if missing:
+        first = F.min(F.struct(at.alias("at"), piece.alias("text"))).alias("first")
+        more(rows.filter(F.col("lang").isin(missing) & lettered).groupBy("lang").agg(first).select("lang", "first.*").collect())
     sample = {}
-    for name in langs:
-        taken, size = [], 0
-        for row in [r for r in found if r.lang == name][:SAMPLE_ROWS]:
-            if size + len(row.text) < most:
-                taken.append(row.text)
-                size += len(row.text)
+    for name in sorted(texts):
+        taken, length = [], 0
+        for body in texts[name]:
+            if length + len(body) < most:
+                taken.append(body)
+                length += len(body)
+        if not taken:
+            body = texts[name][0]
+            taken.append(body[next((i for i, c in enumerate(body) if c.isalpha()), 0) :][: max(1, most)])
         sample[name] = "\n".join(taken)
     return {name: s for name, s in sample.items() if any(c.isalpha() for c in s)}
 

@@ -197,6 +197,19 @@ def test_language_cases(spark):
     assert kept.count() == sum(any(c.isalpha() for c in t or "") for _, t in rows)
 
 
+def test_language_of_long_documents(spark):
+    rng = random.Random(5)
+    body = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rows = [(i, body("abcd  ", 300), "aa") for i in range(30)] + [(100 + i, body("vwxy  ", 5000), "bb") for i in range(30)]
+    rows += [(200 + i, "." * 9000 + body("klmn  ", 2500), "cc") for i in range(30)] + [(300 + i, "." * 100, "none") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language.learn(frame)
+    assert sorted(sample) == ["aa", "bb", "cc"] and max(map(len, sample.values())) <= language.SAMPLE_CHARS + language.SAMPLE_ROWS
+    assert set(sample["bb"]) <= set("vwxy \n") and len(sample["bb"]) > 10000
+    found = {r.doc_id: r.lang_pred for r in language.identify(frame, sample).collect()}
+    assert all(found[i] == ("und" if name == "none" else name) for i, _, name in rows)
+
+
 def test_toxicity_on_held_out_documents(spark):
     found = toxicity.op2_toxicity(spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
