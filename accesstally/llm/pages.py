@@ -3,16 +3,17 @@
 A page becomes lines, one for each block of text, that know whether they lie in the page's article and
 whether in a part that is never article (menus, headers, footers, sidebars, notices, adverts, forms,
 reader comments, by element or by the words of class, id and role). Pages are sorted by host and path
-over all tasks, and each is compared with the neighbour in that order that shares the longer beginning of
-its path, or with both where they share as much: lines are aligned by a longest common subsequence, and shared lines are the site's and go.
+over all tasks, and each is compared with the nearest page before or after it that holds other lines,
+the one that shares the longer beginning of its path, or with both where they share as much: lines are aligned by a longest common subsequence, and shared lines are the site's and go.
 
 A page that marks its article (``article``, else ``main`` or its role) says itself what is the site's:
 there, shared lines go from everywhere but the article, as a paragraph that two articles quote belongs to
-both, and lines of its own outside the article stay. Without such a mark shared lines go from the whole page, unless the neighbour holds the same
-lines throughout, as then it is a copy and says nothing about the site.
+both, and lines of its own outside the article stay. Without such a mark shared lines go from the whole page. A page with the same
+lines throughout is a copy and says nothing about the site, so it is passed over.
 
-Sorting is by ranges over (host, path, number), so a large host is spread over tasks; a task holds two
-pages at a time. The first page of a task is compared with the next one only.
+Sorting is by ranges over (host, path, number), so a large host is spread over tasks; a task holds three
+pages at a time, and of copies in a row the numbers, URLs and flags. Pages are not compared across tasks: the
+first pages of a task have none before them, and the last ones none after them.
 
 Cases: null and empty html give the empty text. Pages without a usable URL are sorted together under an
 empty host and not compared. Repeated rows are extracted one by one; extra columns are ignored.
@@ -244,27 +245,39 @@ def extract(pages: DataFrame, page: str = "html", url: str = "url", page_id: str
         return n
 
     def compare(batches):
-        before = here = None
+        before = here = None  # the last page with other lines, and the first of the pages with equal lines
+        same: list[tuple] = []  # number, URL, path and flags of those: their lines are held once
         texts: list[tuple] = []
 
         def judged(after):
-            left, right = near(here, before), near(here, after)
-            nearest = max(left, right, 0)
-            others = [page[4] for page, shared in ((before, left), (after, right)) if shared == nearest]
-            return here[0], here[1], main_text(here[4], others)
+            lines = [line[0] for line in here[4]]
+            for page_id, url, path, flags in same:
+                own = [(t, bool(f & 1), bool(f & 2)) for t, f in zip(lines, flags, strict=True)]
+                page = (page_id, url, here[2], path)
+                left, right = near(page, before), near(page, after)
+                nearest = max(left, right, 0)
+                others = [other[4] for other, shared in ((before, left), (after, right)) if shared == nearest]
+                texts.append((page_id, url, main_text(own, others)))
+                if len(texts) >= 500:
+                    yield batch_of()
+                    texts.clear()
 
         def batch_of():
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*texts, strict=True), out, strict=True)], schema=out)
 
         for row in rows_of(batches):
-            if here is not None:
-                texts.append(judged(row))
-            before, here = here, row
-            if len(texts) >= 500:
-                yield batch_of()
-                texts.clear()
+            if here is not None and (row[2] != here[2] or [x[0] for x in row[4]] != [x[0] for x in here[4]]):
+                yield from judged(row)
+                before, here = here, None
+                same.clear()
+            elif here is not None:
+                here = (*here[:3], row[3], here[4])  # the path of the last one, which is nearest to what follows
+            if here is None:
+                here = row
+            same.append((row[0], row[1], row[3], bytes(x[1] + 2 * x[2] for x in row[4])))
         if here is not None:
-            texts.append(judged(None))
+            yield from judged(None)
+        if texts:
             yield batch_of()
 
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(page).cast("string").alias("html"))

@@ -298,6 +298,19 @@ def test_pages_lines_outside_the_article():
     assert pages.main_text(one, [two]) == "Heading 1\nquoted\nbody 1"
 
 
+def test_pages_copies_in_a_row(spark):
+    page = "<div>Site name</div><p>text {}</p><div>Imprint</div>"
+    rows = [(0, "http://a/x/1", page.format("one"))] + [(i, f"http://a/x/2?page={i}", page.format("two")) for i in range(1, 8)] + [(8, "http://a/x/3", page.format("three"))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found = {r.page_id: r.text for r in pages.extract(frame).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == {0: "text one", **{i: "text two" for i in range(1, 8)}, 8: "text three"}
+
+
 def test_longest_common_lines(monkeypatch):
     rng = random.Random(1)
     for turn in range(800):
