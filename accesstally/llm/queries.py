@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from accesstally.llm import bpe, decontaminate, language, license, near_duplicates, neighbours, pages, passages, secrets, toxicity
+from accesstally.llm import (
+    bpe,
+    decontaminate,
+    language,
+    license,
+    near_duplicates,
+    neighbours,
+    pages,
+    passages,
+    resampling,
+    secrets,
+    sharding,
+    toxicity,
+    vector_codes,
+)
 
 
 def queries():
@@ -17,6 +31,9 @@ def queries():
         "op8_license": license.op8_license,
         "op9_near_duplicates": near_duplicates.op9_near_duplicates,
         "op10_language": language.op10_language,
+        "op11_sharding": sharding.op11_sharding,
+        "op12_codes": vector_codes.op12_codes,
+        "op13_resampling": resampling.op13_resampling,
     }
 
 
@@ -26,4 +43,7 @@ def oracle_sql():
         "op6_repeats": passages.OP6_SQL,
         "op8_license": license.OP8_SQL,
         "op9_near_duplicates": near_duplicates.OP9_SQL,
+        "op11_sharding": sharding.OP11_SQL,
+        "op12_codes": vector_codes.OP12_SQL,
+        "op13_resampling": resampling.OP13_SQL,
     }
