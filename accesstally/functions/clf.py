@@ -117,14 +117,21 @@ def _standard_pattern(space: str) -> str:
 
 
 def _loose_pattern(space: str) -> str:
-    """Any ident and auth, single blanks, numeric status, optional request parts."""
+    """Any ident and auth, single blanks, numeric status, optional request parts.
+
+    The request holds up to three parts. Capitals at its start are the method; a blank directly after
+    them, or at the very start, opens the path; what follows the path's blank is the protocol. So each
+    part ends where its characters end, no other way to share them out can match a request that this
+    one does not, and nothing is tried twice: a line takes time in proportion to its length.
+    """
     s, n = f"[{space}]", f"[^{space}]"
     in_quotes = f'[^"{space}]'
+    request = rf"(?<method>[A-Z]++)?+ ?+(?<path>{in_quotes}++)?+(?: (?<protocol>HTTP{in_quotes}*+)?+)?+"
     return (
         rf"{s}*+(?<host>{n}++) {n}++ {n}++ "
         r"\[(?<day>\d{2})/(?<month>\w{3})/(?<year>\d{4}):(?<clock>(?<hour>\d{2}):\d{2}:\d{2}) "
         rf"(?:(?<zone>{_ZONE})(?=\])|[^\]]++)\] "
-        rf'"(?<request>(?<method>[A-Z]+)? ?(?<path>{in_quotes}+)? ?(?<protocol>HTTP{in_quotes}*)?)" '
+        rf'"(?<request>{request})" '
         rf"(?<status>\d{{3}}) (?<bytes>{n}++)"
     )
 

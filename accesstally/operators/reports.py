@@ -27,9 +27,25 @@ def with_error_tag(records: DataFrame, low: int = ERROR_MIN, high: int = ERROR_M
     return records.withColumn("is_error", is_error(F.col("status_code"), low, high).cast("int"))
 
 
+# Bits of a limb. Sums of limbs stay in 64 bits for 2**41 lines of a group.
+LIMB_BITS = 22
+
+
+def exact_sum(value: str, kind: str = "decimal(30,0)") -> str:
+    """SQL of the exact sum of a 64-bit column, which may not fit 64 bits itself.
+
+    The column is cut into three limbs of ``LIMB_BITS`` bits, the highest with the sign. Tasks add limbs
+    as integers; only the sums of a whole group become a decimal.
+    """
+    mask = (1 << LIMB_BITS) - 1
+    limbs = [f"{value} & {mask}L", f"shiftright({value}, {LIMB_BITS}) & {mask}L", f"shiftright({value}, {2 * LIMB_BITS})"]
+    weighed = [f"cast(sum({limb}) AS decimal(20,0)) * {1 << (i * LIMB_BITS)}BD" for i, limb in enumerate(limbs)]
+    return f"cast({' + '.join(weighed)} AS {kind})"
+
+
 def total_bytes() -> Column:
-    """Bytes summed in decimals, as one line can carry the largest integer."""
-    return F.sum(F.col("bytes_transferred").cast("decimal(20,0)")).alias("total_bytes")
+    """Bytes summed exactly: one line can carry the largest integer."""
+    return F.expr(exact_sum("bytes_transferred")).alias("total_bytes")
 
 
 def daily_traffic(records: DataFrame) -> DataFrame:

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accesstally.operators.reports import ERROR_MAX, ERROR_MIN, TOP_N
+from accesstally.operators.reports import ERROR_MAX, ERROR_MIN, TOP_N, exact_sum
 
-Q1 = """
-SELECT log_date, status_code, count(*) AS request_count, sum(CAST(bytes_transferred AS decimal(20,0))) AS total_bytes
-FROM {records}
+_BYTES = exact_sum("bytes_transferred")
+
+Q1 = f"""
+SELECT log_date, status_code, count(*) AS request_count, {_BYTES} AS total_bytes
+FROM {{records}}
 GROUP BY log_date, status_code
 ORDER BY log_date, status_code
 """
 
 Q2 = f"""
-SELECT resource_path, count(*) AS request_count, sum(CAST(bytes_transferred AS decimal(20,0))) AS total_bytes,
+SELECT resource_path, count(*) AS request_count, {_BYTES} AS total_bytes,
        count(DISTINCT host) AS distinct_host_count
 FROM {{records}}
 WHERE resource_path IS NOT NULL

@@ -1,6 +1,9 @@
 """Line grammar: literal lines, lenient timestamps, dialects."""
 
 import itertools
+import random
+import re
+import time
 from datetime import date, datetime
 
 import pytest
@@ -225,3 +228,31 @@ def test_parse_works_on_a_stream(spark, tmp_path):
     query.awaitTermination(60)
     rows = spark.read.parquet(str(tmp_path / "out")).select("malformed_reason").collect()
     assert sorted(str(r[0]) for r in rows) == ["None", "no_match"]
+
+
+# Fixed value: the request of the loose dialect as a grammar that tries every way to share it out.
+_LOOSE_REQUEST = r'(?P<method>[A-Z]+)? ?(?P<path>[^"\s]+)? ?(?P<protocol>HTTP[^"\s]*)?'
+
+
+def test_loose_requests_agree_with_the_free_grammar(spark):
+    rng = random.Random(11)
+    requests = ["".join(rng.choice(["GET", "P", "HTTP", "HTTP/1.0", " ", " ", " ", "/a", "x", "\t", "1", "hTTP", ""]) for _ in range(rng.randint(0, 7))) for _ in range(4000)]
+    lines = [f'h - - [01/Jul/1995:00:00:01 -0400] "{r}" 200 1' for r in requests]
+    found = [(r.value, r.http_method, r.resource_path, r.protocol_version) for r in parse(spark, lines, "loose") if r.malformed_reason is None]
+    want = []
+    for request, line in zip(requests, lines, strict=True):
+        if m := re.fullmatch(_LOOSE_REQUEST, request):
+            want.append((line, m["method"] or "UNKNOWN", m["path"], m["protocol"] or "UNKNOWN"))
+    assert len(want) > 1000
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("dialect", ["clf", "prefix", "loose"])
+def test_hostile_lines_take_linear_time(spark, dialect):
+    bodies = ["A" * 40_000, "HTTP" * 10_000, "GET " + "HTTP" * 10_000, "a" + "HTTP" * 10_000 + " ", "GET /" + "HTTP " * 8_000, " " * 40_000]
+    lines = [f'h - - [01/Jul/1995:00:00:01 -0400] "{b}{end}' for b in bodies for end in ('" 200 1', '" 200', "", '" x 1')]
+    lines += ["h" * 40_000, "h - - [" + "1" * 40_000, "h " * 20_000]
+    parse(spark, lines[:1], dialect)
+    start = time.perf_counter()
+    assert len(parse(spark, lines, dialect)) == len(lines)
+    assert time.perf_counter() - start < 0.3 * len(lines)

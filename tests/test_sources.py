@@ -2,6 +2,8 @@
 
 import gzip
 import json
+import random
+import time
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -263,3 +265,33 @@ def test_scratch_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one.startswith(root + "/") and one != two
+
+
+def test_many_paths_are_one_scan(spark, tmp_path):
+    """Paths that begin alike, odd names, folders in folders, and a thousand of them."""
+    rng = random.Random(5)
+    names = ["a", "a-2", "a.b", "a2", "ju ly%41é.log", "z#1", "sub/x=1/deep.log", "sub.log", "日/本.log"]
+    names += [f"many/f{i}.log" for i in range(1000)]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(f"{name}\n")
+    paths = ["sub" if n.startswith("sub/") else n for n in names]
+    rng.shuffle(paths)
+    start = time.perf_counter()
+    lines = text.read_lines(spark, [f"{tmp_path}/{p}" for p in paths])
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - start < 20
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan and "Join" not in plan
+    found = {r.value: r.batch_id for r in lines.collect()}
+    assert found == {n: paths.index("sub" if n.startswith("sub/") else n) + 1 for n in names}
+    number = found["many/f7.log"]
+    assert [r.value for r in lines.filter(F.col("batch_id") == number).collect()] == ["many/f7.log"]
+
+
+def test_packed_files_are_dealt_out_and_others_are_not(spark, logs, tmp_path):
+    with gzip.open(tmp_path / "p.log.gz", "wt") as file:
+        file.write("\n".join([log_line()] * 3))
+    lines = text.read_lines(spark, [*logs, str(tmp_path / "p.log.gz")])
+    assert {r.batch_id: r["count"] for r in lines.groupBy("batch_id").count().collect()} == {1: 4, 2: 3, 3: 3}
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 2 and plan.count("Exchange RoundRobin") == 1
