@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import oracle_queries
 from accesstally import schema
 from accesstally.functions.clf import malformed_lines, parse_lines, request_parts, valid_records
-from accesstally.operators import chunks, counts, history, reports
+from accesstally.operators import chunks, counts, history, host_sets, lookups, reports
 from accesstally.plans import combined, etl, sql_reports
 from accesstally.sources import event_lines as derived, tables, text
 from accesstally.sources.scratch import scratch_path
@@ -286,6 +286,23 @@ def parsed_store_batches(spark, sf_dir):
     return counts.batch_counts(tables.read_store(spark, _store(spark, sf_dir)))
 
 
+# Lookups
+
+SHOWN = ("host", "timestamp", "resource_path", "status_code", "bytes_transferred")
+
+
+def _lookup(**wanted):
+    """Single requests out of a clustered store."""
+
+    def query(spark, sf_dir):
+        path = scratch_path(spark, "clustered")
+        parsed = _parsed(spark, sf_dir).withColumn("file_path", F.lit("events")).drop("event_id")
+        tables.write_store(parsed, path, clustered=True)
+        return lookups.find_requests(tables.stored_records(spark, path), **wanted).select(*SHOWN)
+
+    return query
+
+
 # Run tables
 
 
@@ -299,6 +316,11 @@ def _two_runs(spark, sf_dir, table, build):
     return stored.read(table)
 
 
+def _merged(table, build, merge):
+    """A report over two runs, from what they stored alone."""
+    return lambda spark, sf_dir: merge(_two_runs(spark, sf_dir, table, build))
+
+
 def stored_q1_rollup(spark, sf_dir):
     stored = _two_runs(spark, sf_dir, "daily_traffic_summary", reports.daily_traffic)
     return history.stored_traffic(stored, "run-2")
@@ -329,6 +351,23 @@ def report_hourly_errors(spark, sf_dir):
     return history.report_hourly_errors(stored, "run-2")
 
 
+def _ordered_files(spark, sf_dir):
+    """Log files of 2000 consecutive events of a batch each, in order, all below one path."""
+    key = ["batch_id", "part"]
+    lines = _lines(spark, sf_dir).withColumn("part", F.expr("event_id DIV 2000"))
+    root = scratch_path(spark, "ordered-logs")
+    lines.repartition(*key).sortWithinPartitions(*key, "event_id").select(*key, "value").write.partitionBy(*key).text(root)
+    return root
+
+
+def run_line_batches(spark, sf_dir):
+    """Batches of 1000 consecutive lines of the files of a run."""
+    root = scratch_path(spark, "etl")
+    paths = [_ordered_files(spark, sf_dir)]
+    run_id = etl.run(spark, paths, f"{root}/store", f"{root}/tables", "query1", batch_size=1000, batch_by="lines")
+    return history.run_report(tables.RunTables(spark, f"{root}/tables"), run_id)["batches"]
+
+
 def _etl_run(spark, sf_dir, query="all"):
     root = scratch_path(spark, "etl")
     run_id = etl.run(spark, _written_batches(spark, sf_dir), f"{root}/store", f"{root}/tables", query)
@@ -428,6 +467,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parsed_store_q2": parsed_store_q2,
         "parsed_store_q3": parsed_store_q3,
         "parsed_store_batches": parsed_store_batches,
+        "lookup_host": _lookup(hosts="h7.example.com"),
+        "lookup_path": _lookup(paths=["/big", "/é/日"], hours=[0, 1, 2, 3, 4, 5]),
+        "lookup_status": _lookup(statuses=500, dates=("2024-01-05", "2024-01-12")),
+        "merged_q1": _merged("daily_traffic_summary", reports.daily_traffic, host_sets.merged_traffic),
+        "merged_q2": _merged("resource_host_state", host_sets.resource_hosts, host_sets.merged_top_resources),
+        "merged_q3": _merged("hour_host_state", host_sets.hour_hosts, host_sets.merged_hourly_errors),
+        "merged_hosts": _merged("hour_host_state", host_sets.hour_hosts, lambda state: host_sets.merged_hosts(state, "log_date")),
         "stored_q1_rollup": stored_q1_rollup,
         "stored_top_resources": stored_top_resources,
         "stored_hourly_errors": stored_hourly_errors,
@@ -436,6 +482,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_hourly_errors": report_hourly_errors,
         "run_record": run_record,
         "run_batches": run_batches,
+        "run_line_batches": run_line_batches,
         "run_malformed_summary": run_malformed_summary,
         "run_query_result": run_query_result,
         "latest_run": latest_run,

@@ -96,3 +96,16 @@ def _cut(placed: DataFrame, file: str, size: int) -> DataFrame:
             F.sum("bad").alias("malformed_records"),
         )
     )
+
+
+def numbered_chunks(chunks: DataFrame, files: DataFrame, file: str = "file_path") -> DataFrame:
+    """Chunks numbered through all files, from 1: ``batch_id``, good and malformed lines.
+
+    ``files`` has ``file`` and the ``batch_id`` of its path, in whose order the files come, and by name
+    within a path. A running sum over files, a row for each, says how many chunks stand before.
+    """
+    counted = chunks.groupBy(file).agg(F.max("chunk_id").alias("chunks")).join(files, file)
+    before = Window.orderBy("batch_id", file).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.select(file, F.coalesce(F.sum("chunks").over(before), F.lit(0)).alias("earlier"))
+    number = (F.col("earlier") + F.col("chunk_id")).alias("batch_id")
+    return chunks.join(offsets, file).select(number, "good_records", "malformed_records")

@@ -11,11 +11,14 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from accesstally.functions.clf import parse_lines
+from accesstally.operators.chunks import chunk_stats, numbered_chunks
 from accesstally.operators.counts import batch_counts, batch_size_summary
+from accesstally.operators.host_sets import hour_hosts, resource_hosts
 from accesstally.operators.reports import QUERY_IDS, loose_resource_lines, selected_reports, top_resources
 from accesstally.schema import TABLES
-from accesstally.sources.tables import RunTables, read_store, stored_records, with_run, write_store
-from accesstally.sources.text import batch_paths, read_lines
+from accesstally.sources.scratch import scratch_path, written
+from accesstally.sources.tables import RunTables, read_positions, read_store, stored_records, with_run, write_store
+from accesstally.sources.text import batch_paths, read_lines, read_numbered_lines
 
 _RESULT_TABLES = {
     "query1": "daily_traffic_summary",
@@ -36,6 +39,14 @@ def batch_rows(batches: DataFrame, run_id: str, pipeline_name: str, at: datetime
     return with_run(sized, run_id, pipeline_name)
 
 
+def line_batches(spark: SparkSession, store: str, batch_size: int) -> DataFrame:
+    """Counts of every ``batch_size`` consecutive lines of the files in a store of numbered lines."""
+    positions = read_positions(spark, store)
+    found = written(chunk_stats(positions, batch_size, scratch_path(spark, "blocks")), scratch_path(spark, "chunks"))
+    numbered = numbered_chunks(found, positions.select("file_path", "batch_id").distinct())
+    return numbered.withColumnsRenamed({"good_records": "records_processed"})
+
+
 def run(
     spark: SparkSession,
     paths: Sequence[str],
@@ -48,23 +59,38 @@ def run(
     extra: dict | None = None,
     balance: bool = True,
     encoding: str = "UTF-8",
+    batch_by: str = "path",
+    clustered: bool = True,
+    host_states: bool = False,
 ) -> str:
     """Process the files and return the run id.
 
     Lines are parsed once, into the store. The reports read two to four columns
     of it each, and only the selected ones run. The run record is the last thing
     written, so a run that fails half way never shows up in the history.
-    ``batch_size`` is a label in the run record: each path is one batch.
+
+    Each path is one batch, and ``batch_size`` a label of the run record, unless ``batch_by`` is "lines":
+    then ``batch_size`` consecutive lines of a file are a batch, the last of a file may be short, and
+    batches are numbered through all files. The store holds the lines' positions, written with them, so
+    the log is neither read nor parsed again. ``clustered`` is how the store is written. ``host_states``
+    also keeps the sets of hosts, from which reports over several runs are merged.
     """
+    if batch_by not in ("path", "lines"):
+        raise ValueError(f"batches are by path or by lines, not by {batch_by!r}")
     if query not in QUERY_IDS:
         raise ValueError(f"invalid query name {query!r}, expected one of {sorted(QUERY_IDS)}")
     started, clock = datetime.now(timezone.utc), time.monotonic()
     run_id, tables = new_run_id(), RunTables(spark, tables_root)
     paths = batch_paths(spark, paths)
 
-    write_store(parse_lines(read_lines(spark, paths, encoding), dialect), store, balance)
+    by_lines = batch_by == "lines"
+    lines = (read_numbered_lines if by_lines else read_lines)(spark, paths, encoding)
+    write_store(parse_lines(lines, dialect), store, balance, clustered)
 
-    batches = batch_counts(read_store(spark, store), len(paths))
+    if by_lines:
+        batches = line_batches(spark, store, batch_size)
+    else:
+        batches = batch_counts(read_store(spark, store), len(paths))
     tables.append("batch_metadata", batch_rows(batches, run_id, pipeline_name, started))
     logged = tables.read("batch_metadata", run_id)
 
@@ -74,6 +100,12 @@ def run(
     for name, rows in reports.items():
         tables.append_results(_RESULT_TABLES[name], rows, run_id, pipeline_name)
 
+    if host_states:
+        records = stored_records(spark, store)
+        known = loose_resource_lines(read_store(spark, store)) if dialect == "loose" else records
+        tables.append_results("resource_host_state", resource_hosts(known), run_id, pipeline_name)
+        tables.append_results("hour_host_state", hour_hosts(records), run_id, pipeline_name)
+
     answer = [(run_id, pipeline_name, QUERY_IDS[query], query, started, json.dumps(extra or {}))]
     tables.append("query_results", spark.createDataFrame(answer, TABLES["query_results"]))
 

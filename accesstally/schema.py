@@ -106,6 +106,25 @@ TABLES = {
     "daily_traffic_summary": T.StructType(_RUN_KEY + Q1_RESULT.fields),
     "top_resources": T.StructType(_RUN_KEY + Q2_RESULT.fields),
     "hourly_error_analysis": T.StructType(_RUN_KEY + Q3_RESULT.fields),
+    "resource_host_state": T.StructType(
+        _RUN_KEY
+        + [
+            T.StructField("resource_path", T.StringType()),
+            T.StructField("host", T.StringType()),
+            T.StructField("request_count", T.LongType()),
+            T.StructField("total_bytes", BYTES_SUM),
+        ]
+    ),
+    "hour_host_state": T.StructType(
+        _RUN_KEY
+        + [
+            T.StructField("log_date", T.DateType()),
+            T.StructField("log_hour", T.IntegerType()),
+            T.StructField("host", T.StringType()),
+            T.StructField("error_request_count", T.LongType()),
+            T.StructField("total_request_count", T.LongType()),
+        ]
+    ),
     "batch_metadata": T.StructType(
         _RUN_KEY
         + [

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from accesstally import schema
 
@@ -65,7 +67,27 @@ def _rounded(rows: DataFrame) -> DataFrame:
     return rows.withColumn("error_rate", F.round("error_rate", 4))
 
 
-def write_store(parsed: DataFrame, path: str, balance: bool = True) -> None:
+#: Bits of each column in the interleaved key, and bytes of a row group of a clustered store.
+CLUSTER_BITS, GROUP_BYTES = 6, 32 << 20
+
+
+def cluster_key() -> Column:
+    """Rows that are alike in host, path, hour and status get near numbers.
+
+    Bits of the four columns take turns. Hour and status keep their order, so ranges of row groups and
+    pages are narrow; hosts and paths are hashed, so that each is in few row groups, and their bloom
+    filters say in which.
+    """
+    top = 1 << CLUSTER_BITS
+    scaled = lambda value, low, high: F.least(F.greatest(F.floor((value - low) * top / (high - low)), F.lit(0)), F.lit(top - 1))
+    hashed = lambda c: F.pmod(F.xxhash64(c), F.lit(top))
+    sides = [hashed("host"), hashed("resource_path"), scaled(F.col("log_hour"), 0, 24), scaled(F.col("status_code"), 100, 600)]
+    sides = [F.coalesce(side.cast("long"), F.lit(0).cast("long")) for side in sides]
+    bits = [F.shiftleft(F.shiftright(side, bit) % 2, bit * len(sides) + i) for bit in range(CLUSTER_BITS) for i, side in enumerate(reversed(sides))]
+    return reduce(lambda a, b: a + b, bits)
+
+
+def write_store(parsed: DataFrame, path: str, balance: bool = True, clustered: bool = False, group_bytes: int = GROUP_BYTES) -> None:
     """Replace the parsed store: Parquet by date, all lines, valid or not.
 
     Malformed lines keep their text and reason and have no date, so they form a
@@ -74,6 +96,10 @@ def write_store(parsed: DataFrame, path: str, balance: bool = True) -> None:
     it every task writes a file for each date it holds, which suits logs in time
     order that no reader has dealt out. The whole store is replaced, whatever the
     session's mode of overwriting partitions.
+
+    ``clustered`` sorts the rows of a date by ``cluster_key`` inside each task and adds bloom filters on
+    host and path, with row groups of ``group_bytes``: lookups by host, path, hour and status then read a
+    small part of a date. Tasks sort what they have; nothing more is shuffled.
     """
     stored = parsed.withColumns(
         {
@@ -83,7 +109,13 @@ def write_store(parsed: DataFrame, path: str, balance: bool = True) -> None:
     )
     if balance:
         stored = stored.hint("rebalance", "log_date")
+    if clustered:
+        stored = stored.withColumn("_near", cluster_key()).sortWithinPartitions("log_date", "_near", "host", "resource_path").drop("_near")
     replaced = stored.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if clustered:
+        replaced = replaced.option("parquet.block.size", group_bytes).option("parquet.bloom.filter.adaptive.enabled", True)
+        for column in ("host", "resource_path"):
+            replaced = replaced.option(f"parquet.bloom.filter.enabled#{column}", True)
     replaced.partitionBy("log_date").parquet(path)
 
 
@@ -103,6 +135,12 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(stored).parquet(path)
 
 
+def read_positions(spark: SparkSession, path: str) -> DataFrame:
+    """Where each stored line stood, valid or not; for a store of numbered lines."""
+    stored = "file_path string, batch_id int, split_start long, line_seq long, malformed_reason string"
+    return spark.read.schema(stored).parquet(path)
+
+
 def stored_records(spark: SparkSession, path: str) -> DataFrame:
     """Valid records of the store; malformed ones are cut off as a partition."""
     return read_store(spark, path).filter(F.col("log_date").isNotNull()).drop("value", "malformed_reason")

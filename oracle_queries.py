@@ -198,6 +198,9 @@ _RUNS = """WITH runs AS (
 """
 
 
+_SHOWN = 'SELECT host, "timestamp", resource_path, status_code, bytes_transferred FROM records'
+
+
 def oracle_sql() -> dict[str, str]:
     q1, q2, q3 = CLF + _q1(), CLF + _q2(), CLF + _q3()
     batches = CLF + _BATCHES
@@ -288,6 +291,13 @@ def oracle_sql() -> dict[str, str]:
         "parsed_store_q1": q1,
         "parsed_store_q2": q2,
         "parsed_store_q3": q3,
+        "lookup_host": CLF + _SHOWN + " WHERE host = 'h7.example.com'",
+        "lookup_path": CLF + _SHOWN + " WHERE resource_path IN ('/big', '/é/日') AND log_hour < 6",
+        "lookup_status": CLF + _SHOWN + " WHERE status_code = 500 AND log_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'",
+        "merged_q1": q1,
+        "merged_q2": q2,
+        "merged_q3": q3,
+        "merged_hosts": CLF + "SELECT log_date, count(DISTINCT host) AS distinct_hosts FROM records GROUP BY log_date",
         "stored_q1_rollup": CLF + f"SELECT 'Spark' AS pipeline_name, * FROM ({_q1(_RUN_2)})",
         "report_traffic": CLF + _q1(_RUN_2) + " ORDER BY log_date, status_code LIMIT 20",
         "report_top_resources": CLF + f"SELECT *, left(resource_path, 50) AS shown_path FROM ({_q2(_RUN_2)})",
@@ -302,6 +312,12 @@ def oracle_sql() -> dict[str, str]:
         "run_batches": CLF
         + f"""SELECT batch_id, records_processed AS batch_size, records_processed, malformed_records
           FROM ({_BATCHES})""",
+        "run_line_batches": CLF
+        + """SELECT row_number() OVER (ORDER BY b, p, chunk)::INT AS batch_id, records_processed AS batch_size, records_processed, malformed_records
+          FROM (SELECT b, p, (n - 1) // 1000 AS chunk, count(*) FILTER (WHERE reason IS NULL) AS records_processed,
+                  count(*) FILTER (WHERE reason IS NOT NULL) AS malformed_records
+                FROM (SELECT batch_id::VARCHAR AS b, (event_id // 2000)::VARCHAR AS p, reason,
+                        row_number() OVER (PARTITION BY batch_id, event_id // 2000 ORDER BY event_id) AS n FROM parsed) GROUP BY ALL)""",
         "run_malformed_summary": CLF
         + f"""SELECT 'Spark' AS pipeline_name, batch_id, malformed_records AS malformed_record_count
           FROM ({_BATCHES})""",
