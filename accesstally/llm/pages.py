@@ -2,7 +2,8 @@
 
 A page becomes lines, one for each block of text, that know whether they lie in the page's article and
 whether in a part that is never article (menus, headers, footers, sidebars, notices, adverts, forms,
-reader comments, by element or by the words of class, id and role). Pages are sorted by host and path
+reader comments, by element or by whole names of class, id and role). What is such a part by its name
+alone and holds the page's first article is none. Pages are sorted by host and path
 over all tasks, and each is compared with the nearest page before or after it that holds other lines,
 the one that shares the longer beginning of its path, or with both where they share as much: lines are aligned by a longest common subsequence, and shared lines are the site's and go.
 
@@ -53,83 +54,153 @@ HEADER = frozenset("header masthead".split())
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "option": {"option"}}
 STOPS = frozenset("ul ol table dl article section div body nav aside main form td th".split())
 
-_token = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+#: Words that only say where or of what kind a part of the site is: "main-nav", "ad-slot", "site-footer".
+PLACE_WORDS = frozenset(
+    "site main page global top bottom left right primary secondary upper lower inner outer first second js fixed sticky mobile desktop "
+    "box bar block wrapper wrap container list area section group item items link links slot unit form button buttons icon icons "
+    "text body content post entry article blog header media message signup open small large".split()
+)
+
+_name = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_plain = re.compile(r"[^>\"']*")
 _named = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _parts = re.compile(r"[a-z]+")
 
 Line = tuple[str, bool, bool]
 
 
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Where the ``>`` of a tag is whose inside begins at ``at``, or -1.
+
+    A quoted value may hold ``>``; a quote that nothing closes is a character like others. ``last`` has
+    the last place of each sign, so that a search which must fail is not begun.
+    """
+    i = at
+    while i <= last[">"]:
+        i = _plain.match(page, i).end()
+        if i >= len(page):
+            break
+        if page[i] == ">":
+            return i
+        i = page.index(page[i], i + 1) + 1 if last[page[i]] > i else i + 1
+    return page.find(">", at) if at <= last[">"] else -1
+
+
+def site_words(value: str, mine: frozenset) -> bool:
+    """Whether a class, id or role names a part of the site.
+
+    A name does that as a whole, or when all of its words name parts or places of a site and one of them
+    a part: "cookie-banner" does; "with-sidebar", "social-studies" and "share-price" do not.
+    """
+    for token in value.lower().split():
+        words = _parts.findall(token)
+        if token in mine or any(w in mine for w in words) and all(w in mine or w in PLACE_WORDS for w in words):
+            return True
+    return False
+
+
 def lines_of(page: str | None) -> list[Line]:
-    """(text, in the article, in a part of the site) of every block with text, in page order."""
+    """(text, in the article, in a part of the site) of every block with text, in page order.
+
+    Takes time in proportion to the page: places of open elements are kept by name, and the rest of a
+    page without any ``>`` is text.
+    """
     if not page:
         return []
     found: list[Line] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, unseen, site, article from here on
-    unseen = site = article = False
+    # name, unseen, part of the site (1 by its class, 2 by its element), article from here on
+    stack: list[tuple[str, bool, int, bool]] = []
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
+    unseen, site, article = False, 0, False
+    seen_article = False
     pieces: list[str] = []
+    last = {sign: page.rfind(sign) for sign in ">\"'"}
 
     def flush():
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            found.append((text, article, site))
+            found.append((text, article, bool(site)))
         pieces.clear()
 
     def close(down_to):
         nonlocal unseen, site, article
-        del stack[down_to:]
-        _, unseen, site, article = stack[-1] if stack else ("", False, False, False)
+        while len(stack) > down_to:
+            name = stack.pop()[0]
+            places[name].pop()
+            if name in BLOCKS:
+                blocks.pop()
+        _, unseen, site, article = stack[-1] if stack else ("", False, 0, False)
+
+    def innermost(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
 
     at = 0
     while at < len(page):
-        token = _token.match(page, at)
-        at = token.end()
-        name = token[2]
-        if name is None:
-            text = token[0]
-            if not text.startswith(("<!", "<?")) and not unseen:
-                pieces.append(text)
+        start = page.find("<", at)
+        if start != at:
+            start = len(page) if start < 0 else start
+            if not unseen:
+                pieces.append(page[at:start])
+            at = start
             continue
-        name = name.lower()
-        if token[1]:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = len(page) if end < 0 else end + 3
+            continue
+        tag = _name.match(page, at)
+        bang = page.startswith(("<!", "<?"), at)
+        end = (page.find(">", at) if at <= last[">"] else -1) if bang else _tag_end(page, tag.end(), last) if tag else -1
+        if end < 0:
+            if not unseen:
+                pieces.append("<")
+            at += 1
+            continue
+        at = end + 1
+        if bang:
+            continue
+        name = tag[2].lower()
+        if tag[1]:
             if name in BLOCKS:
                 flush()
             elif name in ("td", "th"):
                 pieces.append(" ")
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    if name in BLOCKS or name in UNSEEN or not any(s[0] in BLOCKS for s in stack[i + 1 :]):
-                        close(i)
-                    break
+            i = innermost((name,))
+            if i >= 0 and (name in BLOCKS or name in UNSEEN or not blocks or blocks[-1] <= i):
+                close(i)
             continue
         if name in BLOCKS:
             flush()
         elif name in ("br", "td", "th"):
             pieces.append(" ")
         if name in CLOSES:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in CLOSES[name]:
-                    close(i)
-                    break
-                if stack[i][0] in STOPS:
-                    break
-        if name in VOID or token[3].endswith("/") and name not in BLOCKS:
+            i = innermost(CLOSES[name])
+            if i >= 0 and i >= innermost(STOPS):
+                close(i)
+        inside = page[tag.end() : end]
+        if name in VOID or inside.endswith("/") and name not in BLOCKS:
             continue
-        words = set()
-        for attribute in _named.finditer(token[3]) if token[3] else ():
-            value = (attribute[2] or attribute[3] or attribute[4] or "").lower()
-            words.update(_parts.findall(value))
-        whole = name in ("html", "body")
-        marks_article = (name in ("article", "main") or "main" in words and "role" in token[3].lower()) and not site
+        named = [(a[1].lower(), a[2] or a[3] or a[4] or "") for a in _named.finditer(inside)] if inside else []
+        marks_article = name in ("article", "main") or any(kind == "role" and "main" in value.lower().split() for kind, value in named)
+        if site == 1 and marks_article and not article and not seen_article:
+            site = 0  # what holds the page's article is no part of the site, whatever it is called
+        marks_article = marks_article and not site
         mine = SITE_WORDS if article or marks_article else SITE_WORDS | HEADER
-        if not whole and (name in SITE or words & mine or name == "header" and not article):
-            site, marks_article = True, False
+        if name not in ("html", "body") and not site:
+            if name in SITE or name == "header" and not article:
+                site, marks_article = 2, False
+            elif not marks_article and any(site_words(value, mine) for _, value in named):
+                site = 1
         unseen = unseen or name in UNSEEN
         article = article or marks_article
+        seen_article = seen_article or marks_article
+        places.setdefault(name, []).append(len(stack))
+        if name in BLOCKS:
+            blocks.append(len(stack))
         stack.append((name, unseen, site, article))
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            ended = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            at = ended.end() if ended else len(page)
             close(len(stack) - 1)
     flush()
     return found

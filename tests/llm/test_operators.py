@@ -1,6 +1,7 @@
 """The operators against plain versions and DuckDB, and on awkward tables."""
 
 import random
+import time
 
 import duckdb
 import numpy as np
@@ -311,6 +312,38 @@ def test_pages_copies_in_a_row(spark):
     assert found == {0: "text one", **{i: "text two" for i in range(1, 8)}, 8: "text three"}
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<div class="layout with-sidebar"><article><p>Own text</p></article></div>', "Own text"),
+        ('<div class="page has-menu"><main><p>Own text</p></main></div>', "Own text"),
+        ('<div id="social-studies"><article><p>Own text</p></article></div>', "Own text"),
+        ('<article><p class="share-price">Price was 5</p><p>rose</p></article>', "Price was 5\nrose"),
+        ('<div class="sidebar"><article><p>Own text</p></article></div>', "Own text"),
+        ('<article><p>Own text</p></article><div class="related"><article>card</article></div>', "Own text"),
+        ('<div class="cookie-banner">We use</div><p>Own text</p><div id="main-nav">x</div><div class="ad-slot left">y</div>', "Own text"),
+        ('<article>a<div class="comments"><p>b</p></div><nav>c</nav><div role="complementary">d</div>e</article>', "a\ne"),
+        ('<p>a < b <i>c</i> d</p><a title="x > y">e</a><a title="open>f', "a < b c d\nef"),
+        ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul><table><tr><td>e<td>f<tr><td>g</table>", "a\nb\nc\nd\ne f\ng"),
+        ("<p>a</b><b>b<i>c</b>d</i>", "abcd"),
+    ],
+)
+def test_lines_of_pages(page, text):
+    assert pages.main_text(pages.lines_of(page), []) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<b>" * 160_000 + "</i>" * 120_000, "<b><div>" + "<i>" * 150_000 + "</b>" * 150_000, "<i>" * 120_000 + "<li></li>" * 70_000,
+     '<a "' * 250_001 + ">", "<![CDATA" * 125_000, "<!--" * 250_000, "<p class='" * 100_000, "<" * 1_000_000],
+    ids=range(9),
+)
+def test_hostile_pages_take_linear_time(page):
+    start = time.process_time()
+    pages.lines_of(page)
+    assert time.process_time() - start < 4
+
+
 def test_longest_common_lines(monkeypatch):
     rng = random.Random(1)
     for turn in range(800):
