@@ -16,6 +16,7 @@ from accesstally.functions.clf import malformed_lines, parse_lines, request_part
 from accesstally.operators import chunks, counts, history, host_sets, lookups, reports
 from accesstally.plans import combined, etl, sql_reports
 from accesstally.sources import event_lines as derived, tables, text
+from accesstally.sources.run_months import MonthlyRunTables
 from accesstally.sources.scratch import scratch_path
 
 try:
@@ -254,6 +255,16 @@ def _combined(spark, sf_dir):
     return combined.combined_json(chosen, total)
 
 
+def combined_json_pieces(spark, sf_dir):
+    """The document as it is written in pieces."""
+    path, pieces = _store(spark, sf_dir), scratch_path(spark, "pieces")
+    chosen = reports.selected_reports(tables.stored_records(spark, path), hosts_after_top=True)
+    total = counts.batch_size_summary(counts.batch_counts(tables.read_store(spark, path)))
+    total = total.select("total_records", "malformed_records", F.col("total_batches").alias("batch_count"))
+    combined.write_combined(chosen, total, pieces)
+    return combined.read_written(spark, pieces)
+
+
 def combined_json_totals(spark, sf_dir):
     return combined.read_totals(_combined(spark, sf_dir))
 
@@ -408,6 +419,18 @@ def run_history(spark, sf_dir):
     return history.run_history(derived.order_runs(orders), derived.order_results(orders))
 
 
+def monthly_history(spark, sf_dir):
+    """The history from run tables in buckets by month, of which the newest is read."""
+    stored = MonthlyRunTables(spark, scratch_path(spark, "months"))
+    orders = _orders(spark, sf_dir)
+    runs = derived.order_runs(orders)
+    answers = derived.order_results(orders).join(runs.select("run_id", "created_at"), "run_id")
+    for table, rows in (("execution_metadata", runs), ("query_results", answers)):
+        absent = {f.name: F.lit(None) for f in schema.TABLES[table].fields if f.name not in rows.columns}
+        stored.load(table, rows.withColumns(absent), F.col("created_at"))
+    return stored.newest()
+
+
 def run_comparison(spark, sf_dir):
     return history.compare_runs(derived.order_runs(_orders(spark, sf_dir)))
 
@@ -459,6 +482,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_roundtrip_q2": _json_result("query2", schema.Q2_RESULT),
         "json_roundtrip_q3": _json_result("query3", schema.Q3_RESULT),
         "combined_json": _combined,
+        "combined_json_pieces": combined_json_pieces,
         "combined_json_totals": combined_json_totals,
         "combined_json_q1": _combined_part("q1"),
         "combined_json_q2": _combined_part("q2"),
@@ -487,6 +511,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_query_result": run_query_result,
         "latest_run": latest_run,
         "run_history": run_history,
+        "monthly_history": monthly_history,
         "run_comparison": run_comparison,
     }
     if corpus:

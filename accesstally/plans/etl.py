@@ -16,6 +16,7 @@ from accesstally.operators.counts import batch_counts, batch_size_summary
 from accesstally.operators.host_sets import hour_hosts, resource_hosts
 from accesstally.operators.reports import QUERY_IDS, loose_resource_lines, selected_reports, top_resources
 from accesstally.schema import TABLES
+from accesstally.sources.run_months import MonthlyRunTables
 from accesstally.sources.scratch import scratch_path, written
 from accesstally.sources.tables import RunTables, read_positions, read_store, stored_records, with_run, write_store
 from accesstally.sources.text import batch_paths, read_lines, read_numbered_lines
@@ -62,6 +63,8 @@ def run(
     batch_by: str = "path",
     clustered: bool = True,
     host_states: bool = False,
+    monthly: bool = False,
+    run_id: str | None = None,
 ) -> str:
     """Process the files and return the run id.
 
@@ -73,14 +76,16 @@ def run(
     then ``batch_size`` consecutive lines of a file are a batch, the last of a file may be short, and
     batches are numbered through all files. The store holds the lines' positions, written with them, so
     the log is neither read nor parsed again. ``clustered`` is how the store is written. ``host_states``
-    also keeps the sets of hosts, from which reports over several runs are merged.
+    also keeps the sets of hosts, from which reports over several runs are merged. ``monthly`` keeps the
+    run tables in buckets by month; there, a run that is given its ``run_id`` can be repeated.
     """
     if batch_by not in ("path", "lines"):
         raise ValueError(f"batches are by path or by lines, not by {batch_by!r}")
     if query not in QUERY_IDS:
         raise ValueError(f"invalid query name {query!r}, expected one of {sorted(QUERY_IDS)}")
     started, clock = datetime.now(timezone.utc), time.monotonic()
-    run_id, tables = new_run_id(), RunTables(spark, tables_root)
+    run_id = run_id or new_run_id()
+    tables = MonthlyRunTables(spark, tables_root, started) if monthly else RunTables(spark, tables_root)
     paths = batch_paths(spark, paths)
 
     by_lines = batch_by == "lines"

@@ -204,6 +204,20 @@ _SHOWN = 'SELECT host, "timestamp", resource_path, status_code, bytes_transferre
 def oracle_sql() -> dict[str, str]:
     q1, q2, q3 = CLF + _q1(), CLF + _q2(), CLF + _q3()
     batches = CLF + _BATCHES
+    combined = (
+        CLF
+        + f"""SELECT CAST(to_json({{
+            q1: (SELECT list({{log_date: log_date, status_code: status_code, request_count: request_count,
+                   total_bytes: total_bytes}} ORDER BY log_date, status_code) FROM ({_q1()})),
+            q2: (SELECT list({{resource_path: resource_path, request_count: request_count, total_bytes: total_bytes,
+                   distinct_host_count: distinct_host_count, rank: rank}} ORDER BY rank) FROM ({_q2()})),
+            q3: (SELECT list({{log_date: log_date, log_hour: log_hour, error_request_count: error_request_count,
+                   total_request_count: total_request_count, error_rate: error_rate,
+                   distinct_error_hosts: distinct_error_hosts}} ORDER BY log_date, log_hour) FROM ({_q3()})),
+            total_records: (SELECT count(*) FROM records),
+            malformed_records: (SELECT count(*) FROM parsed WHERE reason IS NOT NULL),
+            batch_count: (SELECT count(DISTINCT batch_id) FROM parsed)}}) AS VARCHAR) AS result_json"""
+    )
     return {
         "parse_clf": CLF
         + f"""SELECT event_id, {_RECORD}, CAST(epoch(wall) AS BIGINT)
@@ -271,18 +285,8 @@ def oracle_sql() -> dict[str, str]:
         "json_roundtrip_q1": q1,
         "json_roundtrip_q2": q2,
         "json_roundtrip_q3": q3,
-        "combined_json": CLF
-        + f"""SELECT CAST(to_json({{
-            q1: (SELECT list({{log_date: log_date, status_code: status_code, request_count: request_count,
-                   total_bytes: total_bytes}} ORDER BY log_date, status_code) FROM ({_q1()})),
-            q2: (SELECT list({{resource_path: resource_path, request_count: request_count, total_bytes: total_bytes,
-                   distinct_host_count: distinct_host_count, rank: rank}} ORDER BY rank) FROM ({_q2()})),
-            q3: (SELECT list({{log_date: log_date, log_hour: log_hour, error_request_count: error_request_count,
-                   total_request_count: total_request_count, error_rate: error_rate,
-                   distinct_error_hosts: distinct_error_hosts}} ORDER BY log_date, log_hour) FROM ({_q3()})),
-            total_records: (SELECT count(*) FROM records),
-            malformed_records: (SELECT count(*) FROM parsed WHERE reason IS NOT NULL),
-            batch_count: (SELECT count(DISTINCT batch_id) FROM parsed)}}) AS VARCHAR) AS result_json""",
+        "combined_json": combined,
+        "combined_json_pieces": combined,
         "combined_json_totals": CLF + f"""SELECT CAST(sum(records_processed) AS BIGINT) AS total_records,
           CAST(sum(malformed_records) AS BIGINT) AS malformed_records, count(*) AS batch_count FROM ({_BATCHES})""",
         "combined_json_q1": q1,
@@ -326,6 +330,14 @@ def oracle_sql() -> dict[str, str]:
           count(*) AS stored_rows FROM ({_q3()})""",
         "latest_run": _RUNS + "SELECT run_id FROM runs ORDER BY created_at DESC, run_id LIMIT 1",
         "run_history": _RUNS
+        + """SELECT run_id, pipeline_name, total_records, malformed_records, execution_time_ms, avg_batch_size,
+          created_at, coalesce(query_name, 'all') AS query_name
+          FROM runs LEFT JOIN (
+            SELECT 'r' || o_orderkey AS run_id,
+              ['all', 'query1', 'query2', 'query3'][o_orderkey % 4 + 1] AS query_name
+            FROM orders WHERE o_orderkey % 3 <> 0) USING (run_id)
+          ORDER BY created_at DESC, run_id LIMIT 20""",
+        "monthly_history": _RUNS
         + """SELECT run_id, pipeline_name, total_records, malformed_records, execution_time_ms, avg_batch_size,
           created_at, coalesce(query_name, 'all') AS query_name
           FROM runs LEFT JOIN (
