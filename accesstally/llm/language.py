@@ -44,7 +44,8 @@ def learn(documents: DataFrame, text: str = "text", lang: str = "lang", doc_id:
     rows = documents.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     rows = rows.filter((fold(F.col("doc_id")) != 1) & F.col("lang").isNotNull())
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    at, size, lettered = F.xxhash64("doc_id"), F.char_length("text"), F.col("text").rlike(r"\p{L}")
+    # the text is hashed as well, or all rows that share a number would be taken together
+    at, size, lettered = F.xxhash64("doc_id", "text"), F.char_length("text"), F.col("text").rlike(r"\p{L}")
 
     def below(names):
         """The hashes below a bound that leaves about four times as many rows of a language as are taken."""
@@ -95,7 +96,8 @@ def codes(text: str) -> np.ndarray:
 
 def classes_of(alphabet: np.ndarray) -> np.ndarray:
     """The class of each code point: 0 a letter outside the alphabet, 1 no letter, else 2 and up."""
-    table = np.fromiter((0 if chr(c).isalpha() else SPACE for c in range(0x110000)), np.uint16, 0x110000)
+    kind = np.uint16 if len(alphabet) < 2**16 - 2 else np.uint32
+    table = np.fromiter((0 if chr(c).isalpha() else SPACE for c in range(0x110000)), kind, 0x110000)
     table[alphabet] = np.arange(2, 2 + len(alphabet))
     return table
 
@@ -110,8 +112,8 @@ def squeezed(classes: np.ndarray) -> np.ndarray:
     return classes[keep]
 
 
-def automaton(sequence: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton, [state, class], -1 where there is none; state 0 is the root."""
+def automaton(sequence: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton by state; state 0 is the root. There are at most three for each class of the sequence."""
     step, link, length = [{}], [-1], [0]
     last = 0
     for c in sequence:
@@ -137,34 +139,78 @@ def automaton(sequence: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = split
         last = new
-    table = np.full((len(step), width), -1, np.int32)
-    for i, moves in enumerate(step):
-        if moves:
-            table[i, list(moves)] = list(moves.values())
-    return table
+    return step
 
 
-class Model:
-    """All languages' automata in one table of transitions.
+#: Places of the table of transitions for each of them, at least; and an odd number that spreads keys.
+ROOM, SPREAD = 3, 0x9E3779B97F4A7C15
+
 
-    A transition holds the row of the state it leads to times the number of classes, or -1.
+class Transitions:
+    """Transitions of all automata in one hash table, as large as there are transitions, whatever the alphabet.
+
+    A key is a state and a class in one number. A key that finds its place taken has the next free one.
     """
 
+    def __init__(self, keys: np.ndarray, to: np.ndarray):
+        bits = max(4, int(ROOM * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.to = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        at = self._places(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys.take(at) < 0)
+            places, first = np.unique(at[free], return_index=True)
+            self.keys[places], self.to[places] = keys[free[first]], to[free[first]]
+            left = np.ones(len(keys), bool)
+            left[free[first]] = False
+            keys, to, at = keys[left], to[left], (at[left] + 1) & self.mask
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(SPREAD)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The state that each key leads to, or -1."""
+        at = self._places(keys)
+        held = self.keys.take(at)
+        hit = held == keys
+        found = np.where(hit, self.to.take(at), np.int32(-1))
+        rest = np.flatnonzero(~hit & (held >= 0))
+        at = at.take(rest)
+        while len(rest):
+            at = (at + 1) & self.mask
+            held = self.keys.take(at)
+            hit = held == keys.take(rest)
+            found[rest[hit]] = self.to.take(at[hit])
+            on = ~hit & (held >= 0)
+            rest, at = rest[on], at[on]
+        return found
+
+
+class Model:
+    """All languages' automata with one table of transitions; states are numbered through all of them."""
+
     def __init__(self, sample: dict[str, str]):
         self.langs = sorted(sample)
         letters = np.unique(codes("".join(sample.values())))
         letters = np.array([c for c in letters if chr(c).isalpha()], np.uint32)
         self.alphabet, self.width = letters, len(letters) + 2
         table = classes_of(letters)
-        parts, self.roots, self.weight, offset = [], [], [], 0
-        for name in self.langs:
+        self.weight, offset = [], 0
+        self.first = np.full((len(self.langs), self.width), -1, np.int64)  # the step from each root
+        self.roots = np.zeros(len(self.langs), np.int64)
+        keys, targets = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for j, name in enumerate(self.langs):
             learned = squeezed(table[codes(sample[name])]).tolist()
-            part = automaton(learned, self.width)
-            parts.append(np.where(part >= 0, (part + offset) * self.width, -1))
-            self.roots.append(offset * self.width)
+            moves = automaton(learned)
+            self.roots[j] = offset
+            for c, to in moves[0].items():
+                self.first[j, c] = to + offset
+            edges = [((state + offset) * self.width + c, to + offset) for state, out in enumerate(moves) for c, to in out.items()]
+            keys.append(np.fromiter((k for k, _ in edges), np.int64, len(edges)))
+            targets.append(np.fromiter((t for _, t in edges), np.int32, len(edges)))
             self.weight.append(np.log2(max(2, len(learned))))
-            offset += len(part)
-        self.moves = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
+            offset += len(moves)
+        self.moves = Transitions(np.concatenate(keys), np.concatenate(targets))
 
     def table(self) -> np.ndarray:
         """Classes of all code points, made once in a worker."""
@@ -179,20 +225,19 @@ class Model:
         """Phrases each lane needs in each language, [language, lane]."""
         order = sorted(range(len(lanes)), key=lambda i: -len(lanes[i]))
         sizes = np.array([len(lanes[i]) for i in order])
-        steps = np.zeros((int(sizes.max(initial=0)), len(lanes)), np.uint16)
+        steps = np.zeros((int(sizes.max(initial=0)), len(lanes)), lanes[0].dtype if lanes else np.uint16)
         for k, i in enumerate(order):
             steps[: len(lanes[i]), k] = lanes[i]
-        roots = np.array(self.roots, np.int32)[:, None]
-        first = self.moves[roots + np.arange(self.width, dtype=np.int32)]
-        unseen = first < 0
-        first = np.where(unseen, roots, first)
+        roots = self.roots[:, None]
+        unseen = self.first < 0
+        first = np.where(unseen, roots, self.first)
         state = np.repeat(roots, len(lanes), axis=1)
         count = np.zeros((len(self.langs), len(lanes)), np.int32)
         active = np.searchsorted(-sizes, -np.arange(len(steps)), side="left")
         for t, row in enumerate(steps):
             n = active[t]
             c = row[:n]
-            to = self.moves.take(state[:, :n] + c)
+            to = self.moves.find((state[:, :n] * self.width + c).ravel()).reshape(-1, n)
             missed = to < 0
             count[:, :n] += missed & (state[:, :n] != roots)  # at the root no phrase has begun
             state[:, :n] = np.where(missed, first.take(c, axis=1), to)

@@ -1,5 +1,6 @@
 """The operators against plain versions and DuckDB, and on awkward tables."""
 
+import pickle
 import random
 import time
 
@@ -187,6 +188,46 @@ def test_language_parse(monkeypatch):
             assert counted[j][i] == brute.cross_parse(None, learned, normal), (name, texts[i])
 
 
+def test_language_blocks_of_long_texts():
+    """Whole texts in the blocks that really run, each parsed for itself."""
+    rng = random.Random(4)
+    sample = {k: "".join(rng.choice(s) for _ in range(2000)) for k, s in (("aa", "abcd  "), ("bb", "bcde  "), ("cc", "abe "))}
+    model = language.Model(sample)
+    table = model.table()
+    texts = ["".join(rng.choice("abcdeéF .") for _ in range(n)) for n in (5, 1023, 1024, 1025, 5000)]
+    names, scores = model.judge(texts)
+    for text, name, score in zip(texts, names, scores, strict=True):
+        sequence = language.squeezed(table[language.codes(text)])
+        cost = []
+        for each in model.langs:
+            learned = language.squeezed(table[language.codes(sample[each])])
+            blocks = [sequence[at : at + language.BLOCK] for at in range(0, len(sequence), language.BLOCK)]
+            phrases = sum(brute.cross_parse(None, "".join(map(chr, learned)), "".join(chr(c) if c else "\x00" for c in b)) for b in blocks)
+            cost.append(phrases * np.log2(len(learned)))
+        best, second = sorted(cost)[:2]
+        assert name == model.langs[cost.index(best)] and abs(score - (1 - best / second)) < 1e-9
+
+
+def test_languages_of_many_letters_stay_small():
+    rng = random.Random(5)
+    sample = {"en": "".join(rng.choice("etaoin shrdlu") for _ in range(24_000))}
+    sample["zh"] = "".join(chr(0x4E00 + min(2999, int(rng.expovariate(1 / 600)))) for _ in range(24_000))
+    sample |= {f"x{i}": "".join(chr(0x400 + i * 40 + rng.randrange(32)) if rng.random() < 0.85 else " " for _ in range(24_000)) for i in range(6)}
+    model = language.Model(sample)
+    assert len(pickle.dumps(model)) < 50_000_000
+    texts = [sample[name][5_000:5_300] for name in model.langs]
+    assert model.judge(texts)[0] == model.langs
+
+
+def test_transitions_are_found():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 2**40, 5000))
+    moves = language.Transitions(keys, np.arange(len(keys), dtype=np.int32))
+    assert (moves.find(keys) == np.arange(len(keys))).all()
+    others = np.setdiff1d(rng.integers(0, 2**40, 5000), keys)
+    assert (moves.find(others) == -1).all() and len(moves.find(keys[:0])) == 0
+
+
 def test_language_cases(spark):
     rows, _, frame = awkward(spark)
     model = {"aa": "alpha beta gamma", "bb": "delta omega zeta"}
