@@ -12,9 +12,12 @@ there, shared lines go from everywhere but the article, as a paragraph that two
 both, and lines of its own outside the article stay. Without such a mark shared lines go from the whole page. A page with the same
 lines throughout is a copy and says nothing about the site, so it is passed over.
 
-Sorting is by ranges over (host, path, number), so a large host is spread over tasks; a task holds three
-pages at a time, and of copies in a row the numbers, URLs and flags. Pages are not compared across tasks: the
-first pages of a task have none before them, and the last ones none after them.
+The order is by host, path, number, URL and lines, cut into buckets of about equal bytes, so a large host
+is spread over tasks. The cuts are found on keys alone, which are sorted first: a key is a page's place in
+the order and a digest of its lines. They also say which page lies before a bucket's first page and after
+its last one, past copies, and those few pages go to both buckets. So results do not depend on the number
+of buckets or tasks. Pages are then shuffled once; a task holds three pages at a time, and of copies in a
+row the numbers, URLs and flags.
 
 Cases: null and empty html give the empty text. Pages without a usable URL are sorted together under an
 empty host and not compared. Repeated rows are extracted one by one; extra columns are ignored.
@@ -22,15 +25,20 @@ empty host and not compared. Repeated rows are extracted one by one; extra colum
 
 from __future__ import annotations
 
+import bisect
+import hashlib
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from accesstally.llm.sharding import sharded
 from accesstally.llm.workers import importable, released
+from accesstally.sources.scratch import scratch_path, written
 
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
@@ -267,10 +275,13 @@ def _between(x: list[str], y: list[str]) -> set[int]:
 
 def main_text(own: list[Line], others: list[list[Line]]) -> str:
     """The lines that are left of a page beside its neighbours'."""
+    return left_of(own, [[line[0] for line in other] for other in others])
+
+
+def left_of(own: list[Line], others: list[list[str]]) -> str:
     texts = [line[0] for line in own]
     shared: set[int] = set()
-    for other in others:
-        theirs = [line[0] for line in other]
+    for theirs in others:
         if theirs != texts:
             shared |= common(texts, theirs)
     kept = []
@@ -281,80 +292,177 @@ def main_text(own: list[Line], others: list[list[Line]]) -> str:
     return "\n".join(kept)
 
 
-def extract(pages: DataFrame, page: str = "html", url: str = "url", page_id: str = "page_id") -> DataFrame:
-    """page_id, url and text of every page."""
-    importable(pages.sparkSession)
-    parsed = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.string())), ("flags", pa.binary())])
+Key = tuple[str, str, int, str, bytes]  # host, path, number, URL and digest of the lines: the order of pages
+_KEY = "struct<host:string,path:string,number:bigint,url:string,digest:binary>"
+_KEY_ARROW = pa.struct([("host", pa.string()), ("path", pa.string()), ("number", pa.int64()), ("url", pa.string()), ("digest", pa.binary())])
+_LEAST = -(2**63)
+
+
+def _key(page_id: int | None, url: str | None, lines: list[Line]) -> Key:
+    split = re.match(r"(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)([^?#]*)", (url or "").lower())
+    host, path = split.groups() if split else ("", "")
+    texts = "\n".join(line[0] for line in lines).encode("utf-8", "surrogatepass")
+    return host, path, _LEAST if page_id is None else page_id, url or "", hashlib.blake2b(texts, digest_size=16).digest()
+
+
+class Edge(NamedTuple):
+    """A run of pages of one host with equal lines, at an end of a bucket."""
+
+    bucket: int
+    host: str
+    digest: bytes
+    first: Key
+    last: Key
+
+
+def borders(edges: list[list[Edge]]) -> dict[Key, list[tuple[int, int]]]:
+    """Which pages other buckets need: key to (bucket, -1 for one before its pages or 1 for one after them).
+
+    ``edges`` has for every bucket in order its runs, of which all but the first and last two may be
+    missing. A run that goes on over several buckets needs the page before its start, and the one after
+    its end, in each of them.
+    """
+    found: dict[Key, list[tuple[int, int]]] = {}
+    for side, buckets in ((-1, edges), (1, [runs[::-1] for runs in edges[::-1]])):
+        passed: list[Edge] = []  # the last run of other lines than the latest one, and the latest one
+        for runs in buckets:
+            own = runs[0]
+            same = passed and (passed[-1].host, passed[-1].digest) == (own.host, own.digest)
+            other = passed[-2] if same and len(passed) > 1 else passed[-1] if passed and not same else None
+            if other and other.host == own.host and own.host:
+                found.setdefault(other.last if side < 0 else other.first, []).append((own.bucket, side))
+            for run in runs:
+                if passed and (passed[-1].host, passed[-1].digest) == (run.host, run.digest):
+                    joined = passed[-1]._replace(last=run.last) if side < 0 else passed[-1]._replace(first=run.first)
+                    passed = [*passed[-2:-1], joined]
+                else:
+                    passed = [*passed[-1:], run]
+    return found
+
+
+def _pieces(batches, size: int):
+    for batch in batches:
+        for at in range(0, batch.num_rows, size):
+            yield batch.slice(at, size)
+
+
+def _buckets(rows: DataFrame, most: int) -> tuple[list[Key], dict[Key, list[tuple[int, int]]]]:
+    """The first keys of all buckets but the first, of about equal bytes, and the pages that lie at borders.
+
+    Only keys are sorted and written. What comes to the driver are at most five keys for each bucket.
+    """
+
+    def keyed(batches):
+        for part in _pieces(batches, 500):
+            found = [lines_of(p) for p in part.column(2).to_pylist()]
+            keys = [_key(i, u, f) for i, u, f in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), found, strict=True)]
+            keys = pa.array([dict(zip(("host", "path", "number", "url", "digest"), k, strict=True)) for k in keys], _KEY_ARROW)
+            sizes = pa.array([sum(len(line[0]) for line in f) + 1 for f in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([keys, sizes], names=["key", "bytes"])
+
+    narrow = rows.mapInArrow(released(keyed), f"key {_KEY}, bytes long")
+    placed = sharded(written(narrow, scratch_path(rows.sparkSession, "page-keys")), F.col("bytes"), [F.col("key")], most)
+    bounds = sorted(tuple(r["key"]) for r in placed.groupBy("shard").agg(F.min("key").alias("key")).collect())[1:]
+    bounds = [tuple(bytes(x) if isinstance(x, bytearray) else x for x in key) for key in bounds]
+
+    def numbered(batches):
+        for part in _pieces(batches, 10_000):
+            at = [bisect.bisect_right(bounds, tuple(k.values())) for k in part.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(at, pa.int32())], names=["key", "bucket"])
+
+    within = Window.partitionBy("bucket").orderBy("key")
+    other = F.lag("key").over(within)
+    new = (other["host"] != F.col("key.host")) | (other["digest"] != F.col("key.digest"))
+    keys = placed.select("key").mapInArrow(released(numbered), f"key {_KEY}, bucket int")
+    keys = keys.withColumn("new", F.coalesce(new, F.lit(True)).cast("long"))
+    keys = keys.withColumn("run", F.sum("new").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = keys.groupBy("bucket", "run").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    from_end = F.max("run").over(Window.partitionBy("bucket")) - F.col("run")
+    ends = runs.withColumn("from_end", from_end).filter("run <= 2 OR from_end < 2")
+    plain = lambda key: tuple(bytes(x) if isinstance(x, bytearray) else x for x in key)
+    edges: dict[int, list[Edge]] = {}
+    for r in sorted(ends.collect(), key=lambda r: (r["bucket"], r["run"])):
+        first, last = plain(r["first"]), plain(r["last"])
+        edges.setdefault(r["bucket"], []).append(Edge(r["bucket"], first[0], first[4], first, last))
+    return bounds, borders([edges[b] for b in sorted(edges)])
+
+
+def extract(pages: DataFrame, page: str = "html", url: str = "url", page_id: str = "page_id", buckets: int | None = None) -> DataFrame:
+    """page_id, url and text of every page; ``buckets`` defaults to the session's shuffle partitions."""
+    spark = importable(pages.sparkSession)
     out = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
+    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(page).cast("string").alias("html"))
+    bounds, imported = _buckets(rows, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def parse(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                found = [lines_of(p) for p in part.column(2).to_pylist()]
-                split = [re.match(r"(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)([^?#]*)", (u or "").lower()) for u in part.column(1).to_pylist()]
-                lines = pa.array([[x[0] for x in f] for f in found], pa.list_(pa.string()))
-                flags = pa.array([bytes(x[1] + 2 * x[2] for x in f) for f in found], pa.binary())
-                hosts = pa.array([m[1] if m else "" for m in split], pa.string())
-                paths = pa.array([m[2] if m else "" for m in split], pa.string())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), hosts, paths, lines, flags], schema=parsed)
-
-    def rows_of(batches) -> Iterator[tuple]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                for page_id, url, host, path, lines, flags in zip(*(part.column(i).to_pylist() for i in range(6)), strict=True):
-                    yield page_id, url, host, path, [(t, bool(f & 1), bool(f & 2)) for t, f in zip(lines, flags, strict=True)]
+        """Every page for its own bucket, and pages at borders for those that they are compared in as well."""
+        for part in _pieces(batches, 500):
+            made = []
+            for number, address, text in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                lines = lines_of(text)
+                key = _key(number, address, lines)
+                own = (bisect.bisect_right(bounds, key), 0)
+                row = (key, number, address, [x[0] for x in lines], bytes(x[1] + 2 * x[2] for x in lines))
+                made += [(bucket, side, *row) for bucket, side in (own, *imported.get(key, ()))]
+            columns = list(zip(*made, strict=True)) or [[]] * 7
+            keys = pa.array([dict(zip(("host", "path", "number", "url", "digest"), k, strict=True)) for k in columns[2]], _KEY_ARROW)
+            kinds = [pa.int32(), pa.int32(), None, pa.int64(), pa.string(), pa.list_(pa.string()), pa.binary()]
+            arrays = [keys if kind is None else pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "side", "key", "page_id", "url", "lines", "flags"])
 
     def near(a, b) -> int:
         """How much of their paths two pages of a host share; -1 for none to compare."""
-        if a is None or b is None or not a[2] or a[2] != b[2]:
+        if a is None or b is None or not a[0] or a[0] != b[0]:
             return -1
         n = 0
-        while n < min(len(a[3]), len(b[3])) and a[3][n] == b[3][n]:
+        while n < min(len(a[1]), len(b[1])) and a[1][n] == b[1][n]:
             n += 1
         return n
 
     def compare(batches):
-        before = here = None  # the last page with other lines, and the first of the pages with equal lines
+        bucket = before = here = None  # the last page with other lines, and the first of the pages with equal lines
         same: list[tuple] = []  # number, URL, path and flags of those: their lines are held once
         texts: list[tuple] = []
 
         def judged(after):
-            lines = [line[0] for line in here[4]]
-            for page_id, url, path, flags in same:
-                own = [(t, bool(f & 1), bool(f & 2)) for t, f in zip(lines, flags, strict=True)]
-                page = (page_id, url, here[2], path)
+            for number, address, path, flags in same:
+                own = [(t, bool(f & 1), bool(f & 2)) for t, f in zip(here[2], flags, strict=True)]
+                page = (here[0], path)
                 left, right = near(page, before), near(page, after)
                 nearest = max(left, right, 0)
-                others = [other[4] for other, shared in ((before, left), (after, right)) if shared == nearest]
-                texts.append((page_id, url, main_text(own, others)))
+                others = [other[2] for other, shared in ((before, left), (after, right)) if shared == nearest]
+                texts.append((number, address, left_of(own, others)))
                 if len(texts) >= 500:
                     yield batch_of()
                     texts.clear()
+            same.clear()
 
         def batch_of():
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*texts, strict=True), out, strict=True)], schema=out)
 
-        for row in rows_of(batches):
-            if here is not None and (row[2] != here[2] or [x[0] for x in row[4]] != [x[0] for x in here[4]]):
-                yield from judged(row)
-                before, here = here, None
-                same.clear()
-            elif here is not None:
-                here = (*here[:3], row[3], here[4])  # the path of the last one, which is nearest to what follows
-            if here is None:
-                here = row
-            same.append((row[0], row[1], row[3], bytes(x[1] + 2 * x[2] for x in row[4])))
+        for part in _pieces(batches, 200):
+            for at, side, key, number, address, lines, flags in zip(*(part.column(i).to_pylist() for i in range(7)), strict=True):
+                row = (key["host"], key["path"], lines)
+                if here is not None and at != bucket:
+                    yield from judged(None)
+                    before = here = None
+                elif here is not None and (row[0] != here[0] or lines != here[2]):
+                    yield from judged(row)
+                    before, here = here, None
+                elif here is not None:
+                    here = (here[0], row[1], here[2])  # the path of the last one, which is nearest to what follows
+                bucket = at
+                if here is None:
+                    here = row
+                if side == 0:
+                    same.append((number, address, row[1], flags))
         if here is not None:
             yield from judged(None)
         if texts:
             yield batch_of()
 
-    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(page).cast("string").alias("html"))
-    found = rows.mapInArrow(released(parse), "page_id long, url string, host string, path string, lines array<string>, flags binary")
-    order = ["host", "path", "page_id"]
-    found = found.repartitionByRange(*order).sortWithinPartitions(*order, "url", "flags", "lines")
+    found = rows.mapInArrow(released(parse), f"bucket int, side int, key {_KEY}, page_id long, url string, lines array<string>, flags binary")
+    found = found.repartition("bucket").sortWithinPartitions("bucket", "side", "key", "flags")
     return found.mapInArrow(released(compare), "page_id long, url string, text string")
 
 

@@ -340,17 +340,44 @@ def test_pages_lines_outside_the_article():
     assert pages.main_text(one, [two]) == "Heading 1\nquoted\nbody 1"
 
 
-def test_pages_copies_in_a_row(spark):
-    page = "<div>Site name</div><p>text {}</p><div>Imprint</div>"
-    rows = [(0, "http://a/x/1", page.format("one"))] + [(i, f"http://a/x/2?page={i}", page.format("two")) for i in range(1, 8)] + [(8, "http://a/x/3", page.format("three"))]
-    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    try:
-        found = {r.page_id: r.text for r in pages.extract(frame).collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert found == {0: "text one", **{i: "text two" for i in range(1, 8)}, 8: "text three"}
+def plain_pages(rows):
+    """rows: (page_id, url, lines), pages without marks; each compared with its nearest others of the host."""
+    def place(row):
+        host, _, path = row[1].removeprefix("http://").partition("/")
+        return host, "/" + path.split("?")[0]
+
+    order = sorted(rows, key=lambda r: (*place(r), r[0]))
+    out = {}
+    for i, row in enumerate(order):
+        host, path = place(row)
+        others = []
+        for side in (order[:i][::-1], order[i + 1 :]):
+            other = next((o for o in side if place(o)[0] != host or o[2] != row[2]), None)
+            if other and place(other)[0] == host:
+                shared = next((n for n, (x, y) in enumerate(zip(path, place(other)[1], strict=False)) if x != y), min(len(path), len(place(other)[1])))
+                others.append((shared, other[2]))
+        gone = set()
+        for shared, theirs in others:
+            if shared == max(n for n, _ in others):
+                gone |= pages.common(row[2], theirs)  # held against a plain version below
+        out[row[0]] = "\n".join(x for j, x in enumerate(row[2]) if j not in gone)
+    return out
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 64])
+def test_pages_do_not_depend_on_borders(spark, buckets):
+    """Pages without marks, copies in rows of many lengths, hosts of one page and one of many."""
+    rng = random.Random(buckets)
+    rows, i = [], 0
+    while i < 260:
+        host = rng.choice(["big", "big", f"h{i}", "mid"])
+        lines = [f"site {host}", *(rng.choice([f"own {i}", f"part {rng.randrange(9)}", "quoted"]) for _ in range(rng.randint(0, 3))), f"imprint {host}"]
+        for _ in range(rng.choice([1, 1, 1, 2, 30])):
+            rows.append((i, f"http://{host}/{rng.choice('abc')}/{rng.randrange(40)}?x={i}", lines))
+            i += 1
+    frame = spark.createDataFrame([(i, u, "".join(f"<p>{x}</p>" for x in lines)) for i, u, lines in rows], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in pages.extract(frame.repartition(5), buckets=buckets).collect()}
+    assert found == plain_pages(rows)
 
 
 @pytest.mark.parametrize(
