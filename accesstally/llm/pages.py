@@ -462,7 +462,7 @@ def extract(pages: DataFrame, page: str = "html", url: str = "url", page_id: str
             yield batch_of()
 
     found = rows.mapInArrow(released(parse), f"bucket int, side int, key {_KEY}, page_id long, url string, lines array<string>, flags binary")
-    found = found.repartition("bucket").sortWithinPartitions("bucket", "side", "key", "flags")
+    found = found.repartitionById(len(bounds) + 1, "bucket").sortWithinPartitions("bucket", "side", "key", "flags")
     return found.mapInArrow(released(compare), "page_id long, url string, text string")
 
 
