@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from accesstally.llm.text import BETWEEN_ANY, WORD_ANY, joined_digest, words
+from accesstally.llm.text import BETWEEN_ANY, WORD_ANY, joined_digest, unused, words
 
 WINDOW = 10
 #: Windows of the benchmark that are broadcast at most; each takes about 200 bytes.
@@ -101,31 +101,33 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
-def _hit(documents: DataFrame, items: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, Column]:
-    """The number, key and spans of documents with hits, each once, and the condition that joins them."""
+def _hit(documents: DataFrame, items: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, Column, str]:
+    """The documents with hits, each once, the condition that joins them, and the name of the struct with their spans."""
+    name = unused(documents, "found")
     found = find(documents, items, text, doc_id).filter(F.size("spans") > 0)
-    found = found.select(F.col("doc_id").alias("_found_id"), F.col("text_key").alias("_found_key"), "spans")
-    found = found.groupBy("_found_id", "_found_key").agg(F.first("spans").alias("_spans"))
-    same = documents[doc_id].eqNullSafe(F.col("_found_id")) & (F.xxhash64(documents[text]) == F.col("_found_key"))
-    return found, same
+    found = found.groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans")).select(F.struct("doc_id", "text_key", "spans").alias(name))
+    same = documents[doc_id].eqNullSafe(F.col(f"{name}.doc_id")) & (F.xxhash64(documents[text]) == F.col(f"{name}.text_key"))
+    return found, same, name
 
 
 def without_spans(documents: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """All documents, without the words in any hit span and what stands before each of them."""
-    found, same = _hit(documents, items, text, doc_id)
+    found, same, name = _hit(documents, items, text, doc_id)
+    spans = F.col(f"{name}.spans")
     parts = F.array_remove(F.split(F.col(text), BETWEEN_ANY), "")
     gaps = F.split(F.col(text), WORD_ANY)
-    inside = lambda i: F.exists("_spans", lambda s: (i >= s["at"]) & (i < s["at"] + s["n"]))
+    inside = lambda i: F.exists(spans, lambda s: (i >= s["at"]) & (i < s["at"] + s["n"]))
     left = F.transform(parts, lambda x, i: F.when(inside(i), "").otherwise(F.concat(F.get(gaps, i), x)))
     rest = F.concat(F.array_join(left, ""), F.element_at(gaps, -1))
     joined = documents.join(found, same, "left")
-    return joined.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(rest)).select(documents.columns)
+    changed = F.when(spans.isNull(), F.col(text)).otherwise(rest).alias(text)
+    return joined.select(*[changed if c == text else F.col(f"`{c}`") for c in documents.columns])
 
 
 def clean(documents: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents in which no window of an item occurs, with all their columns."""
-    found, same = _hit(documents, items, text, doc_id)
-    return documents.join(found.select("_found_id", "_found_key"), same, "left_anti")
+    found, same, _ = _hit(documents, items, text, doc_id)
+    return documents.join(found, same, "left_anti")
 
 
 def op1_decontaminate(spark, sf_dir):

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from accesstally.llm.bitmap import of_several
 from accesstally.llm.components import components
 from accesstally.llm.hashing import mixed, span_hashes
+from accesstally.llm.text import unused
 from accesstally.llm.workers import importable, released
 from accesstally.sources.scratch import discard, scratch_path, written
 
@@ -248,8 +249,9 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
 
 def keep_one(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One document of each component, with all columns; rows that repeat a kept number stay."""
-    gone = near_duplicates(documents, text, doc_id).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents[doc_id] == F.col("_gone"), "left_anti")
+    name = unused(documents, "gone")
+    gone = near_duplicates(documents, text, doc_id).filter("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return documents.join(gone, documents[doc_id] == F.col(name), "left_anti")
 
 
 def op9_near_duplicates(spark, sf_dir):

@@ -242,24 +242,30 @@ def by_document(judged: DataFrame) -> DataFrame:
     )
 
 
-def redact(documents: DataFrame, per_document: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents with every secret masked, longest first, and the columns of ``by_document`` in ``_found``."""
+def redact(documents: DataFrame, per_document: DataFrame, text: str = "text", doc_id: str = "doc_id", found: str = "_found") -> DataFrame:
+    """The documents with every secret masked, longest first, and the columns of ``by_document`` in ``found``.
+
+    A column of that name is replaced; ``unused`` finds a name that no column has.
+    """
+    kept = [c for c in documents.columns if c.lower() != found.lower()]
+    documents = documents.select(*[F.col(f"`{c}`") for c in kept])
     longest = F.array_sort("secrets", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
-    per = per_document.select(F.struct("doc_id", "text_key", "n_candidates", longest.alias("secrets"), "max_score").alias("_found"))
-    same = documents[doc_id].eqNullSafe(F.col("_found.doc_id")) & (F.xxhash64(documents[text]) == F.col("_found.text_key"))
+    per = per_document.select(F.struct("doc_id", "text_key", "n_candidates", longest.alias("secrets"), "max_score").alias(found))
+    same = documents[doc_id].eqNullSafe(F.col(f"{found}.doc_id")) & (F.xxhash64(documents[text]) == F.col(f"{found}.text_key"))
     joined = documents.join(per, same, "left")
-    masked = F.aggregate("_found.secrets", F.col(text), lambda acc, s: F.replace(acc, s, F.lit(MASK)))
-    return joined.withColumn(text, F.when(F.size("_found.secrets") > 0, masked).otherwise(F.col(text)))
+    secrets = F.col(f"{found}.secrets")
+    masked = F.aggregate(secrets, F.col(text), lambda acc, s: F.replace(acc, s, F.lit(MASK)))
+    return joined.withColumn(text, F.when(F.size(secrets) > 0, masked).otherwise(F.col(text)))
 
 
-def report(redacted: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    found = F.col("_found")
+def report(redacted: DataFrame, text: str = "text", doc_id: str = "doc_id", found: str = "_found") -> DataFrame:
+    row = F.col(found)
     return redacted.select(
         F.col(doc_id).alias("doc_id"),
-        F.coalesce(found["n_candidates"], F.lit(0)).cast("long").alias("n_candidates"),
-        F.coalesce(F.size(found["secrets"]), F.lit(0)).cast("long").alias("n_secrets"),
-        F.coalesce(found["secrets"], F.array().cast("array<string>")).alias("secrets"),
-        F.coalesce(found["max_score"], F.lit(0.0)).alias("score"),
+        F.coalesce(row["n_candidates"], F.lit(0)).cast("long").alias("n_candidates"),
+        F.coalesce(F.size(row["secrets"]), F.lit(0)).cast("long").alias("n_secrets"),
+        F.coalesce(row["secrets"], F.array().cast("array<string>")).alias("secrets"),
+        F.coalesce(row["max_score"], F.lit(0.0)).alias("score"),
         F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("redacted_sha256"),
     )
 

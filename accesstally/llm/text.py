@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -41,3 +41,11 @@ def joined_digest(values: Column) -> Column:
     """SHA-256 of an array's values as sorted strings with commas between."""
     texts = F.array_sort(F.transform(values, lambda v: v.cast("string")))
     return F.sha2(F.array_join(texts, ",").cast("binary"), 256)
+
+
+def unused(frame: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of the table has it, in either case."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -32,12 +32,12 @@ from accesstally.sources.scratch import discard, scratch_path, written
 
 #: Labelled rows that voters are chosen on, and documents the classifier is trained on, at most.
 LABELLED, TRAINED = 30_000, 30_000
-#: Voters of either kind at most; lengths of beginnings in characters.
-LEXICON, PATTERNS, PREFIXES = 48, 48, (3, 4, 5, 6, 7)
+#: Lengths of beginnings in characters, and terms that a round looks at; what it leaves comes up in a later one.
+PREFIXES, LOOKED_AT = (3, 4, 5, 6, 7), 2_000
 #: A term votes if it is so many times likelier in toxic documents, in at least so many of them.
 LIKELIER, SUPPORT = 12.0, 6
-#: Rounds of choosing voters and of expectation maximisation.
-CHOICES, ROUNDS = 6, 6
+#: Rounds of expectation maximisation.
+ROUNDS = 6
 THRESHOLD = 0.7
 
 _words = re.compile(r"[^\W\d_]+").findall
@@ -108,18 +108,21 @@ def choose_voters(texts: DataFrame) -> list[str]:
     signs = counts.withColumn("ratio", ratio).filter((F.col("term") != "") & (F.col("ratio") >= LIKELIER) & (F.col("toxic") >= SUPPORT))
     words: list[str] = []
     patterns: list[str] = []
-    for _ in range(CHOICES):
+    passed: list[str] = []  # beginnings of which a shorter or longer one votes
+    while True:
         left = term_counts(texts.filter("toxic = 1"), (*words, *patterns)).select("term", F.col("n").alias("left"))
         found = signs.join(left.filter(F.col("left") >= SUPPORT), "term").withColumn("gain", F.col("left") * F.log("ratio"))
-        best = found.orderBy(F.desc("gain"), "term").limit(20 * (LEXICON + PATTERNS)).collect()
-        most = max((r["left"] for r in best), default=0)
-        new = [r["term"] for r in best if 3 * r["left"] >= most]
-        if not new:
+        best = found.filter(~F.col("term").isin(passed)).orderBy(F.desc("gain"), "term").limit(LOOKED_AT).collect()
+        if not best:
             break
-        words += [t for t in new if not t.endswith("*")][: LEXICON - len(words)]
-        for term in (t for t in new if t.endswith("*")):
+        most = max(r["left"] for r in best)
+        for term in (r["term"] for r in best if 3 * r["left"] >= most):
             stem = term[:-1]
-            if len(patterns) < PATTERNS and not any(stem.startswith(p[:-1]) or p[:-1].startswith(stem) for p in patterns):
+            if not term.endswith("*"):
+                words.append(term)
+            elif any(stem.startswith(p[:-1]) or p[:-1].startswith(stem) for p in patterns):
+                passed.append(term)
+            else:
                 patterns.append(term)
     discard(texts.sparkSession, path)
     return words + patterns
@@ -141,15 +144,15 @@ def cast_votes(documents: DataFrame, voters: list[str], text: str = "text", doc_
     def vote(text):
         if not text:
             return [first + 3], 0.0, 0.0
-        found = _words(text.lower())
+        found = Counter(_words(text.lower()))
         fired, hits = set(), 0
-        for word in set(found):
+        for word, n in found.items():
             own = {place[word]} if word in words else set()
-            own.update(place[word[:n] + "*"] for n in sizes if word[:n] in starts)
+            own.update(place[word[:size] + "*"] for size in sizes if word[:size] in starts)
             if own:
                 fired |= own
-                hits += found.count(word)
-        share = hits / max(1, len(found))
+                hits += n
+        share = hits / max(1, found.total())
         rules = (len(fired) >= 2, hits >= 4, share >= 0.01, not hits)
         return sorted(fired) + [first + i for i, yes in enumerate(rules) if yes], float(np.log1p(hits)), min(1.0, 20 * share)
 

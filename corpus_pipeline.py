@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from accesstally.llm import bpe, decontaminate, language, near_duplicates, secrets
+from accesstally.llm.text import unused
 from accesstally.sources.scratch import scratch_path, written
 
 
@@ -26,13 +26,16 @@ def without_benchmark(spark, docs, sf_dir):
 
 def without_secrets(spark, docs, sf_dir):
     """All documents stay; secrets in them are masked."""
-    masked = secrets.redact(docs, secrets.by_document(secrets.scored(docs)))
-    length = F.when(F.size("_found.secrets") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    found = unused(docs, "_found")
+    masked = secrets.redact(docs, secrets.by_document(secrets.scored(docs)), found=found)
+    length = F.when(F.size(f"{found}.secrets") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return masked.withColumn("n_chars", length).select(docs.columns)
 
 
 def encoded(spark, docs, sf_dir):
     """Token ids of what is left."""
+    import public_tokenizers  # only this stage needs the vocabulary files
+
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
