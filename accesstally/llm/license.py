@@ -1,13 +1,14 @@
 """License scans over a positional index of rare words.
 
-Each notice template has a key phrase that must stand in a file. The index holds, for each template,
-the places of the two words of its key with the highest inverse document frequency over all documents.
-A file's words are looked up there; every hit says where the template would start, hits that agree on
-the start are intersected, and the whole key is then compared word by word. As the key is mandatory,
-looking up its rarest words alone loses no file.
+Each template has a key phrase that must stand in a file: notices have a mandatory part of their text,
+base phrases are their own key. The index holds, for each template, the places of the two words of its
+key with the highest inverse document frequency over all documents. A file that has the rarest word of
+any key looks its words up there; every hit says where the template would start, starts that all of a
+template's words agree on are the intersection, and the whole key is then compared word by word. As the
+key is mandatory, looking up its rarest words alone loses no file. Base places and notices are found alike.
 
-Documents are read twice, once to count the templates' words and once to scan; only hits and one row
-for each document are shuffled. The templates are a fixed list, so what is broadcast has a fixed size.
+Documents are read twice, once to count the templates' words and once to scan; the scan works within
+each row and shuffles nothing. The templates are a fixed list, so the index in the plan has a fixed size.
 
 Cases: null or empty text has no words, no labels and score 0. Places overlap freely and all count.
 Rows are judged one by one, also where numbers repeat or are null; extra columns are ignored.
@@ -36,13 +37,19 @@ TEMPLATES = [
     ("agpl", "under the terms of the gnu affero general public license", "gnu affero general public license"),
     ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
     ("mit-notice", "released under the mit license", "under the mit license"),
-    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted free of charge"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose", "copy modify and or distribute this software"),
+    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "hereby granted free of charge"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source"),
+    ("bsd-clauses", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "redistributions of source code must retain"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "copy modify and or distribute this software"),
     ("mpl-2.0", "subject to the terms of the mozilla public license version 2 0", "mozilla public license version 2 0"),
     ("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
+    ("apache-2.0-header", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", "www apache org licenses license 2 0"),
+    ("gpl-header", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("mpl-2.0-header", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0", "mozilla org mpl 2 0"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", "in no event will the authors be held liable"),
+    ("no-warranty", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", "software is provided as is without warranty of any kind"),
     ("bsl-1.0", "distributed under the boost software license version 1 0", "boost software license version 1 0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means", "free and unencumbered software"),
     ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
     ("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa 4 0"),
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc 4 0"),
@@ -55,96 +62,99 @@ TEMPLATES = [
 RARE = 2
 
 
-def places(tokens: Column, phrase: str) -> Column:
-    """Where the phrase's words stand consecutively, from 0."""
-    want = phrase.split()
-    n = len(want)
-    found = F.filter(
-        F.sequence(F.lit(0), F.size(tokens) - n),
-        lambda i: F.slice(tokens, i + 1, F.lit(n)) == F.array(*map(F.lit, want)),
-    )
-    joined = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
-    return F.when(joined.contains(f" {phrase} "), found).otherwise(F.array().cast("array<int>"))
+def entries() -> list[tuple[str, list[str], list[str], int, bool]]:
+    """What the index knows: label, notice, key, the key's place in the notice, whether it is a base phrase."""
+    known = [(label, notice, key, False) for label, notice, key in TEMPLATES]
+    known += [(label, phrase, phrase, True) for phrase, label in BASE.items()]
+    start = lambda notice, key: len(notice[: f" {notice} ".index(f" {key} ")].split())
+    return [(label, notice.split(), key.split(), start(notice, key), base) for label, notice, key, base in known]
 
 
 def word_counts(documents: DataFrame, text: str = "text") -> dict[str, int]:
     """In how many documents each word of a key occurs; at most as many rows as the keys have words."""
-    vocabulary = sorted({w for _, _, key in TEMPLATES for w in key.split()})
+    vocabulary = sorted({w for _, _, key, _, _ in entries() for w in key})
     own = F.array_intersect(words(F.col(text)), F.array(*map(F.lit, vocabulary)))
     rows = documents.select(F.explode(own).alias("word")).groupBy("word").count().collect()
     return dict.fromkeys(vocabulary, 0) | {r["word"]: r["count"] for r in rows}
 
 
-def index(counts: dict[str, int]) -> list[tuple[str, int, int]]:
-    """(word, template, place) of the rarest words of each key; the fewer documents, the higher the IDF."""
-    postings = []
-    for t, (_, notice, key) in enumerate(TEMPLATES):
-        rarest = sorted(set(key.split()), key=lambda w: (counts[w], w))[:RARE]
-        start = f" {notice} ".index(f" {key} ")
-        at = len(notice[:start].split())
-        postings += [(w, t, at + i) for i, w in enumerate(key.split()) if w in rarest]
-    return postings
+def index(counts: dict[str, int]) -> tuple[dict[str, list[tuple[int, int]]], list[int], list[str]]:
+    """Postings (template, place) by word, how many of them each template has, and the rarest words of the keys.
+
+    The fewer documents hold a word, the higher its inverse document frequency.
+    """
+    postings: dict[str, list[tuple[int, int]]] = {}
+    needed, leads = [], set()
+    for t, (_, _, key, at, _) in enumerate(entries()):
+        rarest = sorted(set(key), key=lambda w: (counts[w], w))[:RARE]
+        leads.add(rarest[0])
+        own = [(w, at + i) for i, w in enumerate(key) if w in rarest]
+        needed.append(len(own))
+        for w, place in own:
+            postings.setdefault(w, []).append((t, place))
+    return postings, needed, sorted(leads)
 
 
-def _template_table(spark, postings: list[tuple[str, int, int]]) -> DataFrame:
-    rows = []
-    for word, t, place in postings:
-        label, notice, key = TEMPLATES[t]
-        at = len(notice[: f" {notice} ".index(f" {key} ")].split())
-        needed = sum(p[1] == t for p in postings)
-        rows.append((word, t, place, label, notice.split(), key.split(), at, needed))
-    return spark.createDataFrame(rows, "word string, t int, place int, label string, notice array<string>, key array<string>, key_at int, needed int")
+def _strings(values: list[str]) -> Column:
+    return F.array(*map(F.lit, values))
 
 
 def scan(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """For every row: doc_id, n_words, the base places by phrase, and the notices [(label, start, share)].
+    """For every row: doc_id, n_words, the base places [(label, start)] and the notices [(label, start, share)].
 
-    ``start`` is the first word of the notice's alignment, which may lie before the text's first word;
-    ``share`` is the part of the notice's words that stand where the alignment puts them.
+    ``start`` is the first word of the template's alignment; a notice's may lie before the text's first
+    word. ``share`` is the part of the notice's words that stand where the alignment puts them.
     """
-    spark = documents.sparkSession
-    postings = index(word_counts(documents, text))
-    looked_up = sorted({p[0] for p in postings})
-    tokens = words(F.col(text))
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), tokens.alias("w"))
-    base = [places(F.col("w"), phrase).alias(label) for phrase, label in BASE.items()]
-    rows = rows.select("*", F.size("w").alias("n_words"), F.struct(*base).alias("base"))
-    hits = F.filter(
-        F.transform("w", lambda x, i: F.struct(i.alias("at"), x.alias("word"))), lambda s: s["word"].isin(looked_up)
+    known = entries()
+    postings, needed, leads = index(word_counts(documents, text))
+    of_word = F.create_map(*[
+        part for word, places in sorted(postings.items())
+        for part in (F.lit(word), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(place).alias("place")) for t, place in places]))
+    ])
+    each = lambda values, t: F.element_at(F.array(*values), t + 1)
+    label = lambda t: each([F.lit(e[0]) for e in known], t)
+    notice = lambda t: each([_strings(e[1]) for e in known], t)
+    key = lambda t: each([_strings(e[2]) for e in known], t)
+    key_at = lambda t: each([F.lit(e[3]) for e in known], t)
+    is_base = lambda t: each([F.lit(e[4]) for e in known], t)
+    postings_of = lambda t: each([F.lit(n) for n in needed], t)
+
+    rows = documents.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("w"))
+    hits = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("at"), x.alias("word"))), lambda s: s["word"].isin(sorted(postings)))
+    starts = F.transform(hits, lambda h: F.transform(of_word[h["word"]], lambda p: F.struct(p["t"].alias("t"), (h["at"] - p["place"]).alias("start"))))
+    # in order, a start that all of a template's words agree on stands as often as the template has postings
+    starts = F.array_sort(F.flatten(starts))
+    none = F.array().cast("array<struct<t:int,start:int>>")
+    rows = rows.withColumn("starts", F.when(F.arrays_overlap("w", _strings(leads)), starts).otherwise(none))
+    agreed = F.filter("starts", lambda s, i: ((i == 0) | (F.get("starts", i - 1) != s)) & (F.get("starts", i + postings_of(s["t"]) - 1) == s))
+    here = lambda s: s["start"] + key_at(s["t"])
+    found = F.filter(agreed, lambda s: (here(s) >= 0) & (F.slice("w", F.greatest(here(s), F.lit(0)) + 1, F.size(key(s["t"]))) == key(s["t"])))
+    rows = rows.select("doc_id", "w", found.alias("found"))
+
+    stands = lambda s: F.transform(notice(s["t"]), lambda x, i: (F.get("w", s["start"] + i) == x))
+    share = lambda s: F.size(F.filter(stands(s), lambda x: x)) / F.size(notice(s["t"]))
+    base = F.transform(F.filter("found", lambda s: is_base(s["t"])), lambda s: F.struct(label(s["t"]).alias("label"), s["start"].alias("start")))
+    notices = F.transform(
+        F.filter("found", lambda s: ~is_base(s["t"])),
+        lambda s: F.struct(label(s["t"]).alias("label"), s["start"].alias("start"), share(s).alias("share")),
     )
-    hits = F.when(F.arrays_overlap("w", F.array(*map(F.lit, looked_up))), hits).otherwise(F.array().cast("array<struct<at:int,word:string>>"))
-    # one row of its own for each document, so that those without hits stay
-    hits = F.concat(F.array(F.struct(F.lit(-1).alias("at"), F.lit("").alias("word"))), hits)
-    ids = ["row", "doc_id", "n_words", "base"]
-    each = rows.withColumn("hits", hits).select(*ids, "w", F.inline("hits"))
-    each = each.join(F.broadcast(_template_table(spark, postings)), "word", "left")
-    start = (F.col("at") - F.col("place")).alias("start")
-    key_at = F.col("at") - F.col("place") + F.col("key_at")
-    keyed = (key_at >= 0) & (F.slice("w", F.greatest(key_at, F.lit(0)) + 1, F.size("key")) == F.col("key"))
-    each = each.filter((F.col("at") < 0) | keyed)
-    aligned = F.transform("notice", lambda x, i: F.when(F.get(F.col("w"), start + i) == x, 1).otherwise(0))
-    matched = F.aggregate(aligned, F.lit(0), lambda a, b: a + b) / F.size("notice")
-    each = each.withColumn("notice_found", F.when(F.col("at") >= 0, F.struct("label", start, matched.alias("share"))))
-    agreed = each.groupBy(*ids, "notice_found", "needed").agg(F.count("*").alias("n"))
-    agreed = agreed.filter(F.col("notice_found").isNull() | (F.col("n") >= F.col("needed")))
-    return agreed.groupBy(*ids).agg(F.collect_list("notice_found").alias("notices")).drop("row")
+    return rows.select("doc_id", F.size("w").alias("n_words"), base.alias("base"), notices.alias("notices"))
 
 
 def report(found: DataFrame) -> DataFrame:
-    starts = F.concat(*[F.col(f"base.{label}") for label in BASE.values()])
-    named = [F.when(F.size(f"base.{label}") > 0, F.lit(label)) for label in BASE.values()]
-    base_labels = F.array_compact(F.array(*named))
+    starts = F.transform("base", lambda s: s["start"])
+    base_labels = F.array_distinct(F.transform("base", lambda s: s["label"]))
     own = F.transform("notices", lambda s: s["label"])
     share = F.coalesce(F.array_max(F.transform("notices", lambda s: s["share"])), F.lit(0.0))
     return found.select(
         "doc_id",
         F.col("n_words").cast("long").alias("n_words"),
-        F.size(starts).cast("long").alias("n_base"),
+        F.size("base").cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"),
         F.array_max(starts).cast("long").alias("last_word"),
         F.array_join(F.array_sort(base_labels), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(base_labels, own)), ",").alias("labels"),
-        F.round(F.greatest(share, F.when(F.size(starts) > 0, 0.5).otherwise(0.0)), 6).alias("score"),
+        F.round(F.greatest(share, F.when(F.size("base") > 0, 0.5).otherwise(0.0)), 6).alias("score"),
     )
 
 
