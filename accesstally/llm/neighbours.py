@@ -8,7 +8,9 @@ edges point in different directions. Edges are added both ways and pruned again
 Inner products become distances by one more coordinate, which brings all vectors to the largest norm;
 a query has 0 there, so nearer means a larger product. Results carry products in double precision.
 
-Every query is searched in every shard, in blocks of queries; a shard's best are merged by query.
+Every query is searched in every shard. The index is sent to the tasks once, shard by shard: in a task a
+shard's nodes come first and its queries stream past them in batches, so a task holds one shard and one
+batch however many queries there are. A shard's best are merged by query.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
 rows without a number. Rows that repeat a number count once, with the smallest vector in Spark's order
@@ -19,13 +21,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from accesstally.llm.workers import importable
+from accesstally.llm.workers import importable, released
 from accesstally.sources.scratch import scratch_path, written
 
-#: Nodes of a shard and queries of a block, about.
-SHARD_NODES, BLOCK_QUERIES = 6000, 4000
+#: Nodes of a shard, about, and queries that are searched together.
+SHARD_NODES, TOGETHER = 6000, 256
 #: Edges of a node, width of the beam while building and searching, nodes expanded in a step, pruning factor.
 DEGREE, BUILD_BEAM, SEARCH_BEAM, EXPANDED, ALPHA = 24, 64, 128, 4, 1.2
 #: Nodes a search starts from.
@@ -187,47 +190,87 @@ def build_index(nodes: DataFrame) -> DataFrame:
     return written(dealt.groupBy("dim", "shard").applyInPandas(build, schema).withColumn("largest", F.lit(largest)), scratch_path(spark, "index"))
 
 
+_FOUND = pa.schema([("query", pa.int64()), ("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())])
+
+
+def _vectors(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
+    column = rows.column("vector")
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+class Shard:
+    """One shard's graph, made from its rows of the index in the order of their places."""
+
+    def __init__(self, rows: pa.Table, largest: float):
+        self.plain = _vectors(rows)
+        self.points = lifted(self.plain, largest)
+        self.nodes = rows.column("node").to_numpy()
+        self.ids = rows.column("ids").combine_chunks()
+        self.edges = np.full((len(self.nodes), DEGREE), -1, np.int64)
+        for i, own in enumerate(rows.column("neighbours").to_pylist()):
+            self.edges[i, : len(own)] = own
+        rank = rows.column("entry").to_numpy()
+        entries = np.flatnonzero(rank >= 0)
+        self.entries = entries[np.argsort(rank[entries])]
+
+    def nearest(self, asked: pa.RecordBatch, nearest: int) -> pa.RecordBatch:
+        """The best nodes of this shard for each query, one more than asked for."""
+        wanted, numbers = _vectors(asked), asked.column("node").to_numpy()
+        lift = np.column_stack([wanted, np.zeros(len(wanted))]).astype(np.float32)
+        near, _ = beam(self.points, self.edges, self.entries, lift, SEARCH_BEAM)
+        queries, places, scores = [], [], []
+        for query, vector, own in zip(numbers, wanted, near[:, : 2 * nearest + 8], strict=True):
+            own = own[own >= 0]
+            score = self.plain[own] @ vector
+            best = np.lexsort((self.nodes[own], -score))[: nearest + 1]
+            queries.append(np.full(len(best), query))
+            places.append(own[best])
+            scores.append(score[best])
+        place = np.concatenate(places)
+        columns = [pa.array(np.concatenate(queries)), pa.array(self.nodes[place]), self.ids.take(pa.array(place)), pa.array(np.concatenate(scores))]
+        return pa.RecordBatch.from_arrays(columns, schema=_FOUND)
+
+
+def _stretches(batch: pa.RecordBatch):
+    """(dim, shard), whether they are queries, and the rows, for each stretch of a sorted batch."""
+    marks = np.stack([batch.column(name).to_numpy() for name in ("dim", "shard", "asked")])
+    cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1 if batch.num_rows else []
+    bounds = [0, *cuts, batch.num_rows]
+    for start, end in zip(bounds, bounds[1:], strict=False):
+        if end > start:
+            yield tuple(marks[:2, start].tolist()), bool(marks[2, start]), batch.slice(start, end - start)
+
+
 def search(index: DataFrame, queries: DataFrame, nearest: int = NEAREST) -> DataFrame:
     """(query, vec_id, score) of the nearest numbers of each query (query, dim, vector), one more than asked for."""
-    counts = queries.count()
-    blocks = max(1, -(-counts // BLOCK_QUERIES))
+    importable(index.sparkSession)
     first = index.select("shards", "largest").first()
     shards, largest = (first["shards"], first["largest"]) if first else (1, 0.0)
 
-    def find(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = {"query": [], "node": [], "ids": [], "score": []}
-        if len(rows) and len(asked):
-            rows = rows.sort_values("place").reset_index(drop=True)
-            plain = np.stack(rows["vector"].to_numpy())
-            points = lifted(plain, largest)
-            edges = np.full((len(rows), DEGREE), -1, np.int64)
-            for i, own in enumerate(rows["neighbours"]):
-                edges[i, : len(own)] = own
-            rank = rows["entry"].to_numpy()
-            entries = np.flatnonzero(rank >= 0)
-            entries = entries[np.argsort(rank[entries])]
-            wanted = np.stack(asked["asked_vector"].to_numpy())
-            zero = np.zeros((len(wanted), 1))
-            for at in range(0, len(asked), 256):
-                part = wanted[at : at + 256]
-                found, _ = beam(points, edges, entries, np.hstack([part, zero[at : at + 256]]).astype(np.float32), SEARCH_BEAM)
-                found = found[:, : 2 * nearest + 8]
-                for i, own in enumerate(found):
-                    own = own[own >= 0]
-                    score = plain[own] @ part[i]
-                    best = np.lexsort((rows["node"].to_numpy()[own], -score))[: nearest + 1]
-                    out["query"] += [asked["query"].iloc[at + i]] * len(best)
-                    out["node"] += rows["node"].to_numpy()[own[best]].tolist()
-                    out["ids"] += rows["ids"].iloc[own[best]].tolist()
-                    out["score"] += score[best].tolist()
-        return pd.DataFrame(out)
-
-    spread = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    asked = queries.select("query", F.col("dim").alias("asked_dim"), F.col("vector").alias("asked_vector"))
-    asked = asked.withColumn("asked_block", F.pmod(F.xxhash64("query"), F.lit(blocks)))
-    asked = asked.withColumn("asked_shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    grouped = asked.groupBy("asked_dim", "asked_shard", "asked_block")
-    found = spread.groupBy("dim", "shard", "block").cogroup(grouped).applyInPandas(find, "query long, node long, ids array<long>, score double")
+    def find(batches):
+        key, parts, shard = None, [], None
+        for batch in batches:
+            for own, asked, rows in _stretches(batch):
+                if not asked:
+                    if own != key:
+                        key, parts, shard = own, [], None
+                    parts.append(rows)
+                elif own == key:
+                    if shard is None:
+                        shard, parts = Shard(pa.Table.from_batches(parts), largest), []
+                    for at in range(0, rows.num_rows, TOGETHER):
+                        yield shard.nearest(rows.slice(at, TOGETHER), nearest)
+
+    held = index.select("dim", "shard", F.lit(0).alias("asked"), "place", "node", "vector", "ids", "neighbours", "entry")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
+    nothing = F.lit(None)
+    asked = queries.select(
+        "dim", every, F.lit(1).alias("asked"), F.lit(0).cast("long").alias("place"), F.col("query").alias("node"), "vector",
+        nothing.cast("array<long>").alias("ids"), nothing.cast("array<long>").alias("neighbours"), nothing.cast("long").alias("entry"),
+    )
+    dealt = held.unionByName(asked).repartition(2 * shards, "dim", "shard").sortWithinPartitions("dim", "shard", "asked", "place")
+    found = dealt.mapInArrow(released(find), "query long, node long, ids array<long>, score double")
     each = found.select("query", F.explode("ids").alias("vec_id"), "score")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return each.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= nearest + 1).drop("n")

@@ -320,6 +320,27 @@ def test_licenses(spark):
     assert len(license.report(license.scan(frame)).collect()) == len(rows)
 
 
+def test_licenses_against_every_place(spark):
+    rng = random.Random(8)
+    known = license.entries()
+    vocabulary = sorted({w for _, _, key, _, _ in known for w in key})
+    texts = []
+    for _ in range(300):
+        parts = [rng.choice([rng.choice(vocabulary), "other", " ".join(rng.choice(known)[rng.choice([1, 2])])]) for _ in range(rng.randint(0, 25))]
+        texts.append(rng.choice([" ", ". ", "\n"]).join(parts))
+    rows = list(enumerate(texts))
+    for r in license.scan(documents(spark, rows)).collect():
+        own = [w for w in "".join(c if c.isalnum() else " " for c in texts[r.doc_id]).split()]
+        base, notices = set(), set()
+        for label, notice, key, key_at, is_base in known:
+            for i in range(len(own)):
+                if own[i : i + len(key)] == key:
+                    start = i - key_at
+                    same = sum(0 <= start + j < len(own) and own[start + j] == w for j, w in enumerate(notice))
+                    (base if is_base else notices).add((label, start) if is_base else (label, start, same / len(notice)))
+        assert (r.n_words, sorted(map(tuple, r.base)), sorted(map(tuple, r.notices))) == (len(own), sorted(base), sorted(notices))
+
+
 def test_pages_cases(spark):
     site = '<nav>Menu</nav>{}<footer>foot</footer>'
     rows = [
@@ -437,6 +458,31 @@ def test_every_page_of_the_table(spark):
         assert found[row.page_id] == "\n".join(b for b in blocks if b)
 
 
+def test_neighbours_in_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_NODES", 250)
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(1500, 12)) * rng.uniform(0.5, 2, (1500, 1))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(2000 + i, [1.0, float(i)]) for i in range(30)]
+    nodes, _ = neighbours.nodes_of(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    index = neighbours.build_index(nodes)
+    assert index.select("shard").distinct().count() == 7
+    asked = index.filter("node % 20 = 0").select(F.col("node").alias("query"), "dim", "vector")
+    found = neighbours.search(index, asked)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("neighbours") > 0 and plan.count("Generate explode") == 2  # queries over shards, numbers of a node; never the index
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query, {})[r.vec_id] = r.score
+    hits = wanted = 0
+    for query in range(0, 1500, 20):
+        scores = vectors @ vectors[query]
+        best = np.argsort(-scores, kind="stable")[: neighbours.NEAREST + 1]
+        assert all(abs(s - scores[i]) < 1e-9 for i, s in got[query].items()) and len(got[query]) == neighbours.NEAREST + 1
+        hits, wanted = hits + len(set(best.tolist()) & got[query].keys()), wanted + len(best)
+    assert hits >= 0.9 * wanted
+    assert {i for i in got[2000]} <= set(range(2000, 2030)) and len(got[2000]) == neighbours.NEAREST + 1
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(6)
     vectors = [(i, rng.normal(size=8).tolist()) for i in range(400)]
