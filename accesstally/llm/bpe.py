@@ -7,6 +7,10 @@ a join, the end of one chunk and the start of the next, is put together and enco
 many chunks as it takes to reach a blank on both sides: the tokenizer parts words at blanks, so there
 the pieces agree with the encoding of the whole text. Inside chunks words are encoded once as well.
 
+All this needs a tokenizer that parts words at blanks and lower-cases them as ``NORMALIZER`` and
+``PRE_TOKENIZER`` say. The definition is compared with these; texts of any other tokenizer are encoded
+whole, by the library.
+
 The memories of a task are emptied when they hold ``CHUNK_BYTES`` or ``WORDS``, so memory does not
 grow with the corpus. No row leaves its task.
 
@@ -16,6 +20,7 @@ become special tokens, as in the library. Repeated rows are encoded one by one.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -40,6 +45,30 @@ MARK = "\x01"
 #: Words whose pieces are known without the tokenizer's own splitting.
 PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?$%&*#|]*)").fullmatch
 
+#: How a tokenizer normalises and parts texts if words between blanks can be encoded alone.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]}
+
+
+def parts_at_blanks(definition: str) -> bool:
+    """Whether a tokenizers file encodes a text as its words between blanks, one after the other."""
+    known = json.loads(definition)
+    model = known["model"]
+    plain = known.get("normalizer") == NORMALIZER and known.get("pre_tokenizer") == PRE_TOKENIZER
+    plain &= known.get("post_processor") is None and known.get("decoder") is None
+    plain &= model.get("type") == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
+    for token in known.get("added_tokens", []):
+        plain &= not (token["normalized"] or token["lstrip"] or token["rstrip"] or token["single_word"])
+        # such a token must lie within one word, and in none that is encoded by its letters
+        plain &= bool(token["content"]) and re.search(r"\s", token["content"]) is None
+        plain &= re.search(r"[^A-Za-z.,;:!?$%&*#|]", token["content"]) is not None
+    return plain
+
 
 class Coder:
     """Encodes and decodes texts with one tokenizer, remembering words and chunks."""
@@ -52,7 +81,7 @@ class Coder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         names = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.plain = self.tokenizer.decoder is None and self.tokenizer.post_processor is None
+        self.plain = parts_at_blanks(definition)
         self.names = {i: t.encode() for i, t in names.items()}
         marks = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.plain &= len(marks) == 1

@@ -1,5 +1,6 @@
 """The operators against plain versions and DuckDB, and on awkward tables."""
 
+import json
 import pickle
 import random
 import time
@@ -152,6 +153,31 @@ def test_coding(spark):
     assert plain(found, "doc_id", "ids", "decoded") == sorted(want, key=repr)
 
 
+def test_coding_with_other_tokenizers(spark, tmp_path):
+    own = json.load(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8"))
+    assert bpe.parts_at_blanks(json.dumps(own))
+    cased = {**own, "normalizer": {"type": "NFC"}}
+    joined = {**own, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}
+    token = {"id": 49408, "content": "alpha", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}
+    added = {**own, "added_tokens": [*own["added_tokens"], token]}
+    paths = [public_tokenizers.path("byte_bpe_50k.json")]
+    for i, other in enumerate([cased, joined, added]):
+        assert not bpe.parts_at_blanks(json.dumps(other))
+        paths.append(str(tmp_path / f"{i}.json"))
+        with open(paths[-1], "w", encoding="utf-8") as file:
+            json.dump(other, file)
+    rows, _, _ = awkward(spark)
+    for path in paths:
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        want = []
+        for i, text in rows:
+            ids = library.encode(text or "", add_special_tokens=False).ids
+            want.append((i, bytearray(np.array(ids, "<u4").tobytes()), library.decode(ids, skip_special_tokens=False)))
+        assert plain(bpe.encode(documents(spark, rows), path), "doc_id", "ids", "decoded") == sorted(want, key=repr)
+
+
 def test_coding_forgets_and_stays_right(monkeypatch):
     monkeypatch.setattr(bpe, "WORDS", 40)
     monkeypatch.setattr(bpe, "CHUNK_BYTES", 2000)
