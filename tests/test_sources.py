@@ -15,7 +15,7 @@ from accesstally.functions.clf import parse_lines, valid_records
 from accesstally.operators import counts, history, reports
 from accesstally.plans import combined, etl
 from accesstally.sources import tables, text
-from accesstally.sources.scratch import scratch_path
+from accesstally.sources.scratch import may_hold_scratch, scratch_path
 
 
 def log_line(day=1, hour=0, path="/a", status=200, host="h", size="5"):
@@ -295,3 +295,8 @@ def test_packed_files_are_dealt_out_and_others_are_not(spark, logs, tmp_path):
     assert {r.batch_id: r["count"] for r in lines.groupBy("batch_id").count().collect()} == {1: 4, 2: 3, 3: 3}
     plan = lines._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan text") == 2 and plan.count("Exchange RoundRobin") == 1
+
+
+def test_scratch_needs_a_shared_folder():
+    assert may_hold_scratch("file", "local[8]") and may_hold_scratch("hdfs", "yarn")
+    assert not may_hold_scratch("file", "yarn") and not may_hold_scratch("file", "spark://host:7077")
