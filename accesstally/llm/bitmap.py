@@ -63,58 +63,76 @@ class Bitmap:
 
 
 def of_several(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], list[np.ndarray]], expected: float) -> Bitmap:
-    """The hashes that two rows or more have."""
-    return counted(rows.mapInArrow, hashes_of, expected, (2,))[0]
+    """The hashes that two rows or more have; ``hashes_of`` gives each row's 64-bit hashes, every one once."""
+    return counted(rows.mapInArrow, hashes_of, expected)[0]
 
 
 def counted(
-    over: Callable[..., DataFrame], hashes_of: Callable[[pa.RecordBatch], list[np.ndarray]], expected: float, least: tuple[int, ...]
+    over: Callable[..., DataFrame], hashes_of: Callable[[pa.RecordBatch], list[np.ndarray]], expected: float, crowd: int | None = None
 ) -> list[Bitmap]:
-    """The hashes that several rows have; ``hashes_of`` gives each row's 64-bit hashes, every one once.
+    """The hashes that several rows have and, with ``crowd``, those that occur so often; rows may then repeat theirs.
 
     ``over`` applies a function of Arrow batches to the rows, as a table's ``mapInArrow`` does.
 
-    A bitmap is made for each number in ``least``, of hashes counted so often, where every ``ROWS`` rows of a
-    task count as two at most.
-
-    Rows send six bytes for a hash, packed by part; each part is sorted in one task and sends back its
-    slice, so the driver gets ``BITMAP_BYTES`` at most. With more hashes than that tells apart, the
-    bitmap holds more of those it should not.
+    Rows send six bytes for a hash, packed by part, of every ``ROWS`` rows two at most, and what those leave
+    out as a number beside it. Each part is sorted in one task and sends back its slices, so the driver gets
+    ``BITMAP_BYTES`` at most for each bitmap. With more hashes than that tells apart, a bitmap holds more
+    of those it should not.
     """
     bitmap = Bitmap(expected)
-    bitmaps = [bitmap, *(Bitmap(expected) for _ in least[1:])]
+    bitmaps = [bitmap] if crowd is None else [bitmap, Bitmap(expected)]
     bits, parts = bitmap.part_bits, 1 << bitmap.part_bits
     kept_bits = ~np.uint64((1 << max(0, 16 - bits)) - 1)  # of part and rest
-    schema = pa.schema([("part", pa.int32()), ("packed", pa.binary())])
+    schema = pa.schema([("part", pa.int32()), ("packed", pa.binary()), ("more", pa.binary())])
+    slices = pa.schema([("part", pa.int32()), ("packed", pa.binary())])
+    most = (1 << 16) - 1
+
+    def cuts(values):
+        return [*np.searchsorted(values, np.arange(parts, dtype=np.uint64) << np.uint64(64 - bits)).tolist(), len(values)]
 
     def pack(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 own = [h & kept_bits for h in hashes_of(batch.slice(at, ROWS))]
-                values = np.sort(np.concatenate([np.empty(0, np.uint64), *own]))
+                every = np.concatenate([np.empty(0, np.uint64), *own])
+                values = np.sort(every if crowd is None else np.concatenate([np.empty(0, np.uint64), *map(np.unique, own)]))
                 keep = np.ones(len(values), bool)
                 keep[2:] = values[2:] != values[:-2]  # two of each say as much as more
                 values = values[keep]
-                cuts = [*np.searchsorted(values, np.arange(parts, dtype=np.uint64) << np.uint64(64 - bits)).tolist(), len(values)]
                 rest = np.ascontiguousarray(bitmap.rest(values).view(np.uint8).reshape(-1, 8)[:, :6])
-                full = [i for i in range(parts) if cuts[i] < cuts[i + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([rest[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary())], schema=schema)
+                at_values, left, more = cuts(values), np.empty(0, np.uint64), [0] * (parts + 1)
+                if crowd is not None and len(every) > len(values):
+                    found, times = np.unique(every, return_counts=True)
+                    times -= np.searchsorted(values, found, "right") - np.searchsorted(values, found)
+                    found, times = found[times > 0], np.minimum(times[times > 0], most).astype(np.uint64)
+                    left, more = bitmap.rest(found) << np.uint64(16) | times, cuts(found)
+                full = [i for i in range(parts) if at_values[i] < at_values[i + 1]]
+                columns = [rest[at_values[i] : at_values[i + 1]].tobytes() for i in full], [left[more[i] : more[i + 1]].tobytes() for i in full]
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], schema=schema)
 
     def count(batches):
-        found = defaultdict(list)
+        held = defaultdict(lambda: ([], []))
         for batch in batches:
-            for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found[part].append(packed)
-        for part, packed in found.items():
+            for part, packed, more in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                held[part][0].append(packed)
+                held[part][1].append(more)
+        for part, (packed, more) in held.items():
             values = np.zeros((sum(map(len, packed)) // 6, 8), np.uint8)
             values[:, :6] = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 6)
             values = np.sort(values.view(np.uint64).ravel())
-            own = [bitmap.slice_of(values[n - 1 :][values[n - 1 :] == values[: max(0, len(values) - n + 1)]]) for n in least]
-            numbers = [part * len(least) + i for i in range(len(least))]
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(own, pa.binary())], schema=schema)
-
-    packed = over(released(pack), "part int, packed binary").repartition(parts, "part")
+            chosen = [values[1:][values[1:] == values[:-1]]]
+            if crowd is not None:
+                left = np.sort(np.frombuffer(b"".join(more), np.uint64))
+                found, first = np.unique(left >> np.uint64(16), return_index=True)
+                times = np.add.reduceat(left & np.uint64(most), first).astype(np.int64) if len(left) else np.empty(0, np.int64)
+                times += np.searchsorted(values, found, "right") - np.searchsorted(values, found)
+                by_rows = values[crowd - 1 :][values[crowd - 1 :] == values[: max(0, len(values) - crowd + 1)]]
+                chosen.append(np.concatenate([by_rows, found[times >= crowd]]))
+            numbers = [part * len(bitmaps) + i for i in range(len(bitmaps))]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array([bitmap.slice_of(c) for c in chosen], pa.binary())], schema=slices)
+
+    packed = over(released(pack), "part int, packed binary, more binary").repartition(parts, "part")
     found = packed.mapInArrow(released(count), "part int, packed binary").collect()
     for i, one in enumerate(bitmaps):
-        one.fill({r["part"] // len(least): bytes(r["packed"]) for r in found if r["part"] % len(least) == i})
+        one.fill({r["part"] // len(bitmaps): bytes(r["packed"]) for r in found if r["part"] % len(bitmaps) == i})
     return bitmaps

@@ -6,13 +6,15 @@ smallest hash, so equal strings have equal anchors. Neighbouring strings with on
 1. Texts that are equal as a whole form a class; its smallest number stands for it. Classes of several
    rows are found by hash; only their texts are gathered, and pre-aggregated before that.
 2. Anchors of all classes are counted. Those of two classes or more are set in a bitmap with a bounded
-   size, which may let others pass as well but misses none.
+   size, which may let others pass as well but misses none; so are those that occur ``CROWDED`` times.
 3. Segments with a set anchor are gathered by anchor; of equal ones the smallest number counts. Tasks join
-   the different segments of some anchors into one string, sort its suffixes and extend the Burrows-Wheeler
-   transform breadth-first: level by level the rows whose common prefix with the row before is 0, 1, 2 ...
-   bytes are found from those one byte shorter, and at 50 the rest stands for repeated strings. An anchor
-   that very many rows have is not given to one task: its segments are pre-aggregated, and their strings
-   aggregated one by one.
+   the different segments of some anchors into one string, sort its rotations, and extend intervals of the
+   Burrows-Wheeler transform backward, breadth first: an interval of a word of n bytes gives those of the
+   words with one byte more in front, and ends of intervals that no shorter word has separate rows with n
+   bytes in common. At 50 bytes it stops, and what no end separates is one repeated string.
+   An anchor that occurs very often is not given to one task with all its segments: they are pre-aggregated,
+   and the different ones judged in the same way. Only where these are very many too, which texts of one
+   byte do not make but texts of few different bytes can, are their strings aggregated one by one.
 4. Strings that start under a smaller number come back to their class, and to its rows, and the bytes
    they cover are removed.
 
@@ -43,8 +45,10 @@ SPAN = LENGTH - GRAM + 1
 ANCHOR_EVERY = 16
 #: Bytes of segments that are judged together.
 BLOCK = 1_000_000
-#: An anchor counted so often is crowded. Every 2000 rows count as two at most, so the others are in a bounded number of documents, 512,000 at worst, and are judged in one task each.
-CROWDED = 513
+#: An anchor that occurs so often is crowded; of others one task holds fewer segments.
+CROWDED = 4096
+#: Segments that are one in so many of the crowded ones are no more than that, so they are broadcast.
+HOT = 10_000
 #: Longer texts are anchored in pieces, which overlap by a string less one byte.
 PIECE = 1 << 23
 
@@ -52,7 +56,10 @@ _LOW = np.uint64(0xFFFFFF)
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first string and end of strings of every segment of a text."""
+    """Anchor hash, first string and end of strings of every segment of a text.
+
+    Where spans in a row have one hash, as in a run of one byte, their strings are cut at every ``SPAN``.
+    """
     found = []
     for at in range(0, max(1, len(data) - LENGTH + 1), PIECE):
         piece = data[at : at + PIECE + LENGTH - 1]
@@ -67,8 +74,14 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             least = np.minimum(least[: len(least) - (SPAN - width)], least[SPAN - width :])
         place = (least & _LOW).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        anchor = grams[place[first]]
+        other = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+        anchor, first = anchor[other], first[other]
         ends = np.concatenate([first[1:], [len(place)]])
-        found.append((grams[place[first]], first + at, ends + at))
+        cuts = (ends - first + SPAN - 1) // SPAN
+        nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+        first, ends = np.repeat(first, cuts) + SPAN * nth, np.repeat(ends, cuts)
+        found.append((np.repeat(anchor, cuts), first + at, np.minimum(first + SPAN, ends) + at))
     if not found:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -86,51 +99,74 @@ def _rows(documents: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def _anchors_of(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.unique(anchors(np.frombuffer(d.as_buffer(), np.uint8))[0]) for d in batch.column("data")]
+    return [anchors(np.frombuffer(d.as_buffer(), np.uint8))[0] for d in batch.column("data")]
+
+
+def _rotations(data: np.ndarray) -> np.ndarray:
+    """The rotations of a string, by their first 50 bytes at least."""
+    n = len(data)
+    around = np.resize(data, n + LENGTH + 14).astype(np.uint64)
+    eight = np.zeros(n + LENGTH + 7, np.uint64)
+    for i in range(8):
+        eight = eight << np.uint64(8) | around[i : i + len(eight)]
+    known, rank = np.unique(eight, return_inverse=True)
+    width = max(1, len(known).bit_length())
+    each = 63 // width  # ranks of eight bytes that fit into one sort key
+    keys = []
+    for at in range(0, LENGTH, 8 * each):
+        key = np.zeros(n, np.int64)
+        for i in range(at, min(at + 8 * each, LENGTH), 8):
+            key = key << width | rank[i : i + n]
+        keys.append(key)
+    return np.lexsort(keys[::-1])
+
+
+def _separate(data: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Whether a row of the sorted rotations differs from the one before within 50 bytes.
+
+    An interval holds the rows that start with one word. The places where its last bytes, those of the transform,
+    hold c become, by rank, the interval of the word with c in front. An end found at the word of n + 1 bytes
+    and not before has n bytes in common with the row behind it; intervals whose end is known find nothing new.
+    """
+    n = len(data)
+    last = data[order - 1]
+    rows = np.argsort(last, kind="stable").astype(np.int32)
+    rank = np.empty(n, np.int32)
+    rank[rows] = np.arange(n, dtype=np.int32)
+    before, after = np.full(n, -1, np.int32), np.full(n, n, np.int32)
+    same = np.flatnonzero(last[rows[1:]] == last[rows[:-1]])
+    before[rows[same + 1]], after[rows[same]] = rows[same], rows[same + 1]
+    known = np.zeros(n + 1, bool)
+    known[[0, n]] = True
+    low, high = np.array([0]), np.array([n])
+    for _ in range(LENGTH):
+        sizes = high - low
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1]) + np.repeat(low - ends + sizes, sizes)
+        # a byte's first and last place in an interval lead to the first and last row of the new one
+        first = np.sort(rank[at[before[at] < np.repeat(low, sizes)]])
+        end = np.sort(rank[at[after[at] >= np.repeat(high, sizes)]]) + 1
+        new = ~known[end]
+        low, high = first[new], end[new]
+        known[high] = True
+        if not len(low):
+            break
+    return known[:n]
 
 
 def repeated(texts: list[bytes], numbers: list[int]) -> list[int]:
     """For each segment a bit for each of its strings that also starts in one with a smaller number.
 
-    All segments are one string with a zero byte behind each. Suffixes are sorted by their first 50 bytes;
-    a string holds no end of a segment, so what common prefixes across ends do is of no account.
+    All segments are one string with a zero byte behind each; a string holds no end of a segment, so what
+    rotations have in common across ends is of no account.
     """
     sizes = np.array([len(t) for t in texts])
-    data = np.frombuffer(b"\0".join(texts) + b"\0" * 65, np.uint8)
-    n = len(data) - 64
-    key = np.zeros(n + 56, np.uint64)
-    for i in range(8):
-        key |= data[i : i + len(key)].astype(np.uint64) << np.uint64(56 - 8 * i)
-    _, rank = np.unique(key, return_inverse=True)
-    for shift in (8, 16, 18):  # to 16, 32 and 50 bytes
-        pair = rank[: len(rank) - shift].astype(np.int64) * (len(key) + 1) + rank[shift:]
-        _, rank = np.unique(pair, return_inverse=True)
-    rank = rank[:n]
-    order = np.argsort(rank, kind="stable")
-    row_of = np.empty(n + 1, np.int64)
-    row_of[order] = np.arange(n)
-    row_of[n] = 0
-    before, here = order[:-1], order[1:]
-    unset = 255
-    prefix = np.full(n, unset, np.uint8)
-    prefix[0] = 0
-    differ = data[before] != data[here]
-    prefix[1:][differ] = 0
-    open_rows = np.flatnonzero(~differ) + 1
-    one, two = row_of[order[open_rows - 1] + 1], row_of[order[open_rows] + 1]
-    low, high = np.minimum(one, two), np.maximum(one, two)
-    for level in range(1, LENGTH):
-        ends = np.cumsum(prefix == level - 1, dtype=np.int32)
-        found = ends[high] != ends[low]
-        prefix[open_rows[found]] = level
-        rest = ~found
-        open_rows, low, high = open_rows[rest], low[rest], high[rest]
-        if not len(open_rows):
-            break
-    group = np.cumsum(prefix != unset) - 1
+    data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+    order = _rotations(data)
+    group = np.cumsum(_separate(data, order)) - 1
     starts = np.concatenate([[0], np.cumsum(sizes + 1)])
     owner = np.repeat(np.arange(len(texts)), sizes + 1)
-    place = np.arange(n) - starts[owner]
+    place = np.arange(len(data)) - starts[owner]
     is_string = place <= sizes[owner] - LENGTH
     valid = is_string[order]
     rows, group = order[valid], group[valid]
@@ -167,7 +203,7 @@ def _judge(held: list[tuple]) -> list[tuple[int, int, int, int]]:
 
 
 def _hits(occurrences: DataFrame, parts: int) -> DataFrame:
-    """Class, size, at and bits of strings to remove, for anchors that few rows have."""
+    """Class, size, at and bits of strings to remove, for anchors that are not crowded."""
     out = pa.schema([("class", pa.int64()), ("size", pa.int32()), ("at", pa.int32()), ("bits", pa.int32())])
 
     def judged(batches):
@@ -194,21 +230,62 @@ def _hits(occurrences: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(released(judged), "class long, size int, at int, bits int")
 
 
-def _crowded_hits(occurrences: DataFrame) -> DataFrame:
-    """The same for anchors that many rows have: equal segments first, then the strings of different ones."""
+def _different(segments: DataFrame, parts: int) -> DataFrame:
+    """Anchor, key and known strings, as bits, of different segments with the smallest number of each."""
+    out = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("known", pa.int32())])
+
+    def judged(batches):
+        held, size = [], 0
+
+        def done():
+            bits = repeated([h[3] for h in held], [h[2] for h in held])
+            found = [(anchor, key, own) for (anchor, key, _, _), own in zip(held, bits, strict=True) if own]
+            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate(out.types)], schema=out)
+
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if size > BLOCK and row[0] != held[-1][0]:
+                    yield done()
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[3])
+        if held:
+            yield done()
+
+    dealt = segments.select("anchor", "key", "least", "segment").repartition(parts, "anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(released(judged), "anchor long, key long, known int")
+
+
+def _crowded_hits(occurrences: DataFrame, parts: int) -> DataFrame:
+    """The same for crowded anchors: equal segments first, then the different ones of an anchor.
+
+    Segments that hold a great part of the occurrences are few and go to these, so none meets in one task.
+    """
     spark = occurrences.sparkSession
-    keyed = occurrences.withColumn("key", F.xxhash64("segment"))
-    segments = written(keyed.groupBy("anchor", "key", "segment").agg(F.min("number").alias("least")), scratch_path(spark, "segments"))
-    mixed = segments.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    keyed = occurrences.withColumn("key", F.xxhash64("segment")).withColumn("length", F.octet_length("segment"))
+    segments = keyed.groupBy("anchor", "key", "segment").agg(F.min("number").alias("least"), F.count("*").alias("n"))
+    segments = written(segments, scratch_path(spark, "segments"))
+    total = segments.agg(F.sum("n")).first()[0] or 0
+    anchors_of = segments.groupBy("anchor").agg(F.count("*").alias("different")).filter("different > 1")
+    several = segments.join(anchors_of, "anchor")
+    known = _different(several.filter(F.col("different") < CROWDED), parts)
+
     starts = F.sequence(F.lit(1), F.octet_length("segment") - LENGTH + 1)
     each = F.transform(starts, lambda i: F.substring("segment", i, F.lit(LENGTH)))
-    strings = segments.join(mixed, "anchor").select("anchor", "key", "least", F.posexplode(each).alias("place", "string"))
+    strings = several.filter(F.col("different") >= CROWDED).select("anchor", "key", "least", F.posexplode(each).alias("place", "string"))
     first = strings.groupBy("string").agg(F.min("least").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    known = strings.join(first, "string").filter("first < least").groupBy("anchor", "key").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("known"))
-    judged = segments.select("anchor", "key", "least").join(known, ["anchor", "key"], "left")
-    every = F.expr(f"cast(shiftleft(1L, octet_length(segment) - {LENGTH - 1}) - 1 AS int)")
+    one_by_one = strings.join(first, "string").filter("first < least").groupBy("anchor", "key").agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("known"))
+
+    judged = segments.select("anchor", "key", "least", "n").join(known.unionByName(one_by_one), ["anchor", "key"], "left")
+    judged = written(judged.filter("n > 1 OR known IS NOT NULL"), scratch_path(spark, "judged"))
+    is_hot = F.col("n") * HOT >= F.lit(total)
+    hot, rest = judged.filter(is_hot).drop("n"), judged.filter(~is_hot).drop("n")
+    places = keyed.select("anchor", "key", "class", "size", "number", "at", "length")
+    others = places.join(F.broadcast(hot.select("anchor", "key")), ["anchor", "key"], "left_anti")
+    met = places.join(F.broadcast(hot), ["anchor", "key"]).unionByName(others.join(rest, ["anchor", "key"]))
+    every = F.expr(f"cast(shiftleft(1L, length - {LENGTH - 1}) - 1 AS int)")
     bits = F.when(F.col("number") > F.col("least"), every).otherwise(F.coalesce("known", F.lit(0)))
-    return keyed.join(judged, ["anchor", "key"]).select("class", "size", "at", bits.alias("bits")).filter("bits != 0")
+    return met.select("class", "size", "at", bits.alias("bits")).filter("bits != 0")
 
 
 def find_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -242,13 +319,13 @@ def find_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
         """A function of batches over one row of each class, in one Python worker for each task."""
         return rows.mapInArrow(released(lambda batches: function(chosen(batches, False))), out).unionByName(copies.mapInArrow(released(function), out))
 
-    shared, crowded = counted(over_classes, _anchors_of, (totals["bytes"] or 0) / ANCHOR_EVERY, (2, CROWDED))
+    shared, crowded = counted(over_classes, _anchors_of, (totals["bytes"] or 0) / ANCHOR_EVERY, CROWDED)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << shared.part_bits)
     any_crowded = bool(crowded.data.any())
     shared, crowded = spark.sparkContext.broadcast(shared), spark.sparkContext.broadcast(crowded)
 
     def occurrences(many):
-        """Segments with a shared anchor, those that many rows have or the others."""
+        """Segments with a shared anchor, those that are crowded or the others."""
         schema = pa.schema([("anchor", pa.int64()), ("class", pa.int64()), ("size", pa.int32()), ("number", pa.int64()), ("at", pa.int32()), ("segment", pa.binary())])
 
         def cut(batches):
@@ -271,7 +348,7 @@ def find_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
 
     hits = _hits(occurrences(False), parts)
     if any_crowded:
-        hits = hits.unionByName(_crowded_hits(written(occurrences(True), scratch_path(spark, "crowded"))))
+        hits = hits.unionByName(_crowded_hits(written(occurrences(True), scratch_path(spark, "crowded")), parts))
     # plain rows are shuffled, a third of what partly collected lists take
     hits = hits.repartition("class", "size").groupBy("class", "size").agg(F.collect_list(F.struct("at", "bits")).alias("hits"))
     return several, hits

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from accesstally.llm import bpe, components, decontaminate, language, license, near_duplicates, neighbours, pages, passages, queries, secrets, toxicity
+from accesstally.llm import bitmap, bpe, components, decontaminate, language, license, near_duplicates, neighbours, pages, passages, queries, secrets, toxicity
 from tests.compare import rows as comparable
 from tests.llm import brute
 
@@ -121,14 +121,62 @@ def test_components_of_long_chains(spark):
     assert plain(found, "node", "component") == sorted([(i, 0) for i in range(71)] + [(100, 100), (200, 100), (300, 100)], key=repr)
 
 
-@pytest.mark.parametrize("least", [passages.CROWDED, 2, 4])
-def test_repeats(spark, monkeypatch, least):
+@pytest.mark.parametrize("least, hot", [(passages.CROWDED, passages.HOT), (2, 1), (2, 10**9), (4, 20)])
+def test_repeats(spark, monkeypatch, least, hot):
     monkeypatch.setattr(passages, "CROWDED", least)
+    monkeypatch.setattr(passages, "HOT", hot)
     rows, _, frame = awkward(spark)
     found = passages.report(passages.remove(frame))
     assert plain(found, *found.columns) == sorted(brute.repeats(rows), key=repr)
 
 
+@pytest.mark.parametrize("least, hot", [(passages.CROWDED, passages.HOT), (40, 50), (3, 50)])
+def test_repeats_of_runs_of_few_bytes(spark, monkeypatch, least, hot):
+    monkeypatch.setattr(passages, "CROWDED", least)
+    monkeypatch.setattr(passages, "HOT", hot)
+    rng = random.Random(8)
+    dashes = lambda n: "-" * n
+    mixed = ["".join(rng.choice("ab") for _ in range(300)) for _ in range(3)]
+    texts = [dashes(49), dashes(50), dashes(4000), "x" + dashes(3000) + "yy" + dashes(200), "ab" * 700, "abab" * 100 + dashes(90), *mixed, mixed[0][100:] + mixed[1][:150]]
+    texts += [dashes(60 + i) + "=" * i + "\x00" * 70 for i in range(50)]
+    rows = list(enumerate(texts))
+    found = passages.report(passages.remove(documents(spark, rows)))
+    assert plain(found, *found.columns) == sorted(brute.repeats(rows), key=repr)
+
+
+def test_runs_of_one_byte_are_few_segments():
+    anchor, first, end = passages.anchors(np.full(100_000, 45, np.uint8))
+    assert len(anchor) < 100_000 / 30 and set(anchor.tolist()) == {anchor[0]}
+    assert first[0] == 0 and end[-1] == 99_951 and (first[1:] == end[:-1]).all() and (end - first).max() == passages.SPAN
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abcdefgh", "a\x00"])
+def test_backward_extension(letters):
+    rng = random.Random(letters)
+    pool = ["".join(rng.choice(letters) for _ in range(80)) for _ in range(6)]
+    segments = [(p := rng.choice(pool))[(i := rng.randrange(30)) : i + rng.randrange(50, 80)] for _ in range(60)]
+    segments = [s.encode() for s in segments if len(s) >= 50]
+    numbers = [rng.randrange(20) for _ in segments]
+    least = {}
+    for segment, number in zip(segments, numbers, strict=True):
+        for i in range(len(segment) - 49):
+            least[segment[i : i + 50]] = min(number, least.get(segment[i : i + 50], number))
+    want = [sum(1 << i for i in range(len(s) - 49) if least[s[i : i + 50]] < n) for s, n in zip(segments, numbers, strict=True)]
+    assert passages.repeated(segments, numbers) == want
+    assert passages.repeated([b"x" * 50], [1]) == [0]
+
+
+def test_crowds_are_counted_exactly(spark):
+    rows = [[7] * (i % 3) + [8] + [9] * (2 if i == 5 else 0) + [100 + i] for i in range(90)]
+    frame = spark.createDataFrame([(r,) for r in rows], "h array<long>").repartition(5)
+    hashes = lambda batch: [np.asarray(x.values).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for x in batch.column(0)]
+    all_of = np.arange(200).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for crowd, want in [(2, [7, 8, 9]), (3, [7, 8]), (90, [7, 8]), (91, [])]:
+        several, crowded = bitmap.counted(frame.mapInArrow, hashes, 1000, crowd)
+        assert np.flatnonzero(several.has(all_of)).tolist() == [7, 8]
+        assert np.flatnonzero(crowded.has(all_of)).tolist() == want
+
+
 def test_pieces_of_long_texts(monkeypatch):
     rng = random.Random(2)
     data = np.frombuffer("".join(rng.choice("abc ") for _ in range(3000)).encode(), np.uint8)
