@@ -68,9 +68,11 @@ def of_several(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], list[np.nd
 
 
 def counted(
-    over: Callable[..., DataFrame], hashes_of: Callable[[pa.RecordBatch], list[np.ndarray]], expected: float, crowd: int | None = None
+    over: Callable[..., DataFrame], hashes_of: Callable, expected: float, crowd: int | None = None
 ) -> list[Bitmap]:
-    """The hashes that several rows have and, with ``crowd``, those that occur so often; rows may then repeat theirs.
+    """The hashes that several rows have and, with ``crowd``, those that occur so often.
+
+    With ``crowd`` ``hashes_of`` gives rows' numbers in rising order and their hashes, which may repeat.
 
     ``over`` applies a function of Arrow batches to the rows, as a table's ``mapInArrow`` does.
 
@@ -93,16 +95,24 @@ def counted(
     def pack(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
-                own = [h & kept_bits for h in hashes_of(batch.slice(at, ROWS))]
-                every = np.concatenate([np.empty(0, np.uint64), *own])
-                values = np.sort(every if crowd is None else np.concatenate([np.empty(0, np.uint64), *map(np.unique, own)]))
+                if crowd is None:
+                    values = np.sort(np.concatenate([np.empty(0, np.uint64), *hashes_of(batch.slice(at, ROWS))]) & kept_bits)
+                else:
+                    row, every = hashes_of(batch.slice(at, ROWS))
+                    order = np.argsort(every & kept_bits, kind="stable")
+                    row, every = row[order], every[order] & kept_bits
+                    new = np.ones(len(every), bool)
+                    new[1:] = every[1:] != every[:-1]
+                    first = new.copy()
+                    first[1:] |= row[1:] != row[:-1]
+                    values = every[first]
                 keep = np.ones(len(values), bool)
                 keep[2:] = values[2:] != values[:-2]  # two of each say as much as more
                 values = values[keep]
                 rest = np.ascontiguousarray(bitmap.rest(values).view(np.uint8).reshape(-1, 8)[:, :6])
                 at_values, left, more = cuts(values), np.empty(0, np.uint64), [0] * (parts + 1)
                 if crowd is not None and len(every) > len(values):
-                    found, times = np.unique(every, return_counts=True)
+                    found, times = every[new], np.diff(np.append(np.flatnonzero(new), len(every)))
                     times -= np.searchsorted(values, found, "right") - np.searchsorted(values, found)
                     found, times = found[times > 0], np.minimum(times[times > 0], most).astype(np.uint64)
                     left, more = bitmap.rest(found) << np.uint64(16) | times, cuts(found)

@@ -51,39 +51,75 @@ CROWDED = 4096
 HOT = 10_000
 #: Longer texts are anchored in pieces, which overlap by a string less one byte.
 PIECE = 1 << 23
+#: Bytes of short texts that are anchored in one call.
+TOGETHER = 1 << 16
 
 _LOW = np.uint64(0xFFFFFF)
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first string and end of strings of every segment of a text.
+def _segments(piece: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, anchor hash, first string and end of strings of the segments of rows that follow each other in a piece.
 
     Where spans in a row have one hash, as in a run of one byte, their strings are cut at every ``SPAN``.
     """
+    counts = np.maximum(ends - starts - LENGTH + 1, 0)
+    total = int(counts.sum())
+    if not total:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    grams = gram_hashes(piece, GRAM)
+    # the place in the low bits: the smallest value is the leftmost of the smallest hashes
+    least, width = (grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64), 1
+    while 2 * width <= SPAN:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    if width < SPAN:
+        least = np.minimum(least[: len(least) - (SPAN - width)], least[SPAN - width :])
+    string = np.arange(total) + np.repeat(starts - np.cumsum(counts) + counts, counts)
+    row = np.repeat(np.arange(len(starts)), counts)
+    place = (least[string] & _LOW).astype(np.int64)
+    new_row = row[1:] != row[:-1]
+    first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | new_row]))
+    anchor, of_row = grams[place[first]], row[first]
+    other = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (of_row[1:] != of_row[:-1])])
+    anchor, of_row, first = anchor[other], of_row[other], first[other]
+    sizes = np.concatenate([first[1:], [total]]) - first
+    cuts = (sizes + SPAN - 1) // SPAN
+    nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    begin = np.repeat(string[first], cuts) + SPAN * nth
+    end = np.minimum(begin + SPAN, np.repeat(string[first] + sizes, cuts))
+    return np.repeat(of_row, cuts), np.repeat(anchor, cuts), begin, end
+
+
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first string and end of strings of every segment of a text."""
     found = []
     for at in range(0, max(1, len(data) - LENGTH + 1), PIECE):
         piece = data[at : at + PIECE + LENGTH - 1]
-        if len(piece) < LENGTH:
-            continue
-        grams = gram_hashes(piece, GRAM)
-        # the place in the low bits: the smallest value is the leftmost of the smallest hashes
-        least, width = (grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64), 1
-        while 2 * width <= SPAN:
-            least, width = np.minimum(least[:-width], least[width:]), 2 * width
-        if width < SPAN:
-            least = np.minimum(least[: len(least) - (SPAN - width)], least[SPAN - width :])
-        place = (least & _LOW).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        anchor = grams[place[first]]
-        other = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-        anchor, first = anchor[other], first[other]
-        ends = np.concatenate([first[1:], [len(place)]])
-        cuts = (ends - first + SPAN - 1) // SPAN
-        nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-        first, ends = np.repeat(first, cuts) + SPAN * nth, np.repeat(ends, cuts)
-        found.append((np.repeat(anchor, cuts), first + at, np.minimum(first + SPAN, ends) + at))
+        _, anchor, first, end = _segments(piece, np.array([0]), np.array([len(piece)]))
+        found.append((anchor, first + at, end + at))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _all_anchors(column: pa.Array) -> tuple[np.ndarray, ...]:
+    """Row, anchor hash, first string and end of strings in its row, of all segments of a column of texts.
+
+    Short texts are taken together, so that a call's own time does not count.
+    """
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    found, row = [], 0
+    while row < len(column):
+        end_row = max(row + 1, int(np.searchsorted(offsets, offsets[row] + TOGETHER, "right")) - 1)
+        piece = data[offsets[row] : offsets[end_row]]
+        if end_row == row + 1:
+            anchor, first, end = anchors(piece)
+            found.append((np.full(len(anchor), row), anchor, first, end))
+        else:
+            starts = offsets[row : end_row + 1] - offsets[row]
+            own, anchor, first, end = _segments(piece, starts[:-1], starts[1:])
+            found.append((own + row, anchor, first - starts[own], end - starts[own]))
+        row = end_row
     if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -98,8 +134,8 @@ def _rows(documents: DataFrame, text: str, doc_id: str) -> DataFrame:
     )
 
 
-def _anchors_of(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [anchors(np.frombuffer(d.as_buffer(), np.uint8))[0] for d in batch.column("data")]
+def _anchors_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return _all_anchors(batch.column("data"))[:2]
 
 
 def _rotations(data: np.ndarray) -> np.ndarray:
@@ -332,17 +368,17 @@ def find_repeats(documents: DataFrame, text: str = "text", doc_id: str = "doc_id
             for batch in batches:
                 for start in range(0, batch.num_rows, 500):
                     part = batch.slice(start, 500)
-                    found = [[] for _ in schema]
-                    for number, body, name, size in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
-                        anchor, first, end = anchors(np.frombuffer(body, np.uint8))
-                        keep = shared.value.has(anchor)
-                        if any_crowded:
-                            keep &= crowded.value.has(anchor) == many
-                        anchor, first, end = anchor[keep].view(np.int64).tolist(), first[keep].tolist(), end[keep].tolist()
-                        own = (anchor, [name] * len(anchor), [size] * len(anchor), [number] * len(anchor), first)
-                        for column, more in zip(found, (*own, [body[a : b + LENGTH - 1] for a, b in zip(first, end, strict=True)]), strict=True):
-                            column.extend(more)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, schema, strict=True)], schema=schema)
+                    body = part.column("data")
+                    row, anchor, first, end = _all_anchors(body)
+                    keep = shared.value.has(anchor)
+                    if any_crowded:
+                        keep &= crowded.value.has(anchor) == many
+                    row, anchor, first, end = row[keep], anchor[keep], first[keep], end[keep]
+                    texts = body.to_pylist()
+                    segments = [texts[i][a : b + LENGTH - 1] for i, a, b in zip(row.tolist(), first.tolist(), end.tolist(), strict=True)]
+                    own = [part.column(name).take(pa.array(row)) for name in ("class", "size", "doc_id")]
+                    columns = [pa.array(anchor.view(np.int64)), *own, pa.array(first.astype(np.int32)), pa.array(segments, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
         return over_classes(cut, _OCCURRENCE)
 

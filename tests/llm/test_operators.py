@@ -7,6 +7,7 @@ import time
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -169,7 +170,12 @@ def test_backward_extension(letters):
 def test_crowds_are_counted_exactly(spark):
     rows = [[7] * (i % 3) + [8] + [9] * (2 if i == 5 else 0) + [100 + i] for i in range(90)]
     frame = spark.createDataFrame([(r,) for r in rows], "h array<long>").repartition(5)
-    hashes = lambda batch: [np.asarray(x.values).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for x in batch.column(0)]
+
+    def hashes(batch):
+        lists = batch.column(0).to_pylist()
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        return row, np.concatenate([np.empty(0, np.uint64), *(np.array(x, np.uint64) for x in lists)]) * np.uint64(0x9E3779B97F4A7C15)
+
     all_of = np.arange(200).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for crowd, want in [(2, [7, 8, 9]), (3, [7, 8]), (90, [7, 8]), (91, [])]:
         several, crowded = bitmap.counted(frame.mapInArrow, hashes, 1000, crowd)
@@ -187,6 +193,17 @@ def test_pieces_of_long_texts(monkeypatch):
     assert strings(passages.anchors(data)) == want and len(want) == 2951
 
 
+def test_short_texts_anchored_together(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abc ") for _ in range(rng.choice([0, 3, 49, 50, 51, 300, 900]))).encode() for _ in range(60)] + [b"-" * 400]
+    column = pa.array([b"zz", *texts], pa.binary()).slice(1)
+    want = [(i, *segment) for i, t in enumerate(texts) for segment in zip(*(x.tolist() for x in passages.anchors(np.frombuffer(t, np.uint8))), strict=True)]
+    for size in (1, 700, passages.TOGETHER):
+        monkeypatch.setattr(passages, "TOGETHER", size)
+        assert list(zip(*(x.tolist() for x in passages._all_anchors(column)), strict=True)) == want
+    assert [len(x) for x in passages._all_anchors(column.slice(0, 0))] == [0, 0, 0, 0]
+
+
 def test_coding(spark):
     rows, _, _ = awkward(spark)
     extra = ["áb ́x", "İstanbul ΣΑΣ", "x" * 5000, "日本語" * 900, "<|startoftext|> a<|endoftext|>b", " \x1c a\x1fb c\xa0d\x85e\r\n", "don't we'll 123 ½", "\x00 a\x01b", "e ̸="]
