@@ -15,6 +15,8 @@ from accesstally.sources.scratch import written
 
 # Lines folded into one block; also bounds the list of malformed line numbers.
 BLOCK_LINES = 32768
+# Rows of chunk pieces that one task cuts and counts at most.
+ROWS_PER_TASK = 1_000_000
 
 
 def number_rows(rows: DataFrame, path: str, file: str, *order: str) -> DataFrame:
@@ -56,6 +58,10 @@ def chunk_stats(
         )
     )
     blocks = written(blocks, path)
+    # a chunk piece for each chunk a block touches and one for each malformed line; they are dealt over tasks by
+    # number, which adaptive execution keeps, as the few block rows would otherwise fill one task with all of them
+    pieces = blocks.agg(F.sum(F.col("lines") / chunk_size + 2 + F.size("bad_seqs"))).first()[0] or 0
+    tasks = max(1, -(-int(pieces) // ROWS_PER_TASK))
     before = Window.partitionBy(file).orderBy(split).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         blocks.groupBy(file, split)
@@ -73,11 +79,11 @@ def chunk_stats(
         (start + F.col("lines")).alias("stop"),
         F.transform("bad_seqs", lambda s: s + F.col("shift")).alias("bad_lines"),
     )
-    return _cut(placed, file, chunk_size)
+    return _cut(placed, file, chunk_size, tasks)
 
 
-def _cut(placed: DataFrame, file: str, size: int) -> DataFrame:
-    """Lines of a block by chunk from its borders, malformed ones each by its own number."""
+def _cut(placed: DataFrame, file: str, size: int, tasks: int = 1) -> DataFrame:
+    """Lines of a block by chunk from its borders, malformed ones each by its own number, over ``tasks`` tasks."""
 
     spans = F.transform(
         F.expr(f"sequence(start DIV {size}, (stop - 1) DIV {size})"),
@@ -89,8 +95,11 @@ def _cut(placed: DataFrame, file: str, size: int) -> DataFrame:
     )
     bad = F.expr(f"transform(bad_lines, n -> named_struct('chunk', n DIV {size}, 'lines', 0L, 'bad', 1L))")
     return (
-        placed.select(file, F.inline(F.concat(spans, bad)))
-        .groupBy(file, (F.col("chunk") + 1).alias("chunk_id"))
+        placed.repartition(tasks, file, "start")
+        .select(file, F.inline(F.concat(spans, bad)))
+        .select(file, (F.col("chunk") + 1).alias("chunk_id"), "lines", "bad")
+        .repartition(tasks, file, "chunk_id")
+        .groupBy(file, "chunk_id")
         .agg(
             (F.sum("lines") - F.sum("bad")).alias("good_records"),
             F.sum("bad").alias("malformed_records"),

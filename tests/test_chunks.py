@@ -122,3 +122,17 @@ def test_many_malformed_lines_in_small_chunks(spark, tmp_path):
 def test_size_must_be_positive(spark):
     with pytest.raises(ValueError):
         chunks.chunk_stats(spark.range(1), 0, "unused")
+
+
+def test_small_chunks_are_spread_over_tasks_by_their_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(chunks, "ROWS_PER_TASK", 1000)
+    flags = [i % 3 != 0 for i in range(5000)]
+    (tmp_path / "a").write_text("".join((GOOD if good else "x") + "\n" for good in flags))
+    lines = parse_lines(read_numbered_lines(spark, [str(tmp_path / "a")]))
+    found = chunks.chunk_stats(lines, 1, str(tmp_path / "blocks"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # one row of blocks must not make one task cut and count every line; adaptive execution keeps a count by number
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "hashpartitioning(file_path#" in plan
+    assert found.rdd.getNumPartitions() >= 7
+    got = {r.chunk_id: (r.good_records, r.malformed_records) for r in found.collect()}
+    assert got == brute(flags, 1)
